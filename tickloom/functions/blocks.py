@@ -30,10 +30,17 @@ def stat_block(label: str, where: Column | None = None, order: Sequence[str] = E
     notional = pick(F.col("price") * F.col("quantity"))
     count = F.count("*") if where is None else F.nullif(F.count(F.when(where, 1)), F.lit(0))
     measures = {"count": count, "volume": F.sum(quantity)}
+    if len(order) == 1:
+        opened, closed = ({f: pick_by(f, at) for f in ("price", "quantity")} for pick_by in (F.min_by, F.max_by))
+    else:
+        # The wide order value is buffered once for both fields of the row it picks.
+        row = F.struct("price", "quantity")
+        first, last = F.min_by(row, at), F.max_by(row, at)
+        opened, closed = ({f: picked[f] for f in ("price", "quantity")} for picked in (first, last))
     for name, value in (("quantity", quantity), ("price", price)):
         measures |= {
-            f"open_{name}": F.min_by(value, at),
-            f"close_{name}": F.max_by(value, at),
+            f"open_{name}": opened[name],
+            f"close_{name}": closed[name],
             f"high_{name}": F.max(value),
             f"low_{name}": F.min(value),
             f"mean_{name}": F.avg(value),

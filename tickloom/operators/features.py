@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,7 +13,7 @@ from tickloom.operators.ordered import PAGE_ROWS, key_sizes, null_safe_join, ord
 from tickloom.operators.windows import tumbling
 from tickloom.schemas import (
     DEFAULT_LEVELS, EVENT_ORDER, EXTENDED_MEASURES, INSTRUMENT, LEVEL_UPDATE, MEASURES, TRADE, book_labels,
-    feature_schema,
+    extended_columns, feature_schema,
 )
 
 WINDOW_KEYS = (*INSTRUMENT, "window_end")
@@ -70,12 +70,15 @@ def book_level_stats(snapshots: DataFrame, keys: Sequence[str] = WINDOW_KEYS) ->
     )
 
 
-def widen(stats: DataFrame, labels: Sequence[str], keys: Sequence[str] = WINDOW_KEYS) -> DataFrame:
-    """Long rows (keys, label, measures) -> one row per keys with ``<label>_<measure>`` columns."""
-    block = F.struct(*MEASURES)
+def widen(
+    stats: DataFrame, labels: Sequence[str], keys: Sequence[str] = WINDOW_KEYS,
+    measures: Sequence[str] = MEASURES, name: Callable[[str, str], str] = "{}_{}".format,
+) -> DataFrame:
+    """Long rows (keys, label, measures) -> one row per keys, columns named from label and measure."""
+    block = F.struct(*measures)
     picked = [F.first(F.when(F.col("label") == label, block), ignorenulls=True).alias(label) for label in labels]
     rows = stats.groupBy(*keys).agg(*picked)
-    return rows.select(*keys, *[F.col(f"{label}.{m}").alias(f"{label}_{m}") for label in labels for m in MEASURES])
+    return rows.select(*keys, *[F.col(f"{label}.{m}").alias(name(label, m)) for label in labels for m in measures])
 
 
 def book_features(
@@ -189,6 +192,32 @@ def extended_stats(
 _FIELDS = ("price", "quantity")
 
 
+def extended_features(
+    events: DataFrame, duration: str = "5m", levels: int = 10, keys: Sequence[str] = INSTRUMENT,
+    order: Sequence[str] = EVENT_ORDER,
+) -> DataFrame:
+    """The extended block of both trade sides and of every book level, close price and spread."""
+    window = [*keys, "window_end"]
+    trades = tumbling(events.where(F.col("event_type") == TRADE), duration)
+    by_side = extended_stats(trades.where(F.col("side").isin("buy", "sell")), [*window, "side"], order)
+    close = trades.groupBy(*window).agg(F.max_by("price", F.struct(*order)).alias("close_price"))
+    by_level = extended_stats(
+        window_snapshots(events, duration, levels, keys, order), [*window, "side", "level"], ["pos"]
+    )
+    trade_part = widen(by_side.withColumnRenamed("side", "label"), ("buy", "sell"), window, EXTENDED_MEASURES,
+                       lambda label, m: f"{m}_{label}")
+
+    def level_name(label: str, measure: str) -> str:
+        side, level = label.split("_")
+        return f"{side}_{measure}_{level}"
+
+    book_part = widen(by_level.withColumn("label", F.concat_ws("_", "side", "level")), book_labels(levels), window,
+                      EXTENDED_MEASURES, level_name)
+    rows = close.join(trade_part, window, "left").join(book_part, window, "full_outer")
+    spread = F.col("ask_last_price_0") - F.col("bid_last_price_0")
+    return rows.withColumn("spread", spread).select(*window, *extended_columns(levels))
+
+
 def _median_by_position(rows: DataFrame, keys: Sequence[str], field: str, page_rows: int) -> DataFrame:
     values = rows.where(F.col(field).isNotNull()).select(*keys, field)
     sizes = values.groupBy(*keys).agg(F.count("*").alias("_n"))
