@@ -13,7 +13,7 @@ KEYS = "exchange, quote_asset, base_asset"
 EVENTS = """ev AS (
   SELECT CASE WHEN event_type IN ('purchase', 'click') THEN 'trade' ELSE 'levelUpdate' END AS event_type,
          'ex' || CAST(user_id % 2 AS VARCHAR) AS exchange, 'USDT' AS quote_asset,
-         'A' || CAST(user_id % 3 AS VARCHAR) AS base_asset, epoch_ms(ts) AS time,
+         'A' || CAST(user_id % 3 AS VARCHAR) AS base_asset, epoch_us(ts) // 1000 AS time,
          CASE WHEN event_type IN ('view', 'signup') AND event_id % 3 = 0 THEN 0.0 ELSE value END AS quantity,
          CAST(100 + CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS DOUBLE) AS price,
          CASE event_type WHEN 'purchase' THEN 'buy' WHEN 'click' THEN 'sell' WHEN 'view' THEN 'ask' ELSE 'bid' END AS side,
@@ -22,14 +22,14 @@ EVENTS = """ev AS (
 
 LINEITEM_TRADES = """ev AS (
   SELECT 'trade' AS event_type, 'li' AS exchange, 'USD' AS quote_asset, 'S' || CAST(l_suppkey AS VARCHAR) AS base_asset,
-         epoch_ms(l_shipdate) AS time, l_extendedprice AS quantity, l_extendedprice / l_quantity AS price,
+         epoch_us(l_shipdate) // 1000 AS time, l_extendedprice AS quantity, l_extendedprice / l_quantity AS price,
          CASE l_returnflag WHEN 'A' THEN 'buy' WHEN 'R' THEN 'sell' ELSE 'other' END AS side,
          ROW(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS seq
   FROM lineitem)"""
 
 LINEITEM_UPDATES = """ev AS (
   SELECT 'levelUpdate' AS event_type, 'li' AS exchange, 'USD' AS quote_asset, 'B' || CAST(l_suppkey % 8 AS VARCHAR) AS base_asset,
-         epoch_ms(l_shipdate) AS time, CASE WHEN l_quantity <= 5 THEN 0.0 ELSE l_quantity END AS quantity,
+         epoch_us(l_shipdate) // 1000 AS time, CASE WHEN l_quantity <= 5 THEN 0.0 ELSE l_quantity END AS quantity,
          CAST(100 + l_partkey % 400 AS DOUBLE) AS price, CASE WHEN l_linenumber % 2 = 0 THEN 'ask' ELSE 'bid' END AS side,
          ROW(l_orderkey, l_linenumber, l_partkey, l_quantity, l_extendedprice) AS seq
   FROM lineitem)"""
