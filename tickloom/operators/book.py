@@ -25,69 +25,94 @@ EMPTY_QUANTITY = 1e-9
 
 _LEVELS = T.ArrayType(T.StructType([T.StructField("price", T.DoubleType()), T.StructField("quantity", T.DoubleType())]))
 _OPENING, _SILENT, _EMIT = 0, 1, 2  # a level carried in, an update without output, one with
+_BATCH_LEVELS = 500_000  # levels per output batch: whole books of deep instruments stay small in memory
 
 
 class _Side:
-    """Live levels of one side, best first. ``rank`` is the price, negated for bids."""
+    """Live levels of one side, best first. A rank is the price, negated for bids."""
 
-    __slots__ = ("depth", "ranks", "quantities", "sign", "top")
+    __slots__ = ("depth", "ranks", "quantities", "sign", "stale", "top")
 
     def __init__(self, sign: int, depth: int | None):
         self.sign, self.depth = sign, depth
         self.ranks: list[float] = []
         self.quantities: dict[float, float] = {}
-        self.top: tuple[list[float], list[float]] = ([], [])
+        self.stale, self.top = False, ([], [])
 
     def write(self, price: float, quantity: float) -> None:
         rank = self.sign * price
         known = rank in self.quantities
+        place = bisect_left(self.ranks, rank)
         if quantity < EMPTY_QUANTITY:
             if not known:
                 return
-            place = bisect_left(self.ranks, rank)
             del self.ranks[place], self.quantities[rank]
         else:
             self.quantities[rank] = quantity
-            place = bisect_left(self.ranks, rank)
             if not known:
                 self.ranks.insert(place, rank)
         if self.depth is None or place < self.depth:
-            best = self.ranks[: self.depth]
-            self.top = ([self.sign * r for r in best], [self.quantities[r] for r in best])
+            self.stale = True
+
+    def best(self) -> tuple[list[float], list[float]]:
+        if self.stale:
+            ranks = self.ranks[: self.depth]
+            self.top = ([self.sign * r for r in ranks], [self.quantities[r] for r in ranks])
+            self.stale = False
+        return self.top
+
+
+class _Output:
+    """Rows to emit from one input batch, with the levels of both sides."""
+
+    def __init__(self) -> None:
+        self.rows: list[int] = []
+        self.sides = ([0], [], []), ([0], [], [])
+
+    def add(self, row: int, books: tuple[_Side, _Side]) -> None:
+        self.rows.append(row)
+        for side, (ends, prices, quantities) in zip(books, self.sides):
+            best = side.best()
+            prices.extend(best[0])
+            quantities.extend(best[1])
+            ends.append(len(prices))
+
+    def full(self) -> bool:
+        return len(self.sides[0][1]) + len(self.sides[1][1]) > _BATCH_LEVELS
+
+    def batch(self, source: pa.RecordBatch, carried: Sequence[str]) -> pa.RecordBatch:
+        rows = source.take(pa.array(self.rows, pa.int64()))
+        columns = [rows.column(c) for c in (*carried, "_pos")]
+        for ends, prices, quantities in self.sides:
+            levels = pa.StructArray.from_arrays(
+                [pa.array(prices, pa.float64()), pa.array(quantities, pa.float64())], names=["price", "quantity"]
+            )
+            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), levels))
+        return pa.RecordBatch.from_arrays(columns, names=[*carried, "pos", "asks", "bids"])
 
 
 def _replay(depth: int | None, carried: Sequence[str]):
     """Arrow batches of sorted updates -> the rows to emit, with both sides of the book."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asks, bids = _Side(1, depth), _Side(-1, depth)
+        books = _Side(1, depth), _Side(-1, depth)
         for batch in batches:
             starts, writes, prices, quantities, roles = (
                 batch.column(c).to_numpy(zero_copy_only=False).tolist()
                 for c in ("_starts", "_write", "price", "quantity", "_role")
             )
-            kept = []
-            levels = ([0], [], []), ([0], [], [])
+            output = _Output()
             for i, write in enumerate(writes):
                 if starts[i]:
-                    asks, bids = _Side(1, depth), _Side(-1, depth)
+                    books = _Side(1, depth), _Side(-1, depth)
                 if write:
-                    (asks if write > 0 else bids).write(prices[i], quantities[i])
+                    books[write < 0].write(prices[i], quantities[i])
                 if roles[i] == _EMIT:
-                    kept.append(i)
-                    for side, (ends, out_prices, out_quantities) in zip((asks, bids), levels):
-                        out_prices.extend(side.top[0])
-                        out_quantities.extend(side.top[1])
-                        ends.append(len(out_prices))
-            rows = batch.take(pa.array(kept, pa.int64()))
-            columns = [rows.column(c) for c in (*carried, "_pos")]
-            for ends, out_prices, out_quantities in levels:
-                pairs = pa.StructArray.from_arrays(
-                    [pa.array(out_prices, pa.float64()), pa.array(out_quantities, pa.float64())],
-                    names=["price", "quantity"],
-                )
-                columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pairs))
-            yield pa.RecordBatch.from_arrays(columns, names=[*carried, "pos", "asks", "bids"])
+                    output.add(i, books)
+                    if output.full():
+                        yield output.batch(batch, carried)
+                        output = _Output()
+            yield output.batch(batch, carried)
 
     return run
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tickloom.functions.blocks import alternative_block, stat_block
 from tickloom.functions.durations import parse_millis
 from tickloom.operators.book import book_snapshots
-from tickloom.operators.ordered import PAGE_ROWS, key_sizes, null_safe_join, ordered, with_group_value
+from tickloom.operators.ordered import has_large_keys, null_safe_join, ordered, with_group_value
 from tickloom.operators.windows import tumbling
 from tickloom.schemas import (
     DEFAULT_LEVELS, EVENT_ORDER, EXTENDED_MEASURES, INSTRUMENT, LEVEL_UPDATE, MEASURES, TRADE, book_labels,
@@ -153,15 +153,16 @@ def trade_block_alternative(
 
 
 def extended_stats(
-    rows: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows: int | None = None
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows: int | None = None, large: bool | None = None
 ) -> DataFrame:
     """The 20 extended measures per key: count, sum, and nine statistics of price and quantity.
 
-    ``mad`` is the mean absolute deviation, so it needs the means first. An exact median holds
-    every distinct value of its group; groups beyond ``page_rows`` rows get theirs by position.
+    ``mad`` is the mean absolute deviation, so every row gets its group's means first. An exact
+    median holds the distinct values of its group; groups beyond ``page_rows`` rows get theirs by
+    position. ``large`` says whether there are such groups, if the caller knows.
     """
-    limit = page_rows or PAGE_ROWS
-    large = key_sizes(rows, keys)[1] > limit
+    if large is None:
+        large = has_large_keys(rows, keys, page_rows)
     at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     aggregates = [F.count("price").alias("count_price"), F.sum("quantity").alias("sum_quantity")]
     for f in _FIELDS:
@@ -171,38 +172,50 @@ def extended_stats(
             F.stddev_samp(f).alias(f"std_{f}"),
             F.min(f).alias(f"min_{f}"),
             F.max(f).alias(f"max_{f}"),
+            F.avg(F.abs(F.col(f) - F.col(f"_mean_{f}"))).alias(f"mad_{f}"),
             F.min_by(f, at).alias(f"first_{f}"),
             F.max_by(f, at).alias(f"last_{f}"),
         ]
         if not large:
             aggregates.append(F.median(f).alias(f"median_{f}"))
-    stats = rows.groupBy(*keys).agg(*aggregates)
+    needed = rows.select(*keys, *[c for c in order if c not in keys], *_FIELDS)
+    centred = with_group_value(needed, keys, {f"_mean_{f}": F.avg(f) for f in _FIELDS}, large)
+    stats = centred.groupBy(*keys).agg(*aggregates)
     if large:
         for f in _FIELDS:
-            stats = null_safe_join(stats, _median_by_position(rows, keys, f, limit), keys, "left")
-    centred = with_group_value(
-        rows.select(*keys, *_FIELDS), keys, {f"_mean_{f}": F.avg(f) for f in _FIELDS}, limit
-    )
-    deviations = centred.groupBy(*keys).agg(
-        *[F.avg(F.abs(F.col(f) - F.col(f"_mean_{f}"))).alias(f"mad_{f}") for f in _FIELDS]
-    )
-    return null_safe_join(stats, deviations, keys).select(*keys, *EXTENDED_MEASURES)
+            stats = null_safe_join(stats, _median_by_position(rows, keys, f, page_rows), keys, "left")
+    return stats.select(*keys, *EXTENDED_MEASURES)
 
 
 _FIELDS = ("price", "quantity")
 
 
+def _median_by_position(rows: DataFrame, keys: Sequence[str], field: str, page_rows: int | None) -> DataFrame:
+    values = rows.where(F.col(field).isNotNull()).select(*keys, field)
+    sizes = values.groupBy(*keys).agg(F.count("*").alias("_n"))
+    middle = null_safe_join(
+        ordered(values, keys, [field], page_rows).df,
+        sizes.select(*keys, F.explode(F.expr("array_distinct(array((_n + 1) div 2, (_n + 2) div 2))")).alias("_pos")),
+        [*keys, "_pos"],
+    )
+    return middle.groupBy(*keys).agg(F.avg(field).alias(f"median_{field}"))
+
+
 def extended_features(
     events: DataFrame, duration: str = "5m", levels: int = 10, keys: Sequence[str] = INSTRUMENT,
-    order: Sequence[str] = EVENT_ORDER,
+    order: Sequence[str] = EVENT_ORDER, page_rows: int | None = None,
 ) -> DataFrame:
     """The extended block of both trade sides and of every book level, close price and spread."""
     window = [*keys, "window_end"]
+    # No group below has more rows than its window has events.
+    large = has_large_keys(tumbling(events, duration), window, page_rows)
     trades = tumbling(events.where(F.col("event_type") == TRADE), duration)
-    by_side = extended_stats(trades.where(F.col("side").isin("buy", "sell")), [*window, "side"], order)
+    by_side = extended_stats(trades.where(F.col("side").isin("buy", "sell")), [*window, "side"], order,
+                             page_rows, large)
     close = trades.groupBy(*window).agg(F.max_by("price", F.struct(*order)).alias("close_price"))
     by_level = extended_stats(
-        window_snapshots(events, duration, levels, keys, order), [*window, "side", "level"], ["pos"]
+        window_snapshots(events, duration, levels, keys, order, page_rows=page_rows), [*window, "side", "level"],
+        ["pos"], page_rows, large,
     )
     trade_part = widen(by_side.withColumnRenamed("side", "label"), ("buy", "sell"), window, EXTENDED_MEASURES,
                        lambda label, m: f"{m}_{label}")

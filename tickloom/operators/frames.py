@@ -137,8 +137,8 @@ def multi_resolution_frames(
     starts = o_.running_sum(merged, "_before", F.col("_coarse")).where("_coarse = 0").select(
         *keys, "time", (F.col("_before") + 1).alias("_at")
     )
-    placed = o_.null_safe_join(small, starts, [*keys, "time"])
-    joined = o_.null_safe_join(placed, big, [*keys, "_at"], "left")
+    # Instruments are never NULL, and plain equality keeps the partitioning of both sides.
+    joined = small.join(starts.join(big, [*keys, "_at"], "left"), [*keys, "time"])
     kind = big.schema["coarse_frame"].dataType
     return joined.withColumn("coarse_frame", F.coalesce("coarse_frame", F.array().cast(kind))).drop("_at")
 

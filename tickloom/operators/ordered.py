@@ -97,6 +97,10 @@ def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return rows or 0, largest or 0
 
 
+def has_large_keys(df: DataFrame, keys: Sequence[str], page_rows: int | None = None) -> bool:
+    return key_sizes(df, keys)[1] > (page_rows or PAGE_ROWS)
+
+
 def _number_by_range(df: DataFrame, keys, order, rows: int, page_rows: int) -> DataFrame:
     # Sampled range bounds differ between runs, hence the written copy: every later step sees
     # the same partition numbers, also after a lost executor.
@@ -129,14 +133,14 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def with_group_value(
-    df: DataFrame, keys: Sequence[str], values: dict[str, Column], page_rows: int | None = None, salts: int = 64
+    df: DataFrame, keys: Sequence[str], values: dict[str, Column], large: bool, salts: int = 64
 ) -> DataFrame:
     """Add aggregates of its whole group to every row.
 
-    Small groups: one window. Otherwise the aggregates (one row per group) are joined back with a
-    salt, so that a hot group meets its row in many tasks.
+    Small groups: one window. With ``large`` groups the aggregates (one row per group) are joined
+    back with a salt, so that a hot group meets its row in many tasks.
     """
-    if key_sizes(df, keys)[1] <= (page_rows or PAGE_ROWS):
+    if not large:
         w = Window.partitionBy(*keys)
         return df.withColumns({name: column.over(w) for name, column in values.items()})
     groups = df.groupBy(*keys).agg(*[column.alias(name) for name, column in values.items()])

@@ -10,7 +10,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.operators.ordered import offsets, ordered, plain, running_product, with_group_value
+from tickloom.operators.ordered import has_large_keys, offsets, ordered, plain, running_product, with_group_value
+from tickloom.session import stage
 
 # Fixed values of the training setup.
 COMMISSION = 0.0015
@@ -19,10 +20,14 @@ DECAY = 3.47222222e-7
 STEP = ("run", "step")
 
 
-def normalise_weights(rows: DataFrame, weight: str = "weight", step: Sequence[str] = STEP) -> DataFrame:
-    """Weights of each step scaled to sum to 1."""
+def normalise_weights(
+    rows: DataFrame, weight: str = "weight", step: Sequence[str] = STEP, large: bool | None = None
+) -> DataFrame:
+    """Weights of each step scaled to sum to 1. ``large``: whether a step outgrows one task."""
+    if large is None:
+        large = has_large_keys(rows, step)
     scaled = F.col(weight) / F.nullif(F.col("_total"), F.lit(0.0))
-    return with_group_value(rows, step, {"_total": F.sum(weight)}).withColumn(weight, scaled).drop("_total")
+    return with_group_value(rows, step, {"_total": F.sum(weight)}, large).withColumn(weight, scaled).drop("_total")
 
 
 def signed_weights(rows: DataFrame, weight: str = "weight") -> DataFrame:
@@ -34,10 +39,10 @@ def profit(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.sum(F.col("weight") * F.col("delta")).alias("pnl"))
 
 
-def drifted_weights(rows: DataFrame) -> DataFrame:
+def drifted_weights(rows: DataFrame, large: bool | None = None) -> DataFrame:
     """Weights after the step's price move: next price times weight, scaled to sum to 1."""
     moved = rows.withColumn("drifted", F.col("next_price") * F.col("weight"))
-    return normalise_weights(moved, "drifted")
+    return normalise_weights(moved, "drifted", large=large)
 
 
 def turnover(rows: DataFrame, commission: float = COMMISSION, decay: float = DECAY,
@@ -72,11 +77,12 @@ def run_summary(returns: DataFrame, page_rows: int | None = None) -> DataFrame:
     """
     mean, std = F.avg("step_return"), F.stddev_pop("step_return")
     log_mean = F.avg(F.ln("step_return"))
-    runs = returns.groupBy("run").agg(
+    # One row per run, written so that the chaining below does not score the steps again.
+    runs = stage(returns.groupBy("run").agg(
         mean.alias("mean"), log_mean.alias("log_mean"), F.avg("free_return").alias("log_mean_free"),
         std.alias("std"), ((mean - 1) / F.nullif(std, F.lit(0.0))).alias("sharpe"),
         F.product("step_return").alias("run_value"), (-log_mean).alias("loss"),
-    )
+    ))
     chained = running_product(
         ordered(runs.withColumn("_all", F.lit(0)), ["_all"], ["run"], page_rows), "value", F.col("run_value")
     )

@@ -28,10 +28,16 @@ def tumbling(df: DataFrame, duration: str = "5m") -> DataFrame:
 
 
 def time_grid(df: DataFrame, step: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Regular instants from ``start`` to ``end`` (timestamps), both ends included."""
-    seconds = parse_millis(step) // 1000
-    instants = F.sequence("start", "end", F.make_dt_interval(secs=F.lit(seconds)))
-    return df.select(*keys, F.explode(instants).alias("time"))
+    """Regular instants (milliseconds) from ``start`` to ``end``, both ends included.
+
+    Built in two steps of at most 10,000 instants, so that no array grows with the time range.
+    """
+    millis = parse_millis(step)
+    stride = millis * 10_000
+    strides = df.select(*keys, "end", F.explode(F.expr(f"sequence(start, end, {stride}L)")).alias("_from"))
+    return strides.select(
+        *keys, F.explode(F.expr(f"sequence(_from, least(end, _from + {stride - millis}L), {millis}L)")).alias("time")
+    )
 
 
 def window_markers(df: DataFrame, duration: str = "5m", keys: Sequence[str] = PARTITION) -> DataFrame:

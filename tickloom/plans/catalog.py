@@ -295,10 +295,8 @@ def windows(spark, sf_dir):
 SELECT {KEYS}, unnest(generate_series(a, z, 300000)) AS time FROM b""")
 def time_grid(spark, sf_dir):
     w = wn.tumbling(ad.market_events(spark, sf_dir), "5m")
-    bounds = w.groupBy(*INSTRUMENT).agg(
-        F.timestamp_millis(F.min("window_start")).alias("start"), F.timestamp_millis(F.max("window_start")).alias("end")
-    )
-    return wn.time_grid(bounds, "5m", INSTRUMENT).withColumn("time", F.unix_millis("time"))
+    bounds = w.groupBy(*INSTRUMENT).agg(F.min("window_start").alias("start"), F.max("window_start").alias("end"))
+    return wn.time_grid(bounds, "5m", INSTRUMENT)
 
 
 @query(f"""WITH {q.EVENTS}, {q.windowed(DAY)}, n AS (SELECT *, row_number() OVER (PARTITION BY {PARTITION_SQL}, window_end ORDER BY time, seq) - 1 AS r FROM w)

@@ -25,7 +25,7 @@ from tickloom.operators.windows import assign_event_time
 from tickloom.schemas import DEFAULT_LEVELS, EVENT, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, TRADE
 from tickloom.sources.readers import TOPICS, stream_messages
 from tickloom.session import stage
-from tickloom.sources.writers import balanced, named_partitions
+from tickloom.sources.writers import named_partitions
 
 SEQ = T.StructType([T.StructField("timestamp", T.LongType()), T.StructField("position", T.IntegerType())])
 DEDUPE_WINDOW = "5m"
@@ -53,16 +53,12 @@ def distinct_stream(events: DataFrame, lateness: str = DEDUPE_WINDOW) -> DataFra
 
 
 def ingest(events: DataFrame, directory: str, checkpoint: str, lateness: str = DEDUPE_WINDOW) -> StreamingQuery:
-    """Deduplicate and store events by batch, window day and instrument."""
+    """Deduplicate and store events by ingest batch and day."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         day = F.date_format("event_time", "yyyy-MM-dd")
         rows = named_partitions(batch).withColumn("event_day", day).drop("event_time")
-        (
-            balanced(rows, ["event_day", *INSTRUMENT])
-            .write.mode("overwrite").partitionBy("event_day", *INSTRUMENT)
-            .parquet(f"{directory}/ingest_batch={batch_id}")
-        )
+        rows.write.mode("overwrite").partitionBy("event_day").parquet(f"{directory}/ingest_batch={batch_id}")
 
     return (
         distinct_stream(events, lateness).writeStream.foreachBatch(store)
