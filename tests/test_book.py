@@ -1,10 +1,9 @@
 import pytest
 from market import SCHEMA, plain_replay, random_updates, stream_rows
-from pyspark.sql import functions as F
 
-from tickloom.operators.book import book_snapshots, message_books, running_state
+from tickloom.operators.book import message_books, replay_book, running_state, side_levels
 from tickloom.operators.features import book_features, window_features, window_snapshots
-from tickloom.schemas import feature_columns
+from tickloom.schemas import MEASURES, feature_columns
 
 
 def _rows(df, *columns):
@@ -49,8 +48,9 @@ def test_message_books(spark, page_rows):
     rows = random_updates(120, seed=3, instruments=1, odd_side=0)
     rows = [r[:4] + (r[8] // 4,) + r[5:] for r in rows]  # four updates per message
     df = spark.createDataFrame(rows, SCHEMA)
-    from tickloom.operators.book import replay_book
-    got = replay_book(df, ["base_asset"], None, last_of=["time"], page_rows=page_rows)
+    got = replay_book(df, ["base_asset"], None, last_of=["time"], page_rows=page_rows).withColumns(
+        {"asks": side_levels(ask=True), "bids": side_levels(ask=False)}
+    )
     want = {}
     for _, _, pos, time, side, _, p, q in plain_replay(rows):
         if pos % 4 == 0:
@@ -75,7 +75,6 @@ GOLDEN = {  # count, volume, open_q, close_q, high_q, low_q, mean_q, std_q, open
 
 
 def _check_label(row, label, values):
-    from tickloom.schemas import MEASURES
     for measure, want in zip(MEASURES, values):
         got = row[f"{label}_{measure}"]
         assert (got is None) == (want is None), (label, measure, got)

@@ -11,110 +11,23 @@ writes are found by an ordinary aggregation and put in front of the page as open
 
 from __future__ import annotations
 
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F, types as T
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
+from tickloom.operators import replay
 from tickloom.operators.ordered import Ordered, null_safe_join, ordered
+from tickloom.operators.replay import EMIT, EMPTY_QUANTITY, OPENING, SILENT
 from tickloom.schemas import DEFAULT_LEVELS, EVENT_ORDER
 
-# Fixed value: a level whose quantity is below this is a delete.
-EMPTY_QUANTITY = 1e-9
-
-_LEVELS = T.ArrayType(T.StructType([T.StructField("price", T.DoubleType()), T.StructField("quantity", T.DoubleType())]))
-_OPENING, _SILENT, _EMIT = 0, 1, 2  # a level carried in, an update without output, one with
-_BATCH_LEVELS = 500_000  # levels per output batch: whole books of deep instruments stay small in memory
-
-
-class _Side:
-    """Live levels of one side, best first. A rank is the price, negated for bids."""
-
-    __slots__ = ("depth", "ranks", "quantities", "sign", "stale", "top")
-
-    def __init__(self, sign: int, depth: int | None):
-        self.sign, self.depth = sign, depth
-        self.ranks: list[float] = []
-        self.quantities: dict[float, float] = {}
-        self.stale, self.top = False, ([], [])
-
-    def write(self, price: float, quantity: float) -> None:
-        rank = self.sign * price
-        known = rank in self.quantities
-        place = bisect_left(self.ranks, rank)
-        if quantity < EMPTY_QUANTITY:
-            if not known:
-                return
-            del self.ranks[place], self.quantities[rank]
-        else:
-            self.quantities[rank] = quantity
-            if not known:
-                self.ranks.insert(place, rank)
-        if self.depth is None or place < self.depth:
-            self.stale = True
-
-    def best(self) -> tuple[list[float], list[float]]:
-        if self.stale:
-            ranks = self.ranks[: self.depth]
-            self.top = ([self.sign * r for r in ranks], [self.quantities[r] for r in ranks])
-            self.stale = False
-        return self.top
-
-
-class _Output:
-    """Rows to emit from one input batch, with the levels of both sides."""
-
-    def __init__(self) -> None:
-        self.rows: list[int] = []
-        self.sides = ([0], [], []), ([0], [], [])
-
-    def add(self, row: int, books: tuple[_Side, _Side]) -> None:
-        self.rows.append(row)
-        for side, (ends, prices, quantities) in zip(books, self.sides):
-            best = side.best()
-            prices.extend(best[0])
-            quantities.extend(best[1])
-            ends.append(len(prices))
-
-    def full(self) -> bool:
-        return len(self.sides[0][1]) + len(self.sides[1][1]) > _BATCH_LEVELS
-
-    def batch(self, source: pa.RecordBatch, carried: Sequence[str]) -> pa.RecordBatch:
-        rows = source.take(pa.array(self.rows, pa.int64()))
-        columns = [rows.column(c) for c in (*carried, "_pos")]
-        for ends, prices, quantities in self.sides:
-            levels = pa.StructArray.from_arrays(
-                [pa.array(prices, pa.float64()), pa.array(quantities, pa.float64())], names=["price", "quantity"]
-            )
-            columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), levels))
-        return pa.RecordBatch.from_arrays(columns, names=[*carried, "pos", "asks", "bids"])
-
-
-def _replay(depth: int | None, carried: Sequence[str]):
-    """Arrow batches of sorted updates -> the rows to emit, with both sides of the book."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        books = _Side(1, depth), _Side(-1, depth)
-        for batch in batches:
-            starts, writes, prices, quantities, roles = (
-                batch.column(c).to_numpy(zero_copy_only=False).tolist()
-                for c in ("_starts", "_write", "price", "quantity", "_role")
-            )
-            output = _Output()
-            for i, write in enumerate(writes):
-                if starts[i]:
-                    books = _Side(1, depth), _Side(-1, depth)
-                if write:
-                    books[write < 0].write(prices[i], quantities[i])
-                if roles[i] == _EMIT:
-                    output.add(i, books)
-                    if output.full():
-                        yield output.batch(batch, carried)
-                        output = _Output()
-            yield output.batch(batch, carried)
-
-    return run
+# The helper travels with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(replay)
+
+_BOOK = T.ArrayType(T.StructType([
+    T.StructField("ask", T.BooleanType()), T.StructField("level", T.IntegerType()),
+    T.StructField("price", T.DoubleType()), T.StructField("quantity", T.DoubleType()),
+]))
 
 
 def replay_book(
@@ -130,16 +43,16 @@ def replay_book(
     ``levels`` limits the sides (None: all live levels). With ``last_of`` the book is given only
     where the next update differs in those columns (say, at the end of a message). A side other
     than ask and bid changes no book but still counts as an update. Result: the update's other
-    columns, ``pos`` (1..n per key), ``asks`` and ``bids`` as arrays of (price, quantity).
+    columns, ``pos`` (1..n per key) and ``book``: (ask, level, price, quantity), asks then bids.
     """
     o = ordered(updates, keys, order, page_rows)
     carried = [c for c in updates.columns if c not in ("price", "quantity", "side")]
     if last_of is None:
-        rows = o.df.withColumn("_role", F.lit(_EMIT))
+        rows = o.df.withColumn("_role", F.lit(EMIT))
     else:
         unit = F.struct(*last_of)
         rows = o.near(0, 1, lambda w: {
-            "_role": F.when(F.lead(unit).over(w).eqNullSafe(unit), _SILENT).otherwise(_EMIT)
+            "_role": F.when(F.lead(unit).over(w).eqNullSafe(unit), SILENT).otherwise(EMIT)
         })
     side = F.when(F.col("side") == "ask", 1).when(F.col("side") == "bid", -1).otherwise(0)
     # A price that is no number has no place in a sorted book.
@@ -155,10 +68,10 @@ def replay_book(
         rows = rows.withColumn("_starts", F.col("_pos") == 1).sortWithinPartitions(*o.keys, *o.order)
     schema = T.StructType(
         [updates.schema[c] for c in carried]
-        + [T.StructField("pos", T.LongType()), T.StructField("asks", _LEVELS), T.StructField("bids", _LEVELS)]
+        + [T.StructField("pos", T.LongType()), T.StructField("book", _BOOK)]
     )
     needed = rows.select(*carried, "price", "quantity", "_write", "_role", "_starts", "_pos")
-    return needed.mapInArrow(_replay(levels, carried), schema)
+    return needed.mapInArrow(replay.replay(levels, carried), schema)
 
 
 def _openings(rows: DataFrame, o: Ordered) -> DataFrame:
@@ -178,7 +91,7 @@ def _openings(rows: DataFrame, o: Ordered) -> DataFrame:
         .where("_until > _page")
         .withColumn("_page", F.explode(F.expr("sequence(_page + 1, _until)")))
     )
-    return live.select(*o.group, "_write", "price", "quantity", F.lit(_OPENING).alias("_role"))
+    return live.select(*o.group, "_write", "price", "quantity", F.lit(OPENING).alias("_role"))
 
 
 def book_snapshots(
@@ -196,20 +109,21 @@ def book_snapshots(
 
 def explode_levels(books: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Both sides of each book as rows of (side, level, price, quantity)."""
-    def tagged(name: str, side: str):
-        return F.transform(name, lambda entry, i: F.struct(
-            F.lit(side).alias("side"), i.cast("int").alias("level"),
-            entry["price"].alias("price"), entry["quantity"].alias("quantity"),
-        ))
+    rows = books.select(*columns, F.inline("book"))
+    side = F.when(F.col("ask"), "ask").otherwise("bid")
+    return rows.select(*columns, side.alias("side"), "level", "price", "quantity")
+
 
-    both = F.concat(tagged("asks", "ask"), tagged("bids", "bid"))
-    return books.select(*columns, F.inline(both))
+def side_levels(ask: bool) -> Column:
+    """One side of ``book`` as an array of (price, quantity), best first."""
+    kept = F.filter("book", lambda x: x["ask"] if ask else ~x["ask"])
+    return F.transform(kept, lambda x: F.struct(x["price"].alias("price"), x["quantity"].alias("quantity")))
 
 
 def running_state(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The whole price -> quantity map of each key after every (price, quantity) write."""
     books = replay_book(df.withColumn("side", F.lit("ask")), keys, None, order)
-    return books.select(*keys, "pos", F.map_from_entries("asks").alias("state"))
+    return books.select(*keys, "pos", F.map_from_entries(side_levels(ask=True)).alias("state"))
 
 
 def message_books(

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from tickloom.functions.blocks import alternative_block, stat_block
 from tickloom.functions.durations import parse_millis
 from tickloom.operators.book import book_snapshots
+from tickloom.operators.order_key import single_order
 from tickloom.operators.ordered import has_large_keys, null_safe_join, ordered, with_group_value
 from tickloom.operators.windows import tumbling
 from tickloom.schemas import (
@@ -31,6 +32,7 @@ def trade_features(
     ``compat`` reproduces the original output, where all three blocks describe all trades.
     """
     trades = tumbling(events.where(F.col("event_type") == TRADE), duration)
+    trades, order = single_order(trades, order, parse_millis(duration))
     aggregates = stat_block("all", order=order)
     if not compat:
         for label in ("buy", "sell"):
@@ -149,7 +151,8 @@ def trade_block_alternative(
     trades: DataFrame, duration: str = "5m", keys: Sequence[str] = INSTRUMENT, order: Sequence[str] = EVENT_ORDER
 ) -> DataFrame:
     """Notebook trade block on raw (not notional) quantities."""
-    return tumbling(trades, duration).groupBy(*keys, "window_end").agg(*alternative_block(order))
+    rows, order = single_order(tumbling(trades, duration), order, parse_millis(duration))
+    return rows.groupBy(*keys, "window_end").agg(*alternative_block(order))
 
 
 def extended_stats(

@@ -479,7 +479,7 @@ def book_state(spark, sf_dir):
     asks = wn.tumbling(ev.of_type(ad.market_events(spark, sf_dir), LEVEL_UPDATE), "24h")
     # Bids take a position in the replay but leave the ask state as it is.
     books = book.replay_book(asks, [*INSTRUMENT, "window_end"], None)
-    states = books.select(*INSTRUMENT, "window_end", "pos", F.map_from_entries("asks").alias("state"))
+    states = books.select(*INSTRUMENT, "window_end", "pos", F.map_from_entries(book.side_levels(ask=True)).alias("state"))
     return states.select(*INSTRUMENT, "window_end", "pos", F.explode("state").alias("price", "quantity"))
 
 

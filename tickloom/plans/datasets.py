@@ -32,8 +32,10 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], No
 def archive(spark: SparkSession, sf_dir: str) -> str:
     """Message archive with the directories `trades` and `depths`."""
     def write(path: str) -> None:
-        adapters.trade_messages(spark, sf_dir).write.parquet(f"{path}/trades")
-        adapters.depth_messages(spark, sf_dir).write.parquet(f"{path}/depths")
+        # Spread over all cores: the small source tables come in one or two row groups.
+        cores = spark.sparkContext.defaultParallelism
+        adapters.trade_messages(spark, sf_dir).repartition(cores).write.parquet(f"{path}/trades")
+        adapters.depth_messages(spark, sf_dir).repartition(cores).write.parquet(f"{path}/depths")
 
     return _once(spark, sf_dir, "archive", write)
 
