@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from tickloom.functions.durations import parse_millis
 from tickloom.functions.naming import feature_table_name
 from tickloom.operators import windows as wn
-from tickloom.schemas import PRESET_44, PRESET_60, extended_columns, feature_columns, feature_schema
+from tickloom.schemas import PRESET_44, PRESET_60, extended_columns, feature_columns, feature_schema, older_names
 
 
 def test_durations():
@@ -31,6 +31,9 @@ def test_column_contracts():
     assert (len(PRESET_44), len(PRESET_60), len(extended_columns())) == (44, 60, 442)
     assert set(PRESET_44) | set(PRESET_60) <= set(feature_columns())
     assert len(set(extended_columns())) == 442
+    older = older_names()
+    assert len(older) == 252
+    assert (older["closePrice"], older["bid_9_stdQty"], older["ask_0_vwap"]) == ("all_close_price", "bid_9_std_quantity", "ask_0_vwap")
 
 
 def test_table_name():

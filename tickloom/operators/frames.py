@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.operators import ordered as o_
 from tickloom.operators.ordered import Ordered, ordered
-from tickloom.schemas import INSTRUMENT
+from tickloom.schemas import INSTRUMENT, older_names
 
 FRAME_ROWS = 90
 WARM_UP_ROWS = 150
@@ -151,3 +151,11 @@ def reindex(rows: DataFrame, index: Sequence[str], drop: Sequence[str] = ()) ->
 
 def select_preset(features: DataFrame, preset: Sequence[str], control: Sequence[str] = (*INSTRUMENT, "window_end")):
     return features.select(*control, *preset)
+
+
+def from_older_names(features: DataFrame, levels: int = 10) -> DataFrame:
+    return features.withColumnsRenamed(older_names(levels))
+
+
+def to_older_names(features: DataFrame, levels: int = 10, control: Sequence[str] = (*INSTRUMENT, "window_end")) -> DataFrame:
+    return features.select(*control, *[F.col(c).alias(older) for older, c in older_names(levels).items()])

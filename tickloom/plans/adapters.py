@@ -11,9 +11,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def utc_instant(column: str) -> Column:
+    """The tables hold wall-clock times without a zone; they are read as UTC."""
+    return F.from_utc_timestamp(F.col(column).cast("timestamp"), F.current_timezone())
+
+
 def _millis(column: str) -> Column:
-    # The tables hold wall-clock timestamps without a zone; they are read as UTC.
-    return F.unix_millis(F.to_utc_timestamp(F.col(column).cast("timestamp"), "UTC"))
+    return F.unix_millis(utc_instant(column))
 
 
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:

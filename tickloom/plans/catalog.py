@@ -14,6 +14,7 @@ from tickloom.plans import adapters as ad, datasets as ds, sqltext as q
 from tickloom.schemas import (
     DEFAULT_LEVELS, EVENT_COLUMNS, EXTENDED_MEASURES, INSTRUMENT, LEVEL_UPDATE, MEASURES, PARTITION, PRESET_44,
     PRESET_60, TRADE, TRADE_LABELS, block_columns, book_labels, extended_columns, feature_columns,
+    older_names,
 )
 from tickloom.session import shared_dir
 from tickloom.sources import readers, writers
@@ -72,7 +73,7 @@ def envelopes(spark, sf_dir):
     raw = ad.table(spark, sf_dir, "events")
     rows = readers.to_envelope(
         raw, F.concat_ws(":", "event_type", "props"), F.create_map(F.lit("user"), F.col("user_id").cast("string")),
-        F.to_utc_timestamp(F.col("ts").cast("timestamp"), "UTC"),
+        ad.utc_instant("ts"),
     )
     return rows.select(
         F.col("message").cast("string").alias("payload"), F.element_at("attributes", "user").alias("user_id"), "timestamp"
@@ -105,7 +106,8 @@ SELECT *, 86400 AS interval FROM (SELECT {KEYS}, window_end, all_count, all_clos
 WHERE exchange = 'ex0' AND base_asset = 'A1'""")
 def stored_feature_table(spark, sf_dir):
     rows = ft.to_feature_rows(ds.trade_rows(spark, sf_dir, "24h"), "24h")
-    name = writers.write_features(rows, "ex0", "USDT", "A1", "24h", location=f"{shared_dir(spark)}/tables")
+    location = f"{shared_dir(spark)}/tables-{spark.sparkContext.applicationId}"
+    name = writers.write_features(rows, "ex0", "USDT", "A1", "24h", location)
     return spark.table(f"`{name}`").select(
         *INSTRUMENT, "window_end", "all_count", "all_close_price", "all_vwap", F.col("interval").cast("int")
     )
@@ -123,7 +125,7 @@ def features_as_text(spark, sf_dir):
   'trades' AS source, count(*) AS failures FROM events WHERE event_type = 'error' GROUP BY 1""")
 def written_failures(spark, sf_dir):
     _, failed = ps.parse_trades(ds.messages(spark, sf_dir, "trades"))
-    path = ds._once(spark, sf_dir, "failures", lambda p: writers.write_failures(failed, p))
+    path = ds.written_once(spark, sf_dir, "failures", lambda p: writers.write_failures(failed, p))
     stored = spark.read.schema(failed.schema).json(path)
     return stored.groupBy("error_class", "source").agg(F.count("*").alias("failures"))
 
@@ -131,7 +133,7 @@ def written_failures(spark, sf_dir):
 @query(f"""WITH {q.EVENTS} SELECT time, side, quantity, price FROM ev
 WHERE event_type = 'trade' AND exchange = 'ex0' AND base_asset || quote_asset = 'A0USDT'""")
 def instrument_extract(spark, sf_dir):
-    path = ds._once(
+    path = ds.written_once(
         spark, sf_dir, "extract",
         lambda p: writers.extract_instrument(ad.market_events(spark, sf_dir), "ex0", "A0USDT", p),
     )
@@ -141,7 +143,7 @@ def instrument_extract(spark, sf_dir):
 @query(f"""WITH {q.EVENTS} SELECT time, price, {q.rnd('quantity')}, side FROM ev WHERE event_type = 'levelUpdate'""")
 def level_csv(spark, sf_dir):
     rows = ev.of_type(ad.market_events(spark, sf_dir), LEVEL_UPDATE).select("time", "price", "quantity", "side")
-    return readers.read_level_csv(spark, ds._once(spark, sf_dir, "csv", lambda p: rows.write.csv(p)))
+    return readers.read_level_csv(spark, ds.written_once(spark, sf_dir, "csv", lambda p: rows.write.csv(p)))
 
 
 # --- parsing -----------------------------------------------------------------------------------
@@ -288,7 +290,8 @@ def head_rows(spark, sf_dir):
 @query(f"""WITH {q.EVENTS}, {q.windowed(300000)} SELECT seq, make_timestamp(time * 1000) AS event_time, time - time % 300000 AS window_start, window_end FROM w""")
 def windows(spark, sf_dir):
     timed = wn.tumbling(wn.assign_event_time(ad.market_events(spark, sf_dir)), "5m")
-    return timed.select("seq", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "window_start", "window_end")
+    utc = F.to_utc_timestamp("event_time", F.current_timezone()).cast("timestamp_ntz")
+    return timed.select("seq", utc.alias("event_time"), "window_start", "window_end")
 
 
 @query(f"""WITH {q.EVENTS}, b AS (SELECT {KEYS}, min(time - time % 300000) AS a, max(time - time % 300000) AS z FROM ev GROUP BY {KEYS})
@@ -620,6 +623,12 @@ def preset_60(spark, sf_dir):
     return fr.select_preset(ds.feature_rows(spark, sf_dir, "24h"), PRESET_60)
 
 
+@query(f"""WITH {_FEATURES} SELECT {KEYS}, window_end, {', '.join(f'{c} AS "{older}"' for older, c in older_names(5).items())}
+FROM tf FULL JOIN bf USING ({KEYS}, window_end)""")
+def older_record(spark, sf_dir):
+    return fr.to_older_names(ds.feature_rows(spark, sf_dir, "24h"), 5)
+
+
 @query(f"WITH {q.EVENTS}, {q.trade_rows(DAY)} SELECT window_end, quote_asset, exchange, all_count FROM tf")
 def reindexed(spark, sf_dir):
     rows = ds.trade_rows(spark, sf_dir, "24h").select(*INSTRUMENT, "window_end", "all_count")
@@ -709,7 +718,7 @@ def portfolio_delta(spark, sf_dir):
 
 # --- streams over the same events, run to the end of their input --------------------------------
 
-_CLOSED = f"WHERE window_end < (SELECT max(time) FROM ev WHERE event_type = 'trade') - 1"
+_CLOSED = "WHERE window_end < (SELECT max(time) FROM ev WHERE event_type = 'trade') - 1"
 
 
 def _event_stream(spark, sf_dir):
@@ -717,6 +726,19 @@ def _event_stream(spark, sf_dir):
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
+@query(f"""WITH {q.EVENTS}, {q.trade_rows(DAY)} SELECT exchange, base_asset, CAST(window_end AS VARCHAR) AS window_end, CAST(all_count AS VARCHAR) AS all_count
+FROM tf {_CLOSED}""")
+def published_features(spark, sf_dir):
+    """Streamed feature rows as the strings of a message bus."""
+    def run(path: str) -> None:
+        rows = jobs.trade_feature_stream(_event_stream(spark, sf_dir), "24h", order=["time", "seq"])
+        jobs.publish(rows, path, f"{path}-state").awaitTermination()
+
+    fields = ("exchange", "base_asset", "window_end", "all_count")
+    text = spark.read.text(ds.written_once(spark, sf_dir, "published", run))
+    return text.select(*[F.get_json_object("value", f"$.{f}").alias(f) for f in fields])
+
+
 @query(f"WITH {q.EVENTS}, {q.trade_rows(DAY)} SELECT * FROM tf {_CLOSED}")
 def streamed_trade_features(spark, sf_dir):
     """Windows the watermark has passed; the last one stays open."""
@@ -728,7 +750,7 @@ def streamed_trade_features(spark, sf_dir):
         )
         started.awaitTermination()
 
-    return spark.read.parquet(ds._once(spark, sf_dir, "stream-trades", run))
+    return spark.read.parquet(ds.written_once(spark, sf_dir, "stream-trades", run))
 
 
 _STREAM_CLOSED = "WHERE window_end < (SELECT max(time) FROM ev) - 1"
@@ -743,5 +765,5 @@ def streamed_window_features(spark, sf_dir):
             spark, f"{path}/events", f"{path}/rows", f"{path}-features", "24h", order=["time", "seq"], seq=T.LongType()
         ).awaitTermination()
 
-    path = ds._once(spark, sf_dir, "stream-features", run)
+    path = ds.written_once(spark, sf_dir, "stream-features", run)
     return spark.read.parquet(f"{path}/rows").select(*feature_columns(DEFAULT_LEVELS))

@@ -20,7 +20,7 @@ from tickloom.sources.writers import write_events
 _WRITTEN: dict[tuple, str] = {}
 
 
-def _once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
+def written_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[str], None]) -> str:
     key = (spark.sparkContext.applicationId, shared_dir(spark), sf_dir, name)
     if key not in _WRITTEN:
         path = f"{shared_dir(spark)}/data-{uuid.uuid4().hex}-{name}"
@@ -37,7 +37,7 @@ def archive(spark: SparkSession, sf_dir: str) -> str:
         adapters.trade_messages(spark, sf_dir).repartition(cores).write.parquet(f"{path}/trades")
         adapters.depth_messages(spark, sf_dir).repartition(cores).write.parquet(f"{path}/depths")
 
-    return _once(spark, sf_dir, "archive", write)
+    return written_once(spark, sf_dir, "archive", write)
 
 
 def messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
@@ -46,17 +46,17 @@ def messages(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
 
 def event_store(spark: SparkSession, sf_dir: str) -> str:
     """Market events partitioned by exchange, quote asset, base asset and event type."""
-    return _once(spark, sf_dir, "events", lambda path: write_events(adapters.market_events(spark, sf_dir), path))
+    return written_once(spark, sf_dir, "events", lambda path: write_events(adapters.market_events(spark, sf_dir), path))
 
 
 def event_files(spark: SparkSession, sf_dir: str) -> str:
     """Market events as plain files, the input of the streams."""
-    return _once(spark, sf_dir, "files", lambda path: adapters.market_events(spark, sf_dir).write.parquet(path))
+    return written_once(spark, sf_dir, "files", lambda path: adapters.market_events(spark, sf_dir).write.parquet(path))
 
 
 def trade_rows(spark: SparkSession, sf_dir: str, duration: str) -> DataFrame:
     """Stored trade feature rows of the market events."""
-    path = _once(
+    path = written_once(
         spark, sf_dir, f"trades-{duration}",
         lambda p: trade_features(adapters.market_events(spark, sf_dir), duration).write.parquet(p),
     )
@@ -65,7 +65,7 @@ def trade_rows(spark: SparkSession, sf_dir: str, duration: str) -> DataFrame:
 
 def feature_rows(spark: SparkSession, sf_dir: str, duration: str) -> DataFrame:
     """Stored full feature rows of the market events."""
-    path = _once(
+    path = written_once(
         spark, sf_dir, f"features-{duration}",
         lambda p: window_features(adapters.market_events(spark, sf_dir), duration).write.parquet(p),
     )

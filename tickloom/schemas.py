@@ -97,6 +97,22 @@ PRESET_60 = [
     for m in (*_BARS, "low_quantity", "mean_quantity", "vwap", "std_price")
 ] + [f"{label}_{m}" for label in _paired(3) for m in (*_BARS, "vwap", "std_price")]
 
+# The twelve measures of the older feature record, in its order.
+_OLDER = ("count", *[f"{stat}_{field}" for field in ("price", "quantity") for stat in ("close", "high", "low", "mean", "std")], "vwap")
+_OLDER_FIELDS = {"price": "Price", "quantity": "Qty"}
+
+
+def older_names(levels: int = 10) -> dict[str, str]:
+    """Names of the older feature record (252 at ten levels) and the columns they stand for."""
+    names = {}
+    for label in ("all", *book_labels(levels)):
+        for measure in _OLDER:
+            stat, _, field = measure.partition("_")
+            older = stat + _OLDER_FIELDS.get(field, "")
+            names[older if label == "all" else f"{label}_{older}"] = f"{label}_{measure}"
+    return names
+
+
 # The statistics of the extended block, applied to price and quantity.
 EXTENDED_STATS = ("mean", "median", "skew", "std", "min", "max", "mad", "first", "last")
 EXTENDED_MEASURES = ("count_price", "sum_quantity") + tuple(

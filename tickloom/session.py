@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_LOCAL: dict[str, str] = {}  # folders chosen in local mode, by application
+
 
 def build_session(app: str = "tickloom", master: str | None = None, **conf: str) -> SparkSession:
     """Session with the settings the operators assume (UTC, adaptive execution)."""
@@ -36,9 +38,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL:
+        _LOCAL[application] = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    return _LOCAL[application]
 
 
 def stage(df: DataFrame) -> DataFrame:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions.durations import parse_millis
+from tickloom.functions.durations import parse_millis, utc_text
 from tickloom.functions.naming import feature_table_name
 from tickloom.operators.events import extract_trades
 from tickloom.schemas import PARTITION
@@ -43,7 +43,7 @@ def window_directories(df: DataFrame) -> DataFrame:
         raise ValueError("windowed output needs a window_end column; these rows are not windowed")
     end = F.timestamp_millis(F.col("window_end") + 1)
     formats = {"year": "yyyy", "month": "MM", "day": "dd", "hour": "HH"}
-    return df.withColumns({name: F.date_format(end, pattern) for name, pattern in formats.items()})
+    return df.withColumns({name: utc_text(end, pattern) for name, pattern in formats.items()})
 
 
 def write_windowed(df: DataFrame, directory: str, shards: int = 1, mode: str = "append", fmt: str = "parquet") -> None:

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.blocks import stat_block
-from tickloom.functions.durations import parse_millis
+from tickloom.functions.durations import parse_millis, utc_text
 from tickloom.operators.events import flatten
 from tickloom.operators.features import window_features
 from tickloom.operators.parse import parse_depths, parse_trades
@@ -25,7 +25,7 @@ from tickloom.operators.windows import assign_event_time
 from tickloom.schemas import DEFAULT_LEVELS, EVENT, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, TRADE
 from tickloom.sources.readers import TOPICS, stream_messages
 from tickloom.session import stage
-from tickloom.sources.writers import named_partitions
+from tickloom.sources.writers import as_text, named_partitions
 
 SEQ = T.StructType([T.StructField("timestamp", T.LongType()), T.StructField("position", T.IntegerType())])
 DEDUPE_WINDOW = "5m"
@@ -56,7 +56,7 @@ def ingest(events: DataFrame, directory: str, checkpoint: str, lateness: str = D
     """Deduplicate and store events by ingest batch and day."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        day = F.date_format("event_time", "yyyy-MM-dd")
+        day = utc_text(F.col("event_time"), "yyyy-MM-dd")
         rows = named_partitions(batch).withColumn("event_day", day).drop("event_time")
         rows.write.mode("overwrite").partitionBy("event_day").parquet(f"{directory}/ingest_batch={batch_id}")
 
@@ -113,7 +113,7 @@ def events_of(spark: SparkSession, directory: str, closed: DataFrame, duration:
     stored = spark.read.schema(stored_schema(seq)).parquet(directory)
     if bounds[0] is None:
         return stored.where(F.lit(False))
-    days = [F.date_format(F.timestamp_millis(F.lit(b)), "yyyy-MM-dd") for b in bounds]
+    days = [utc_text(F.timestamp_millis(F.lit(b)), "yyyy-MM-dd") for b in bounds]
     millis = F.lit(parse_millis(duration)).cast("bigint")
     windowed = stored.where(F.col("event_day").between(*days)).withColumn(
         "window_start", F.col("time") - F.pmod(F.col("time"), millis)
@@ -150,3 +150,11 @@ def feature_job(
         closed_windows(stored, duration, lateness).writeStream.outputMode("append").foreachBatch(compute)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
+
+
+def publish(rows: DataFrame, target: str, checkpoint: str, fmt: str = "text", **options: str) -> StreamingQuery:
+    """Rows as JSON strings to a text directory, or to another sink with a ``value`` column (Kafka:
+    ``fmt="kafka"``, ``target`` the topic, ``kafka.bootstrap.servers`` among the options)."""
+    writer = as_text(rows).writeStream.format(fmt).outputMode("append").options(**options)
+    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    return writer.option("topic", target).start() if fmt == "kafka" else writer.start(target)
