@@ -137,8 +137,10 @@ def multi_resolution_frames(
     starts = o_.running_sum(merged, "_before", F.col("_coarse")).where("_coarse = 0").select(
         *keys, "time", (F.col("_before") + 1).alias("_at")
     )
-    # Instruments are never NULL, and plain equality keeps the partitioning of both sides.
-    joined = small.join(starts.join(big, [*keys, "_at"], "left"), [*keys, "time"])
+    # Merge joins: the planner's size estimate counts a frame as a single row, so a side that looks
+    # small enough to broadcast may be far too large.
+    placed = starts.join(big.hint("merge"), [*keys, "_at"], "left")
+    joined = small.hint("merge").join(placed, [*keys, "time"])
     kind = big.schema["coarse_frame"].dataType
     return joined.withColumn("coarse_frame", F.coalesce("coarse_frame", F.array().cast(kind))).drop("_at")
 

@@ -45,29 +45,32 @@ def drifted_weights(rows: DataFrame, large: bool | None = None) -> DataFrame:
     return normalise_weights(moved, "drifted", large=large)
 
 
+def _scored_steps(rows: DataFrame, commission: float, decay: float, page_rows: int | None) -> DataFrame:
+    o = ordered(drifted_weights(rows), ["run", "asset"], ["step"], page_rows)
+    traded = offsets(o, {"_held": ("drifted", -1)})
+    gain = F.col("weight") * (F.col("next_price") - F.col("current_price"))
+    moved = F.when(F.col("asset") > 0, F.abs(F.col("weight") - F.col("_held"))).otherwise(F.lit(0.0))
+    steps = traded.groupBy(*STEP).agg(
+        (F.sum(gain) + 1).alias("free_return"), F.sum(moved).alias("_moved"), F.min("_pos").alias("_pos")
+    )
+    cost = F.coalesce("_moved", F.lit(0.0)) * commission + decay
+    return steps.withColumn("mu", F.when(F.col("_pos") == 1, F.lit(1.0)).otherwise(1 - cost))
+
+
 def turnover(rows: DataFrame, commission: float = COMMISSION, decay: float = DECAY,
              page_rows: int | None = None) -> DataFrame:
     """Cost factor ``mu`` of each step: trading from the drifted to the new weights, plus decay.
 
     The first step of a run costs nothing. Asset 0 is free of commission.
     """
-    o = ordered(drifted_weights(rows), ["run", "asset"], ["step"], page_rows)
-    traded = offsets(o, {"_held": ("drifted", -1)})
-    moved = F.when(F.col("asset") > 0, F.abs(F.col("weight") - F.col("_held"))).otherwise(F.lit(0.0))
-    steps = traded.groupBy(*STEP).agg(F.sum(moved).alias("_moved"), F.min("_pos").alias("_pos"))
-    mu = F.when(F.col("_pos") == 1, F.lit(1.0)).otherwise(
-        1 - (F.coalesce("_moved", F.lit(0.0)) * commission + decay)
-    )
-    return steps.select(*STEP, mu.alias("mu"))
+    return _scored_steps(rows, commission, decay, page_rows).select(*STEP, "mu")
 
 
 def step_returns(rows: DataFrame, commission: float = COMMISSION, decay: float = DECAY,
                  page_rows: int | None = None) -> DataFrame:
     """Per (run, step): ``free_return``, ``mu`` and ``step_return`` = free_return * mu."""
-    gain = F.col("weight") * (F.col("next_price") - F.col("current_price"))
-    free = rows.groupBy(*STEP).agg((F.sum(gain) + 1).alias("free_return"))
-    costs = turnover(rows, commission, decay, page_rows)
-    return free.join(costs, [*STEP]).withColumn("step_return", F.col("free_return") * F.col("mu"))
+    steps = _scored_steps(rows, commission, decay, page_rows)
+    return steps.select(*STEP, "free_return", "mu", (F.col("free_return") * F.col("mu")).alias("step_return"))
 
 
 def run_summary(returns: DataFrame, page_rows: int | None = None) -> DataFrame:
