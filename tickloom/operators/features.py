@@ -80,7 +80,7 @@ def widen(
     block = F.struct(*measures)
     picked = [F.first(F.when(F.col("label") == label, block), ignorenulls=True).alias(label) for label in labels]
     rows = stats.groupBy(*keys).agg(*picked)
-    return rows.select(*keys, *[F.col(f"{label}.{m}").alias(name(label, m)) for label in labels for m in measures])
+    return rows.selectExpr(*keys, *[f"{label}.{m} AS {name(label, m)}" for label in labels for m in measures])
 
 
 def book_features(
@@ -103,8 +103,8 @@ def to_feature_rows(rows: DataFrame, duration: str, levels: int = DEFAULT_LEVELS
     """The output contract: control columns and every label, absent columns as NULL."""
     present = set(rows.columns) | {"interval"}
     rows = rows.withColumn("interval", F.lit(parse_millis(duration) // 1000).cast("bigint"))
-    return rows.select(*[
-        (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+    return rows.selectExpr(*[
+        f"CAST({f.name if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS {f.name}"
         for f in feature_schema(levels)
     ])
 

@@ -5,11 +5,11 @@ is small, and the wrong one when a single key holds a large share of the rows. `
 checks the sizes first (one narrow, map-side combined count):
 
 * every key within ``page_rows``: plain windows per key, one shuffle;
-* otherwise rows are range-partitioned by (key, order), which splits a hot key evenly, written
-  to the shared folder, and numbered per key by adding each partition's running offset. Later
-  steps then work on (key, page) groups of at most ``page_rows`` rows: neighbours across a page
-  edge are copied in (``Ordered.near``), totals of earlier pages are carried in
-  (``Ordered.carried``).
+* otherwise the rows of the hot keys are range-partitioned by (key, order), which splits a hot key
+  evenly, written to the shared folder, and numbered per key by adding each partition's running
+  offset; the rest is numbered as above. Later steps then work on (key, page) groups of at most
+  ``page_rows`` rows: neighbours across a page edge are copied in (``Ordered.near``), totals of
+  earlier pages are carried in (``Ordered.carried``).
 
 Both forms give the same rows. ``order`` must be unique within a key.
 """
@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tickloom.session import stage
 
 PAGE_ROWS = 4_000_000
+_BROADCAST_KEYS = 100_000
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -82,23 +83,30 @@ class Ordered:
 
 def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows: int | None = None) -> Ordered:
     keys, order, page_rows = tuple(keys), tuple(order), page_rows or PAGE_ROWS
-    rows, largest = key_sizes(df, keys)
-    if largest <= page_rows:
-        pos = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-        numbered = df.withColumns({"_pos": pos, "_page": F.lit(0).cast("bigint")})
-        return Ordered(numbered, keys, order, page_rows, paged=False)
-    return Ordered(_number_by_range(df, keys, order, rows, page_rows), keys, order, page_rows, paged=True)
+    if not has_large_keys(df, keys, page_rows):
+        return Ordered(_number_by_key(df, keys, order), keys, order, page_rows, paged=False)
+    hot = stage(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > page_rows))
+    hot_keys, hot_rows = hot.agg(F.count("*"), F.sum("_n")).first()
+    # There are at most rows / page_rows hot keys; broadcast them while they are few.
+    listed = F.broadcast(hot.drop("_n")) if hot_keys <= _BROADCAST_KEYS else hot.drop("_n")
+    numbered = _number_by_range(null_safe_join(df, listed, keys, "left_semi"), keys, order, hot_rows, page_rows)
+    others = _number_by_key(null_safe_join(df, listed, keys, "left_anti"), keys, order)
+    return Ordered(numbered.unionByName(others), keys, order, page_rows, paged=True)
 
 
-def key_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
-    """All rows, and the rows of the largest key."""
+def _number_by_key(df: DataFrame, keys, order) -> DataFrame:
+    pos = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+    return df.withColumns({"_pos": pos, "_page": F.lit(0).cast("bigint")})
+
+
+def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows of the largest key."""
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    rows, largest = sizes.agg(F.sum("_n"), F.max("_n")).first()
-    return rows or 0, largest or 0
+    return sizes.agg(F.max("_n")).first()[0] or 0
 
 
 def has_large_keys(df: DataFrame, keys: Sequence[str], page_rows: int | None = None) -> bool:
-    return key_sizes(df, keys)[1] > (page_rows or PAGE_ROWS)
+    return largest_key(df, keys) > (page_rows or PAGE_ROWS)
 
 
 def _number_by_range(df: DataFrame, keys, order, rows: int, page_rows: int) -> DataFrame:
@@ -129,7 +137,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     match = F.lit(True)
     for c in on:
         match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return left.join(renamed, match, how).drop(*[f"__{c}" for c in on])
+    return left.join(renamed, match, how).drop(*[f"__{c}" for c in on])  # semi and anti joins have none to drop
 
 
 def with_group_value(

@@ -33,8 +33,8 @@ EVENT_SQL = ", ".join(EVENT_COLUMNS)
 
 def rounded(df: DataFrame) -> DataFrame:
     """Doubles to six places, as in the SQL: sums depend on the order of addition."""
-    return df.select(*[
-        F.round(F.col(f.name) + F.lit(1e-9), 6).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+    return df.selectExpr(*[
+        f"round(`{f.name}` + 1e-9D, 6) AS `{f.name}`" if isinstance(f.dataType, T.DoubleType) else f"`{f.name}`"
         for f in df.schema
     ])
 
