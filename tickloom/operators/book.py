@@ -45,7 +45,8 @@ def replay_book(
     than ask and bid changes no book but still counts as an update. Result: the update's other
     columns, ``pos`` (1..n per key) and ``book``: (ask, level, price, quantity), asks then bids.
     """
-    o = ordered(updates, keys, order, page_rows)
+    # Updates that share time and arrival are put in one fixed order all the same.
+    o = ordered(updates, keys, (*order, "side", "price", "quantity"), page_rows)
     carried = [c for c in updates.columns if c not in ("price", "quantity", "side")]
     if last_of is None:
         rows = o.df.withColumn("_role", F.lit(EMIT))

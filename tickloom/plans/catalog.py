@@ -641,6 +641,32 @@ def sorted_features(spark, sf_dir):
     return rows.orderBy("window_end", "exchange", "base_asset")
 
 
+# --- the same, with every key cut into pages as a hot key would be --------------------------------
+
+
+@query(ORACLE["book_snapshots_carried"])
+def book_snapshots_paged(spark, sf_dir):
+    return ft.window_snapshots(ad.market_events(spark, sf_dir), "24h", 5, scope="instrument", page_rows=60)
+
+
+@query(ORACLE["forward_fill"])
+def forward_fill_paged(spark, sf_dir):
+    filled = fr.forward_fill(fr.timeline(_hourly(spark, sf_dir), page_rows=50), _FILL)
+    return filled.select(*INSTRUMENT, "window_end", *_FILL)
+
+
+@query(ORACLE["frame_labels"])
+def frame_labels_paged(spark, sf_dir):
+    line = fr.timeline(_hourly(spark, sf_dir), page_rows=100)
+    return _open_frame(fr.frame_labels(line, _FRAME), "current_price", "next_price")
+
+
+@query(ORACLE["extended_block"])
+def extended_block_paged(spark, sf_dir):
+    trades = wn.tumbling(ev.of_type(ad.market_events(spark, sf_dir), TRADE), "24h")
+    return ft.extended_stats(trades, [*INSTRUMENT, "window_end", "side"], ["time", "seq"], page_rows=10)
+
+
 # --- portfolio ---------------------------------------------------------------------------------
 
 _STEPS = f"""{q.EVENTS}, {q.trade_rows(DAY)},

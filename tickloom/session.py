@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _LOCAL: dict[str, str] = {}  # folders chosen in local mode, by application
 
 
@@ -18,6 +19,8 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Deduplication state outgrows executor memory long before its watermark passes.
+        .config("spark.sql.streaming.stateStore.providerClass", _ROCKSDB)
     )
     if master:
         builder = builder.master(master)
