@@ -138,7 +138,11 @@ def feature_job(
     build: Callable[..., DataFrame] = window_features,
     **options: str,
 ) -> StreamingQuery:
-    """Feature rows of every closed window of the events stored by `ingest`, once each."""
+    """Feature rows of every closed window of the events stored by `ingest`, once each.
+
+    Run beside a live ingest, ``lateness`` has to cover the time in which the files of one ingest
+    batch appear one after another.
+    """
     stored = spark.readStream.schema(stored_schema(seq)).options(**options).parquet(directory)
 
     def compute(closed: DataFrame, batch_id: int) -> None:
