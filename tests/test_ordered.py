@@ -39,7 +39,7 @@ def _line(rows, page_rows):
 
 
 def test_positions(rows):
-    _same(lambda p: _line(rows, p).df.drop("_page"))
+    _same(lambda p: _line(rows, p).df.drop("_page", "_hot"))
     got = _line(rows, 25).df.groupBy("base_asset").agg(F.sort_array(F.collect_list("_pos")).alias("p")).collect()
     assert {r.base_asset: r.p for r in got} == {"A": list(range(1, 231)), "B": list(range(1, 41)), None: list(range(1, 18))}
 

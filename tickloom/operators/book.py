@@ -76,7 +76,8 @@ def replay_book(
 
 
 def _openings(rows: DataFrame, o: Ordered) -> DataFrame:
-    """The levels each page starts with: per price, the last write of an earlier page."""
+    """The levels each page of a hot key starts with: per price, the last write of an earlier page."""
+    rows = rows.where("_hot")
     writes = (
         rows.where("_write != 0")
         .groupBy(*o.group, "_write", "price")

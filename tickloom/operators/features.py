@@ -186,18 +186,20 @@ def extended_stats(
     stats = centred.groupBy(*keys).agg(*aggregates)
     if large:
         for f in _FIELDS:
-            stats = null_safe_join(stats, _median_by_position(rows, keys, f, page_rows), keys, "left")
+            stats = null_safe_join(stats, _median_by_position(needed, keys, f, order, page_rows), keys, "left")
     return stats.select(*keys, *EXTENDED_MEASURES)
 
 
 _FIELDS = ("price", "quantity")
 
 
-def _median_by_position(rows: DataFrame, keys: Sequence[str], field: str, page_rows: int | None) -> DataFrame:
-    values = rows.where(F.col(field).isNotNull()).select(*keys, field)
+def _median_by_position(
+    rows: DataFrame, keys: Sequence[str], field: str, order: Sequence[str], page_rows: int | None
+) -> DataFrame:
+    values = rows.where(F.col(field).isNotNull())
     sizes = values.groupBy(*keys).agg(F.count("*").alias("_n"))
     middle = null_safe_join(
-        ordered(values, keys, [field], page_rows).df,
+        ordered(values, keys, [field, *order], page_rows).df,  # one price may hold most rows; the order splits it
         sizes.select(*keys, F.explode(F.expr("array_distinct(array((_n + 1) div 2, (_n + 2) div 2))")).alias("_pos")),
         [*keys, "_pos"],
     )
@@ -234,16 +236,5 @@ def extended_features(
     return rows.withColumn("spread", spread).select(*window, *extended_columns(levels))
 
 
-def _median_by_position(rows: DataFrame, keys: Sequence[str], field: str, page_rows: int) -> DataFrame:
-    values = rows.where(F.col(field).isNotNull()).select(*keys, field)
-    sizes = values.groupBy(*keys).agg(F.count("*").alias("_n"))
-    middle = null_safe_join(
-        ordered(values, keys, [field], page_rows).df,
-        sizes.select(*keys, F.explode(F.expr("array_distinct(array((_n + 1) div 2, (_n + 2) div 2))")).alias("_pos")),
-        [*keys, "_pos"],
-    )
-    return middle.groupBy(*keys).agg(F.avg(field).alias(f"median_{field}"))
-
-
 def mean_by_level(levels: DataFrame, keys: Sequence[str] = ("type", "side", "level")) -> DataFrame:
     return levels.groupBy(*keys).agg(F.avg("price").alias("price"), F.avg("quantity").alias("quantity"))

@@ -31,7 +31,10 @@ _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row num
 
 @dataclass(frozen=True)
 class Ordered:
-    """Rows numbered 1..n per key in ``_pos``, grouped in ``_page``."""
+    """Rows numbered 1..n per key in ``_pos``, grouped in ``_page``.
+
+    ``_hot`` marks the keys that were cut into pages; only they need anything from other pages.
+    """
 
     df: DataFrame
     keys: tuple[str, ...]
@@ -75,7 +78,7 @@ class Ordered:
         earlier = (
             Window.partitionBy(*self.keys).orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
         )
-        pages = self.df.groupBy(*self.group).agg(summary.alias("_summary"))
+        pages = self.df.where("_hot").groupBy(*self.group).agg(summary.alias("_summary"))
         carries = pages.select(*self.group, fold(F.col("_summary")).over(earlier).alias("_carry"))
         joined = null_safe_join(local, carries, self.group, "left")
         return joined.withColumn(name, merge(F.col("_carry"), F.col(name))).drop("_carry")
@@ -96,7 +99,7 @@ def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows:
 
 def _number_by_key(df: DataFrame, keys, order) -> DataFrame:
     pos = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-    return df.withColumns({"_pos": pos, "_page": F.lit(0).cast("bigint")})
+    return df.withColumns({"_pos": pos, "_page": F.lit(0).cast("bigint"), "_hot": F.lit(False)})
 
 
 def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
@@ -127,6 +130,7 @@ def _number_by_range(df: DataFrame, keys, order, rows: int, page_rows: int) -> D
         null_safe_join(spans, offsets, [*keys, "_span"])
         .withColumn("_pos", F.col("_row") - F.col("_first") + F.col("_offset") + 1)
         .withColumn("_page", F.expr(f"(_pos - 1) div {page_rows}"))
+        .withColumn("_hot", F.lit(True))
         .drop("_row", "_span", "_first", "_offset")
     )
 
@@ -137,7 +141,7 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
     match = F.lit(True)
     for c in on:
         match = match & F.col(c).eqNullSafe(F.col(f"__{c}"))
-    return left.join(renamed, match, how).drop(*[f"__{c}" for c in on])  # semi and anti joins have none to drop
+    return left.join(renamed, match, how).drop(*[f"__{c}" for c in on])
 
 
 def with_group_value(
@@ -146,7 +150,8 @@ def with_group_value(
     """Add aggregates of its whole group to every row.
 
     Small groups: one window. With ``large`` groups the aggregates (one row per group) are joined
-    back with a salt, so that a hot group meets its row in many tasks.
+    back with a salt, so that a hot group meets its row in many tasks. The salt is taken from the
+    whole row: the same on a repeated task, and different for rows that differ anywhere.
     """
     if not large:
         w = Window.partitionBy(*keys)
@@ -176,7 +181,7 @@ def forward_fill(o: Ordered, columns: Sequence[str]) -> DataFrame:
     if not o.paged:
         return local
     # One carry row per page holds all columns, so there is one join, not one per column.
-    pages = o.df.groupBy(*o.group).agg(
+    pages = o.df.where("_hot").groupBy(*o.group).agg(
         *[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("_pos"))).alias(f"_c{i}") for i, c in enumerate(columns)]
     )
     earlier = Window.partitionBy(*o.keys).orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
@@ -205,7 +210,7 @@ def running_product(o: Ordered, name: str, value: Column) -> DataFrame:
 
 def position_slice(o: Ordered, first: int, last: int) -> DataFrame:
     """Rows ``first``..``last`` of each key, 0-based, both included."""
-    return o.df.where(F.col("_pos").between(first + 1, last + 1)).drop("_pos", "_page")
+    return plain(o.df.where(F.col("_pos").between(first + 1, last + 1)))
 
 
 def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
@@ -213,4 +218,5 @@ def head(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
 
 
 def plain(df: DataFrame) -> DataFrame:
-    return df.drop("_pos", "_page")
+    """Without the helper columns."""
+    return df.drop("_pos", "_page", "_hot")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.functions.durations import parse_millis
-from tickloom.operators.ordered import ordered
+from tickloom.operators.ordered import ordered, plain
 from tickloom.schemas import EVENT_ORDER, PARTITION
 
 
@@ -77,6 +77,4 @@ def count_batches(df: DataFrame, size: int, keys: Sequence[str], order: Sequence
     numbered = o.df.withColumn("batch", F.expr(f"(_pos - 1) div {size}"))
     filled = F.count("*").over(Window.partitionBy(*keys, "batch"))
     full = numbered.withColumn("_n", filled).where(F.col("_n") == size)
-    return full.withColumn("row_in_batch", F.expr(f"(_pos - 1) % {size} + 1").cast("int")).drop(
-        "_pos", "_page", "_n"
-    )
+    return plain(full.withColumn("row_in_batch", F.expr(f"(_pos - 1) % {size} + 1").cast("int")).drop("_n"))
