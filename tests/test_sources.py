@@ -32,6 +32,23 @@ def test_event_round_trip(spark, events, tmp_path):
     assert (tmp_path / "events/exchange=okex_spot/quote_asset=BTC/base_asset=ETH/event_type=trade").is_dir()
 
 
+def test_hot_destination_is_split(spark, tmp_path):
+    """More rows than one task should write: adaptive execution adds files beyond the shards."""
+    rows = spark.range(200_000).selectExpr(
+        "'trade' AS event_type", "IF(id % 100 = 0, 'cold', 'hot') AS exchange", "'USDT' AS quote_asset", "'A' AS base_asset",
+        "id AS time", "rand(1) AS quantity", "rand(2) AS price", "'buy' AS side", "id AS seq",
+    )
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(size, "262144")
+    try:
+        writers.write_events(rows, str(tmp_path / "e"), shards=2)
+    finally:
+        spark.conf.unset(size)
+    files = {x: len(list((tmp_path / f"e/exchange={x}").rglob("*.parquet"))) for x in ("hot", "cold")}
+    assert files["hot"] > 4 and files["cold"] <= files["hot"]
+    assert spark.read.parquet(str(tmp_path / "e")).count() == 200_000
+
+
 def test_null_keys_go_to_the_default_partition(spark, tmp_path):
     df = spark.createDataFrame([(None, None, None, None, 1, 1.0, 1.0, "buy", 0)], SCHEMA)
     writers.write_events(df, str(tmp_path / "e"))

@@ -146,8 +146,10 @@ def feature_job(
     stored = spark.readStream.schema(stored_schema(seq)).options(**options).parquet(directory)
 
     def compute(closed: DataFrame, batch_id: int) -> None:
-        closed = stage(closed)  # a few rows, used several times: do not run the stream's plan again
-        rows = build(events_of(closed.sparkSession, directory, closed, duration, seq), duration, levels, order=order)
+        # Both are used several times: neither the stream's plan nor the join should run again.
+        closed = stage(closed)
+        events = stage(events_of(closed.sparkSession, directory, closed, duration, seq))
+        rows = build(events, duration, levels, order=order)
         rows.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     return (
