@@ -1,0 +1,12 @@
+import pyarrow as pa
+
+from tickloom.streaming.copies import first_copies
+
+
+def test_first_copies_per_batch():
+    batch = pa.RecordBatch.from_pylist(
+        [{"a": 1, "b": None, "n": 0}, {"a": 1, "b": None, "n": 1}, {"a": 2, "b": 0.5, "n": 2}, {"a": 1, "b": 0.5, "n": 3}, {"a": 2, "b": 0.5, "n": 4}],
+        schema=pa.schema([("a", pa.int64()), ("b", pa.float64()), ("n", pa.int64())]),
+    )
+    out = list(first_copies(["a", "b"])(iter([batch, batch.slice(0, 0), batch.slice(3, 2)])))
+    assert [sorted(b.column("n").to_pylist()) for b in out] == [[0, 2, 3], [], [3, 4]]

@@ -793,3 +793,15 @@ def streamed_window_features(spark, sf_dir):
 
     path = ds.written_once(spark, sf_dir, "stream-features", run)
     return spark.read.parquet(f"{path}/rows").select(*feature_columns(DEFAULT_LEVELS))
+
+
+@query(f"WITH {_TWO_FEEDS} SELECT DISTINCT {EVENT_SQL} FROM feed")
+def streamed_distinct_events(spark, sf_dir):
+    """Trades that arrive twice, deduplicated and stored by the ingest stream."""
+    def run(path: str) -> None:
+        _two_feeds(spark, sf_dir).write.parquet(f"{path}/in")
+        stream = spark.readStream.schema(_two_feeds(spark, sf_dir).schema).parquet(f"{path}/in")
+        jobs.ingest(stream, f"{path}/out", f"{path}-state").awaitTermination()
+
+    path = ds.written_once(spark, sf_dir, "stream-distinct", run)
+    return spark.read.schema(jobs.stored_schema(T.LongType())).parquet(f"{path}/out").select(*EVENT_COLUMNS)

@@ -1,0 +1,20 @@
+"""Copies of an event inside one Arrow batch, dropped before the shuffle of a stream."""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator, Sequence
+
+import pyarrow as pa
+
+
+def first_copies(columns: Sequence[str]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Keep the first of the rows that are equal in ``columns``, batch by batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = pa.table([batch.column(c) for c in columns], names=list(columns))
+            numbered = rows.append_column("_row", pa.array(range(batch.num_rows), pa.int64()))
+            kept = numbered.group_by(list(columns), use_threads=False).aggregate([("_row", "min")])
+            yield batch.take(kept.column("_row_min").combine_chunks())
+
+    return run
