@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, token_counts, token_files
+from . import near_dedup, packing, token_counts, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
 
+def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
@@ -27,6 +31,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=4096, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op8_token_files, op9_packing)}
+QUERIES = {f.__name__: f for f in (op3_token_counts, op4_near_dedup, op8_token_files, op9_packing)}
 #: Token ids, trained models and hash placement cannot be written in SQL; tests hold them against brute force.
 ORACLE: dict[str, str] = {}
