@@ -4,14 +4,25 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import near_dedup, packing, token_counts, token_files
+from . import near_dedup, packing, token_counts, token_files, toxicity
+from .shipping import ship
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(documents, _table(spark, sf_dir, "labels"), folds=5, held_out=0)
+    scored = toxicity.score(documents, model)
+    return scored.select("doc_id", F.coalesce(toxicity.fold("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
+                         "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "log_ratio")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
@@ -31,6 +42,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=4096, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op3_token_counts, op4_near_dedup, op8_token_files, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op4_near_dedup, op8_token_files, op9_packing)}
 #: Token ids, trained models and hash placement cannot be written in SQL; tests hold them against brute force.
 ORACLE: dict[str, str] = {}
