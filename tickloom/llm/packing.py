@@ -13,6 +13,7 @@ cut; repeated rows and ids are packed one by one; an empty table gives no row.
 from __future__ import annotations
 
 import bisect
+import math
 import zlib
 from collections import defaultdict
 
@@ -25,8 +26,9 @@ from ..session import stage
 from .encoding import encoder, with_last_id
 from .ragged import text_slices
 
-#: Pieces ranked in one window; lengths with more are split.
-RANK_ROWS = 400
+#: Least pieces ranked in one window. A length of n pieces is split into groups of the square root of n, so
+#: neither the groups nor their number in one window grow with n.
+RANK_ROWS = 100
 
 
 class Gaps:
@@ -147,7 +149,8 @@ def place_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
     table = pa.table({name: pa.array([p[i] for p in places], pa.int64()) for i, name in enumerate(
         ("length", "first_rank", "sequences", "each", "first_sequence", "first_offset"))})
     sizes = pa.table({"length": pa.array(list(histogram), pa.int64()),
-                      "groups": pa.array([-(-n // RANK_ROWS) for n in histogram.values()], pa.int64())})
+                      "groups": pa.array([-(-n // max(RANK_ROWS, math.isqrt(n))) for n in histogram.values()],
+                                         pa.int64())})
 
     # Rank among equal lengths: within a group of a length, plus the sizes of the groups before.
     grouped = (pieces.join(F.broadcast(spark.createDataFrame(sizes)), "length")
