@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, near_dedup, packing, token_counts, token_files, toxicity
+from . import language, near_dedup, neighbours, packing, token_counts, token_files, toxicity
 from .shipping import ship
 
 
@@ -32,6 +32,10 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(documents, public_tokenizers.path("piece_bpe_32k.model"), folds=3, held_out=1)
@@ -50,6 +54,6 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=4096, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op4_near_dedup, op7_language, op8_token_files, op9_packing)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op4_near_dedup, op5_neighbours, op7_language, op8_token_files, op9_packing)}
 #: Token ids, trained models and hash placement cannot be written in SQL; tests hold them against brute force.
 ORACLE: dict[str, str] = {}
