@@ -17,13 +17,13 @@ Maker = Callable[[np.ndarray, np.ndarray], list[pa.Array]]
 
 
 def with_text_columns(df: DataFrame, text_column: str, added: str, make: Callable[[], Maker]) -> DataFrame:
-    """``df`` and the columns ``added`` (a DDL string), computed from ``text_column``.
+    """``df`` without ``text_column``, and the columns ``added`` (a DDL string) computed from it.
 
     ``make`` runs once for each task. A column of ``df`` whose name is among the added ones is replaced.
     """
     new = T.StructType.fromDDL(added)
     names = {n.lower() for n in new.names}
-    kept = [c for c in df.columns if c.lower() not in names]
+    kept = [c for c in df.columns if c.lower() not in names and c != text_column]
     source = df.select(F.col(f"`{text_column}`").alias("_text"), *[F.col(f"`{c}`") for c in kept])
     schema = T.StructType([*source.schema.fields[1:], *new.fields])
     titles = schema.names

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, near_dedup, neighbours, packing, token_counts, token_files, toxicity
+from . import language, near_dedup, neighbours, packing, secrets, token_counts, token_files, toxicity
 from .shipping import ship
 
 
@@ -54,6 +54,12 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
                         capacity=4096, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op4_near_dedup, op5_neighbours, op7_language, op8_token_files, op9_packing)}
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = secrets.fit(documents, public_tokenizers.path("piece_bpe_32k.model"))
+    return secrets.find(documents, model)
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op4_near_dedup, op5_neighbours, op7_language, op8_token_files, op9_packing, op10_secrets)}
 #: Token ids, trained models and hash placement cannot be written in SQL; tests hold them against brute force.
 ORACLE: dict[str, str] = {}
