@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, near_dedup, neighbours, packing, secrets, token_counts, token_files, toxicity
+from . import decontaminate, language, near_dedup, neighbours, packing, secrets, token_counts, token_files, toxicity
 from .shipping import ship
 
 
@@ -23,6 +23,10 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "log_ratio")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(
         _table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
@@ -60,6 +64,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(documents, model)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_token_counts, op4_near_dedup, op5_neighbours, op7_language, op8_token_files, op9_packing, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_token_counts, op4_near_dedup, op5_neighbours, op7_language, op8_token_files, op9_packing, op10_secrets)}
 #: Token ids, trained models and hash placement cannot be written in SQL; tests hold them against brute force.
 ORACLE: dict[str, str] = {}

@@ -106,6 +106,15 @@ def words_of(data: np.ndarray, bounds: np.ndarray, lower: bool = True):
     return Hasher(data, lower).spans(starts, ends), starts, ends, firsts
 
 
+def lower_latin(data: np.ndarray) -> np.ndarray:
+    """A copy with A-Z and U+00C0 to U+00DE in lower case (UTF-8: the second byte after 0xC3)."""
+    out = _LOWER[data]
+    second = np.zeros(len(data), bool)
+    second[1:] = data[:-1] == 0xC3
+    out[second & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 32
+    return out
+
+
 def ranges(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Concatenated ``starts[i] .. starts[i] + lengths[i] - 1``."""
     total = int(lengths.sum())
