@@ -22,6 +22,8 @@ component has no id); columns of the input other than the two named ones are ign
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,7 +32,8 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .ragged import mix, ranges, text_slices, words_of
 
-WORDS, BANDS, ROWS, BLOCK = 5, 26, 5, 64
+WORDS, BANDS, ROWS, BLOCK, BLOCK_BYTES = 5, 26, 5, 256, 2 << 20
+_COLUMNS = 4096
 COORDINATES = BANDS * ROWS
 #: Ids sent to every executor at most; beyond, texts are fetched by a shuffled join.
 BROADCAST_IDS = 500_000
@@ -184,55 +187,119 @@ def _apart(rows: DataFrame, columns: tuple[str, ...], labels: DataFrame) -> Data
     return rows
 
 
-def _block_pairs(members: DataFrame, least: int) -> DataFrame:
-    """Pairs ``a, b`` of different label within a bucket whose sketches agree in ``least`` coordinates.
-
-    ``members``: key, node, label, blocks, sketch. Members are dealt to ``blocks`` blocks, and every two
-    blocks meet in one group of about ``2 * BLOCK`` rows.
-    """
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    dealt = (members.withColumn("_own", block)
+def _dealt(members: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """``key, lo, hi, own`` and ``columns``: members of a key dealt to ``blocks`` blocks, every two together."""
+    dealt = (members.withColumn("_own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
              .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("key", F.least("_own", "_other").alias("lo"), F.greatest("_own", "_other").alias("hi"),
-                     F.col("_own").alias("own"), "node", "label", "sketch"))
-
-    def compare(nodes, labels, sketch, own, lo, hi):
-        first, second = np.flatnonzero(own == lo), np.flatnonzero(own == hi)
-        out = []
-        for i in first:
-            others = second[nodes[second] > nodes[i]] if lo == hi else second
-            others = others[labels[others] != labels[i]]
-            if len(others):
-                same = (sketch[others] == sketch[i]).sum(1)
-                others = others[same >= least]
-                out.append(np.stack([np.full(len(others), nodes[i]), nodes[others]], 1))
-        return np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-
+                     F.col("_own").alias("own"), *columns))
+    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+
+
+def _groups(batches) -> Iterator[pa.Table]:
+    """Runs of rows that agree in the first three columns, over the edges of batches."""
+    held = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
+        keys = [table.column(i).to_numpy() for i in range(3)]
+        change = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        cuts = np.concatenate([[0], np.flatnonzero(change) + 1]).tolist()
+        for x, y in zip(cuts[:-1], cuts[1:]):
+            yield table.slice(x, y - x)
+        held = table.slice(cuts[-1]).combine_chunks().to_batches()[0]
+    if held is not None:
+        yield pa.Table.from_batches([held])
+
+
+def _close(members: DataFrame, least: int) -> DataFrame:
+    """``key, node`` of the members that have a partner of another label whose sketch agrees in ``least`` places.
+
+    A pair counts in the first of its common buckets only. ``members``: key, band, node, label, blocks, bands,
+    sketch.
+    """
     def run(batches):
-        held = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch] if held is None else [held, batch]).combine_chunks()
-            columns = [table.column(i).to_numpy() for i in range(6)]
-            change = np.any([c[1:] != c[:-1] for c in columns[:3]], axis=0)
-            cuts = np.concatenate([[0], np.flatnonzero(change) + 1])
-            rest = table.slice(int(cuts[-1]))  # the last group may go on in the next batch
-            yield from found(table, columns, np.append(cuts[:-1], cuts[-1]))
-            held = rest.combine_chunks().to_batches()[0] if len(rest) else None
-        if held is not None:
-            table = pa.Table.from_batches([held])
-            yield from found(table, [table.column(i).to_numpy() for i in range(6)], np.array([0, len(table)]))
-
-    def found(table, columns, cuts):
-        if len(cuts) < 2:
-            return
-        sketch = np.frombuffer(b"".join(table.column(6).to_pylist()), "<u2").reshape(len(table), COORDINATES)
-        pairs = [compare(columns[4][a:b], columns[5][a:b], sketch[a:b], columns[3][a:b], columns[1][a], columns[2][a])
-                 for a, b in zip(cuts[:-1], cuts[1:]) if b - a > 1]
-        pairs = np.concatenate(pairs) if pairs else np.zeros((0, 2), np.int64)
-        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
-
-    together = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
-    return together.mapInArrow(run, "a bigint, b bigint").distinct()
+        for table in _groups(batches):
+            n = len(table)
+            if n < 2:
+                continue
+            own, node, label, band = (table.column(i).to_numpy() for i in (3, 4, 5, 6))
+            bands = table.column(7).combine_chunks().flatten().to_numpy().reshape(n, BANDS)[:, :band[0]]
+            sketch = np.frombuffer(b"".join(table.column(8).to_pylist()), "<u2").reshape(n, COORDINATES)
+            same_block = table.column(1)[0].as_py() == table.column(2)[0].as_py()
+            close = np.zeros(n, bool)
+            for i in range(n):
+                others = np.flatnonzero((label != label[i]) & ((node > node[i]) if same_block else (own > own[i])))
+                if len(others):
+                    others = others[(sketch[others] == sketch[i]).sum(1) >= least]
+                    others = others[~(bands[others] == bands[i]).any(1)]
+                    if len(others):
+                        close[i] = True
+                        close[others] = True
+            if close.any():
+                yield pa.RecordBatch.from_arrays(
+                    [table.column(0).combine_chunks().filter(pa.array(close)), pa.array(node[close])], ["key", "node"])
+
+    dealt = _dealt(members, ("node", "label", "band", "bands", "sketch"))
+    return dealt.mapInArrow(run, "key bigint, node bigint").distinct()
+
+
+def linking_pairs(sets: list[np.ndarray], label: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs of sets with 100 * intersection >= percent * union that join different labels, until none is left.
+
+    Intersections are products of the incidence of shared shingles, ``_COLUMNS`` shingles at a time.
+    """
+    n, sizes = len(sets), np.array([len(x) for x in sets])
+    flat, owner = np.concatenate(sets), np.repeat(np.arange(n), sizes)
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    new = np.append(True, flat[1:] != flat[:-1])
+    column = np.cumsum(new) - 1
+    often = np.bincount(column)[column] > 1
+    column, owner = column[often], owner[often]
+    common = np.zeros((n, n), np.float32)
+    first = 0
+    while first < len(column):
+        last = int(np.searchsorted(column, column[first] + _COLUMNS))
+        part = np.zeros((n, min(_COLUMNS, int(column[last - 1] - column[first]) + 1)), np.float32)
+        part[owner[first:last], column[first:last] - column[first]] = 1
+        common += part @ part.T
+        first = last
+    union = sizes[:, None] + sizes[None, :] - common
+    i, j = np.nonzero(np.triu(100 * common.astype(np.float64) >= percent * union.astype(np.float64), 1))
+    root = {int(x): int(x) for x in np.unique(label)}
+
+    def find(x: int) -> int:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for x, y in zip(i.tolist(), j.tolist()):
+        u, v = find(int(label[x])), find(int(label[y]))
+        if u != v:
+            root[max(u, v)] = min(u, v)
+            out.append((x, y))
+    return out
+
+
+def _linked(members: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` that link what is apart in each key: confirmed on full sets, fewer than the members of a group.
+
+    ``members``: key, node, label, blocks, shingles.
+    """
+    def run(batches):
+        for table in _groups(batches):
+            if len(table) < 2:
+                continue
+            node, label = table.column(4).to_numpy(), table.column(5).to_numpy()
+            sets = [np.frombuffer(x, np.uint64) for x in table.column(6).to_pylist()]
+            pairs = np.array(linking_pairs(sets, label, percent), np.int64).reshape(-1, 2)
+            yield pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], ["a", "b"])
+
+    return _dealt(members, ("node", "label", "shingles")).mapInArrow(run, "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85, id_column: str = "doc_id",
@@ -245,7 +312,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85, id_column: str = "d
                          F.first("sketch").alias("sketch"))
                     .withColumn("node", F.monotonically_increasing_id()))
 
-    buckets = classes.select(F.explode("bands").alias("key"), "node")
+    buckets = classes.select(F.posexplode("bands").alias("band", "key"), "node")
     hubs = stage(buckets.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("far"),
                                             F.count("*").alias("members")).where("members > 1"))
     members = stage(buckets.join(hubs, "key"))
@@ -263,18 +330,21 @@ def near_duplicates(documents: DataFrame, percent: int = 85, id_column: str = "d
         apart = _apart(pairs, ("a", "b"), labels).where("a_label != b_label").select("a", "b")
         edges = stage(edges.union(_confirmed(apart, sets, percent)))
         labels = components(edges)
-    # Last: all pairs of a bucket that still lie in different components, by sketch, then by sets.
-    left = stage(_apart(members.where("members > 2").select("key", "node", "members"), ("node",), labels))
+    # Last: all pairs of a bucket that still lie in different components, by sketch, then on full sets.
+    left = stage(_apart(members.where("members > 2").select("key", "band", "node", "members"), ("node",), labels))
     split = stage(left.groupBy("key").agg(F.min("node_label").alias("lo"), F.max("node_label").alias("hi"))
                   .where("lo != hi").select("key"))
-    several = (left.join(split, "key").join(classes.select("node", "sketch"), "node")
-               .select("key", "node", F.col("node_label").alias("label"),
-                       F.ceil(F.col("members") / BLOCK).cast("int").alias("blocks"), "sketch"))
-    # Six standard deviations below the threshold: 1e-9 of the linked pairs agree in fewer coordinates.
+    several = left.join(split, "key").withColumnRenamed("node_label", "label")
+    # Five standard deviations below the threshold: 3e-7 of the linked pairs agree in fewer coordinates.
     share = percent / 100
-    least = int(COORDINATES * (share - 6 * (share * (1 - share) / COORDINATES) ** 0.5))
-    pairs = _block_pairs(several, least)
-    edges = stage(edges.union(_confirmed(pairs, sets, percent)))
+    least = int(COORDINATES * (share - 5 * (share * (1 - share) / COORDINATES) ** 0.5))
+    sketched = several.join(classes.select("node", "bands", "sketch"), "node").withColumn(
+        "blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
+    close = _close(sketched.select("key", "band", "node", "label", "blocks", "bands", "sketch"), least)
+    close = stage(close.join(several.select("key", "node", "label"), ["key", "node"]).join(sets, "node"))
+    weights = stage(close.groupBy("key").agg(
+        F.ceil(F.sum(F.length("shingles")) / BLOCK_BYTES).cast("int").alias("blocks")))
+    edges = stage(edges.union(_linked(close.join(weights, "key"), percent)))
     labels = components(edges)
 
     named = _apart(classes.select("set_id", "node", "doc_id"), ("node",), labels)
