@@ -355,3 +355,16 @@ def near_duplicates(documents: DataFrame, percent: int = 85, id_column: str = "d
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return result.select("doc_id", "n_shingles", component.alias("component_id"),
                          F.col("doc_id").eqNullSafe(component).alias("kept"))
+
+
+def keep_one(documents: DataFrame, percent: int = 85, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """``documents`` with one row of each group of near duplicates, columns as they are.
+
+    Rows without a word and rows without an id all stay; rows of one id count as one document.
+    """
+    result = near_duplicates(documents, percent, id_column, text_column)
+    kept = result.where(F.col("kept") & (F.col("n_shingles") > 0)).select(F.col("doc_id").alias("_kept"))
+    grouped = F.col(id_column).isNotNull() & F.coalesce(F.col(text_column).rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    one = (documents.where(grouped).join(kept, F.col(id_column) == F.col("_kept"), "left_semi")
+           .dropDuplicates([id_column]))
+    return one.union(documents.where(~grouped))

@@ -231,7 +231,7 @@ def labelled_findings(words: list[str], each: int = EACH, seed: int = 3) -> list
         return "".join(rng.choice(list(alphabet), int(rng.integers(least, (most or least) + 1))))
 
     def word() -> str:
-        return str(rng.choice(words)) if words else "word"
+        return words[int(rng.integers(len(words)))] if words else "word"
 
     def name() -> str:
         return str(rng.choice(NAMES)).upper() if rng.random() < 0.2 else str(rng.choice(NAMES))
