@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, near_dedup, neighbours, packing, secrets, token_counts, token_files, toxicity
+from . import decontaminate, language, near_dedup, neighbours, packing, personal_data, secrets, token_counts, token_files, toxicity
 from .shipping import ship
 
 
@@ -40,6 +40,11 @@ def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
 
 
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return personal_data.find(documents, personal_data.fit(documents))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.fit(documents, public_tokenizers.path("piece_bpe_32k.model"), folds=3, held_out=1)
@@ -64,6 +69,6 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(documents, model)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_token_counts, op4_near_dedup, op5_neighbours, op7_language, op8_token_files, op9_packing, op10_secrets)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_token_counts, op4_near_dedup, op5_neighbours, op6_personal_data, op7_language, op8_token_files, op9_packing, op10_secrets)}
 #: Token ids, trained models and hash placement cannot be written in SQL; tests hold them against brute force.
 ORACLE: dict[str, str] = {}
