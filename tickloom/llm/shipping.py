@@ -1,4 +1,4 @@
-"""Puts this package on the executors' path, for sessions that were started without it."""
+"""Prepares a session: this package on the executors' path, and Arrow batches bounded in bytes."""
 
 from __future__ import annotations
 
@@ -8,11 +8,15 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+#: Bytes of an Arrow batch between the JVM and Python. Both sides hold several, and texts are long.
+BATCH_BYTES = 8 << 20
+
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Send the package's sources to all executors, once for each application."""
+    """Send the package's sources to all executors, once for each application, and bound this session's batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
