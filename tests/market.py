@@ -11,16 +11,16 @@ SCHEMA = (
 
 # (seconds, quantity, price, side) in arrival order; 2-minute windows, epoch based.
 STREAM = [
-    (3, 55, 44, "buy"), (60, 5, 4, "buy"),
-    (22, 5, 4, "bid"), (60, 6, 5, "bid"), (22, 7, 6, "bid"), (60, 8, 7, "bid"), (60, 0, 4, "bid"),
-    (22, 5, 4, "ask"), (60, 6, 5, "ask"), (22, 7, 6, "ask"), (60, 8, 7, "ask"), (60, 0, 4, "ask"),
-    (240, 5, 4, "bid"), (240, 55, 44, "buy"), (270, 5, 4, "buy"),
+    (7, 30, 12.5, "sell"), (81, 8, 10.5, "buy"), (81, 2, 11, "buy"),
+    (31, 4, 9, "bid"), (31, 6, 8, "bid"), (75, 2.5, 9.5, "bid"), (75, 3, 8.5, "bid"), (75, 0, 9, "bid"),
+    (44, 5, 11, "ask"), (44, 7, 12, "ask"), (93, 1.5, 10.75, "ask"), (93, 0, 12, "ask"), (93, 0, 11, "ask"),
+    (203, 2, 9.25, "bid"), (211, 12, 10, "buy"), (238, 4, 10.25, "sell"),
 ]
 
 
 def stream_rows():
     return [
-        ("trade" if side in ("buy", "sell") else "levelUpdate", "okex_spot", "BTC", "ETH",
+        ("trade" if side in ("buy", "sell") else "levelUpdate", "north", "QQ", "ZED",
          seconds * 1000, float(q), float(p), side, seq)
         for seq, (seconds, q, p, side) in enumerate(STREAM)
     ]

@@ -61,14 +61,14 @@ def test_message_books(spark, page_rows):
 
 
 GOLDEN = {  # count, volume, open_q, close_q, high_q, low_q, mean_q, std_q, open_p .. vwap
-    "ask_0": (8, 41, 5, 6, 6, 5, 5.125, 0.3535533906, 4, 5, 5, 4, 4.125, 0.3535533906, 4.1463414634),
-    "ask_1": (7, 47, 7, 7, 7, 6, 6.7142857143, 0.4879500365, 6, 6, 6, 5, 5.7142857143, 0.4879500365, 5.7446808511),
-    "ask_2": (3, 22, 7, 8, 8, 7, 7.3333333333, 0.5773502692, 6, 7, 7, 6, 6.3333333333, 0.5773502692, 6.3636363636),
-    "ask_3": (1, 8, 8, 8, 8, 8, 8, None, 7, 7, 7, 7, 7, None, 7),
-    "bid_0": (10, 73, 5, 8, 8, 5, 7.3, 0.9486832981, 4, 7, 7, 4, 6.3, 0.9486832981, 6.4109589041),
-    "bid_1": (9, 56, 5, 7, 7, 5, 6.2222222222, 0.9718253158, 4, 6, 6, 4, 5.2222222222, 0.9718253158, 5.3571428571),
-    "bid_2": (6, 35, 5, 6, 6, 5, 5.8333333333, 0.4082482905, 4, 5, 5, 4, 4.8333333333, 0.4082482905, 4.8571428571),
-    "bid_3": (1, 5, 5, 5, 5, 5, 5, None, 4, 4, 4, 4, 4, None, 4),
+    "ask_0": (8, 29.5, 5, 1.5, 5, 1.5, 3.6875, 1.8114220933, 11, 10.75, 11, 10.75, 10.90625, 0.1293872924, 10.9618644068),
+    "ask_1": (6, 38, 7, 5, 7, 5, 6.3333333333, 1.032795559, 12, 11, 12, 11, 11.6666666667, 0.5163977795, 11.7368421053),
+    "ask_2": (1, 7, 7, 7, 7, 7, 7, None, 12, 12, 12, 12, 12, None, 12),
+    "ask_3": (None,) * 15,
+    "bid_0": (10, 31, 4, 2.5, 4, 2.5, 3.1, 0.7745966692, 9, 9.5, 9.5, 9, 9.3, 0.2581988897, 9.2419354839),
+    "bid_1": (9, 38, 6, 3, 6, 3, 4.2222222222, 1.3944333776, 8, 8.5, 9, 8, 8.4444444444, 0.39086798, 8.3684210526),
+    "bid_2": (6, 33, 6, 6, 6, 3, 5.5, 1.2247448714, 8, 8, 8.5, 8, 8.0833333333, 0.2041241452, 8.0454545455),
+    "bid_3": (1, 6, 6, 6, 6, 6, 6, None, 8, 8, 8, 8, 8, None, 8),
     "ask_4": (None,) * 15,
     "bid_4": (None,) * 15,
 }
@@ -85,19 +85,18 @@ def _check_label(row, label, values):
 def test_golden_stream(spark):
     events = spark.createDataFrame(stream_rows(), SCHEMA)
     rows = {r["window_end"]: r for r in window_features(events, "2m").collect()}
-    assert sorted(rows) == [119999, 359999]
+    assert sorted(rows) == [119999, 239999]
     assert list(rows[119999].asDict()) == feature_columns()
-    trades = (2, 60, 55, 5, 55, 5, 30, 35.35533905932738, 44, 4, 44, 4, 24, 28.284271247461902, 40.666666666666664)
-    for row in rows.values():
-        assert row["interval"] == 120
-        _check_label(row, "all", trades)
-        _check_label(row, "buy", trades)
-        _check_label(row, "sell", (None,) * 15)
+    assert {r["interval"] for r in rows.values()} == {120}
+    first = rows[119999]
+    _check_label(first, "all", (3, 40, 30, 2, 30, 2, 13.3333333333, 14.7422295917, 12.5, 11, 12.5, 10.5, 11.3333333333, 1.0408329997, 12.025))
+    _check_label(first, "buy", (2, 10, 8, 2, 8, 2, 5, 4.2426406871, 10.5, 11, 11, 10.5, 10.75, 0.3535533906, 10.6))
+    _check_label(first, "sell", (1, 30, 30, 30, 30, 30, 30, None, 12.5, 12.5, 12.5, 12.5, 12.5, None, 12.5))
     for label, values in GOLDEN.items():
-        _check_label(rows[119999], label, values)
-    _check_label(rows[359999], "bid_0", (1, 5, 5, 5, 5, 5, 5, None, 4, 4, 4, 4, 4, None, 4))
+        _check_label(first, label, values)
+    _check_label(rows[239999], "bid_0", (1, 2, 2, 2, 2, 2, 2, None, 9.25, 9.25, 9.25, 9.25, 9.25, None, 9.25))
     for label in ("ask_0", "bid_1"):
-        _check_label(rows[359999], label, (None,) * 15)
+        _check_label(rows[239999], label, (None,) * 15)
 
 
 def test_compat_and_separate_rows(spark):

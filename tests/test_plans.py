@@ -52,3 +52,28 @@ def test_trade_features_push_and_prune(events):
 def test_copies_are_combined_before_the_shuffle(events):
     plan = _plan(distinct_events(events.unionByName(events)))
     assert "partial_min" in plan and _count(plan, "Exchange") == 1
+
+
+def test_frames_are_not_shuffled(spark):
+    """Two resolutions: one exchange of single rows, no join, and no frame in it."""
+    from tickloom.operators.frames import multi_resolution_frames
+
+    def rows(step, n):
+        return spark.createDataFrame([("k", i * step, float(i)) for i in range(n)], "k string, t bigint, x double")
+
+    fine, coarse = rows(10, 200), rows(70, 30)
+    built = multi_resolution_frames(fine, coarse, ["t", "x"], ["k"], "t", rows=20)
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    paged = multi_resolution_frames(fine, coarse, ["t", "x"], ["k"], "t", rows=20, page_rows=60)
+    assert sorted(map(repr, built.collect())) == sorted(map(repr, paged.collect()))
+
+
+def test_archive_is_parsed_once(spark, tmp_path):
+    """Events and failures of a topic come from one parse, however many failures there are."""
+    from tickloom.operators.parse import read_depths, records
+    from tickloom.schemas import ENVELOPE
+
+    messages = spark.createDataFrame([(bytearray(b"{}"), {}, 1)], ENVELOPE)
+    plan = records(read_depths(messages), "depths")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") <= 2  # the parse, and the map check of unreadable payloads

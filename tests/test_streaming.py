@@ -1,4 +1,5 @@
 import json
+import time
 
 import pytest
 from market import SCHEMA, random_updates, stream_rows
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from tickloom.operators.events import distinct_events
 from tickloom.operators.features import trade_features, window_features
-from tickloom.schemas import ENVELOPE
+from tickloom.schemas import ENVELOPE, FAILURE
 from tickloom.streaming import jobs
 
 FAR = 10**12  # a far-future event: the watermark passes every window before it
@@ -62,11 +63,15 @@ def test_ingest_and_feature_job_equal_batch(spark, tmp_path):
     rows = random_updates(300, 8, span=400_000) + [r[:8] + (r[8] + 1000,) for r in stream_rows()]
     first, second = [r for r in rows if r[4] < 200_000], [r for r in rows if r[4] >= 200_000]
     source = tmp_path / "in"
-    _write(spark, first + first[:20], source, "a")  # some events twice
+    # Some events twice, the later copy first, within and across micro-batches.
+    _write(spark, [r[:8] + (r[8] + 5000,) for r in first[:20]] + first + [r[:8] + (r[8] + 7000,) for r in first[20:40]], source, "a")
     _write(spark, second + [_sentinel("levelUpdate", "ask")], source, "b")
     stored, out = str(tmp_path / "stored"), str(tmp_path / "out")
     jobs.ingest(_stream(spark, source), stored, str(tmp_path / "c1")).awaitTermination()
-    assert spark.read.parquet(stored).count() == len(set(r[:8] for r in rows)) + 1
+    # The far-future event itself waits for the watermark to pass it.
+    assert spark.read.parquet(stored).count() == len(set(r[:8] for r in rows))
+    _write(spark, [_sentinel("levelUpdate", "bid")[:4] + (2 * FAR,) + _sentinel()[5:]], source, "c")
+    jobs.ingest(_stream(spark, source), stored, str(tmp_path / "c1")).awaitTermination()
     jobs.feature_job(
         spark, stored, out, str(tmp_path / "c2"), "2m", order=ORDER, seq=T.LongType(), maxFilesPerTrigger="1"
     ).awaitTermination()
@@ -98,7 +103,8 @@ def test_raw_messages_to_events(spark, tmp_path):
     trade = {"exchange": "ex", "quote_asset": "USDT", "base_asset": "A0", "event_time_ms": 5, "price": 2, "quantity": "3", "side": "buy"}
     depth = {k: trade[k] for k in ("exchange", "quote_asset", "base_asset", "event_time_ms")} | {
         "asks": [{"price": 2, "quantity": 1}], "bids": [{"price": 1, "quantity": 0}]}
-    for topic, payloads in (("trades", [trade, trade, {"bad": 1}]), ("depths", [depth])):
+    late = {"event_time_ms": 10**9}  # moves the watermark past the others
+    for topic, payloads in (("trades", [trade, trade, {"bad": 1}, trade | late]), ("depths", [depth])):
         rows = [(bytearray(json.dumps(p).encode()), {}, i) for i, p in enumerate(payloads)]
         spark.createDataFrame(rows, ENVELOPE).write.parquet(str(tmp_path / "in" / topic))
     source = str(tmp_path / "in")
@@ -106,8 +112,38 @@ def test_raw_messages_to_events(spark, tmp_path):
     rows = spark.read.parquet(str(tmp_path / "out"))
     assert sorted((r.event_type, r.side, r.quantity) for r in rows.collect()) == [
         ("levelUpdate", "ask", 2.0), ("levelUpdate", "bid", 0.0), ("trade", "buy", 6.0)]
+    assert min(r.seq.timestamp for r in rows.where("event_type = 'trade'").collect()) == 0
     failed = jobs.failure_stream(spark, source)
-    failed.writeStream.format("memory").queryName("failed").trigger(availableNow=True).start().awaitTermination()
-    assert [r.error_class for r in spark.table("failed").collect()] == ["missing_field"]
+    for _ in range(2):  # a repeated run adds nothing
+        jobs.ingest_failures(failed, str(tmp_path / "bad"), str(tmp_path / "c3")).awaitTermination()
+    assert [r.error_class for r in spark.read.schema(FAILURE).json(str(tmp_path / "bad")).collect()] == ["missing_field"]
     with pytest.raises(Exception):
         jobs.event_stream(spark, source, fmt="no-such-format")
+
+
+def test_earliest_copy_stays_whatever_the_batches(spark, tmp_path):
+    copies = [("trade", "ex", "QQ", "A", 5, 1.0, 1.0, "buy", s) for s in (9, 3, 6)]
+    other = ("trade", "ex", "QQ", "A", 5, 1.0, 2.0, "buy", 4)
+    for i, row in enumerate([*copies, other, _sentinel()]):
+        _write(spark, [row], tmp_path / "in", f"f{i}")
+    jobs.ingest(_stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c")).awaitTermination()
+    got = sorted((r.price, r.seq) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    want = sorted((r.price, r.seq) for r in distinct_events(spark.createDataFrame([*copies, other], SCHEMA)).collect())
+    assert got == want == [(1.0, 3), (2.0, 4)]
+
+
+def test_processing_time_trigger(spark, tmp_path):
+    """A continuous job goes on when new files come."""
+    _write(spark, [("trade", "ex", "QQ", "A", 5, 1.0, 1.0, "buy", 0), _sentinel()], tmp_path / "in", "a")
+    query = jobs.ingest(_stream(spark, tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "c"),
+                        trigger={"processingTime": "200 milliseconds"})
+    try:
+        query.processAllAvailable()
+        _write(spark, [_sentinel(seq=7)[:4] + (2 * FAR,) + _sentinel()[5:]], tmp_path / "in", "b")
+        query.processAllAvailable()
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.read.parquet(str(tmp_path / "out")).count() < 2:
+            time.sleep(0.3)
+        assert query.isActive and sorted(r.time for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [5, FAR]
+    finally:
+        query.stop()

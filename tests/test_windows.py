@@ -37,7 +37,7 @@ def test_column_contracts():
 
 
 def test_table_name():
-    assert feature_table_name("okex_spot", "BTC", "ETH", "5m") == "okex_spot_BTC_ETH_PT300S"
+    assert feature_table_name("north", "QQ", "ZED", "5m") == "north_QQ_ZED_PT300S"
 
 
 def test_markers_and_counts(spark):

@@ -14,8 +14,9 @@ from tickloom.schemas import EVENT_ORDER
 
 
 def _order(order: Sequence[str]) -> Column:
-    # One column keeps the aggregation buffer flat (hash aggregate); several need a struct.
-    return F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    # One column keeps the aggregation buffer flat (hash aggregate); several need a struct, which ends
+    # in the picked values, so that rows of one place in the order give the same result however they lie.
+    return F.col(order[0]) if len(order) == 1 else F.struct(*order, "price", "quantity")
 
 
 def stat_block(label: str, where: Column | None = None, order: Sequence[str] = EVENT_ORDER) -> list[Column]:

@@ -10,7 +10,7 @@ from tickloom.functions.blocks import alternative_block, stat_block
 from tickloom.functions.durations import parse_millis
 from tickloom.operators.book import book_snapshots
 from tickloom.operators.order_key import single_order
-from tickloom.operators.ordered import has_large_keys, null_safe_join, ordered, with_group_value
+from tickloom.operators.ordered import PAGE_ROWS, has_large_keys, hot_groups, null_safe_join, ordered, with_group_value
 from tickloom.operators.windows import tumbling
 from tickloom.schemas import (
     DEFAULT_LEVELS, EVENT_ORDER, EXTENDED_MEASURES, INSTRUMENT, LEVEL_UPDATE, MEASURES, TRADE, book_labels,
@@ -32,7 +32,7 @@ def trade_features(
     ``compat`` reproduces the original output, where all three blocks describe all trades.
     """
     trades = tumbling(events.where(F.col("event_type") == TRADE), duration)
-    trades, order = single_order(trades, order, parse_millis(duration))
+    trades, order = single_order(trades, order)
     aggregates = stat_block("all", order=order)
     if not compat:
         for label in ("buy", "sell"):
@@ -151,7 +151,7 @@ def trade_block_alternative(
     trades: DataFrame, duration: str = "5m", keys: Sequence[str] = INSTRUMENT, order: Sequence[str] = EVENT_ORDER
 ) -> DataFrame:
     """Notebook trade block on raw (not notional) quantities."""
-    rows, order = single_order(tumbling(trades, duration), order, parse_millis(duration))
+    rows, order = single_order(tumbling(trades, duration), order)
     return rows.groupBy(*keys, "window_end").agg(*alternative_block(order))
 
 
@@ -166,7 +166,23 @@ def extended_stats(
     """
     if large is None:
         large = has_large_keys(rows, keys, page_rows)
-    at = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    if large:
+        # Only the groups that need it take the long way.
+        _, hot_rows, listed = hot_groups(rows, keys, page_rows or PAGE_ROWS)
+        listed = listed.drop("_n")
+        small = null_safe_join(rows, listed, keys, "left_anti")
+        small = _extended_stats(small, keys, order, page_rows, large=False)
+        if not hot_rows:
+            return small
+        hot = null_safe_join(rows, listed, keys, "left_semi")
+        return small.unionByName(_extended_stats(hot, keys, order, page_rows, large=True))
+    return _extended_stats(rows, keys, order, page_rows, large=False)
+
+
+def _extended_stats(
+    rows: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows: int | None, large: bool
+) -> DataFrame:
+    at = F.col(order[0]) if len(order) == 1 else F.struct(*order, *_FIELDS)
     aggregates = [F.count("price").alias("count_price"), F.sum("quantity").alias("sum_quantity")]
     for f in _FIELDS:
         aggregates += [
@@ -182,7 +198,7 @@ def extended_stats(
         if not large:
             aggregates.append(F.median(f).alias(f"median_{f}"))
     needed = rows.select(*keys, *[c for c in order if c not in keys], *_FIELDS)
-    centred = with_group_value(needed, keys, {f"_mean_{f}": F.avg(f) for f in _FIELDS}, large)
+    centred = with_group_value(needed, keys, {f"_mean_{f}": F.avg(f) for f in _FIELDS}, large, page_rows)
     stats = centred.groupBy(*keys).agg(*aggregates)
     if large:
         for f in _FIELDS:
@@ -217,7 +233,7 @@ def extended_features(
     trades = tumbling(events.where(F.col("event_type") == TRADE), duration)
     by_side = extended_stats(trades.where(F.col("side").isin("buy", "sell")), [*window, "side"], order,
                              page_rows, large)
-    close = trades.groupBy(*window).agg(F.max_by("price", F.struct(*order)).alias("close_price"))
+    close = trades.groupBy(*window).agg(F.max_by("price", F.struct(*order, "price", "quantity")).alias("close_price"))
     by_level = extended_stats(
         window_snapshots(events, duration, levels, keys, order, page_rows=page_rows), [*window, "side", "level"],
         ["pos"], page_rows, large,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.operators import ordered as o_
 from tickloom.operators.ordered import Ordered, ordered
@@ -17,9 +17,9 @@ PRICE = "all_close_price"
 
 
 def timeline(features: DataFrame, keys: Sequence[str] = INSTRUMENT, order: Sequence[str] = ("window_end",),
-             page_rows: int | None = None) -> Ordered:
+             page_rows: int | None = None, large: bool | None = None) -> Ordered:
     """Feature rows numbered per instrument; the input of the operators below."""
-    return ordered(features, keys, order, page_rows)
+    return ordered(features, keys, order, page_rows, large)
 
 
 def forward_fill(o: Ordered, columns: Sequence[str]) -> DataFrame:
@@ -115,12 +115,42 @@ def multi_resolution_frames(
     time: str = "window_end",
     rows: int = FRAME_ROWS,
     page_rows: int | None = None,
+    large: bool | None = None,
 ) -> DataFrame:
     """Each full fine frame with the first ``rows`` coarse rows at or after its first row's time.
 
+    A coarse frame near the end of the coarse rows is shorter, and empty after it. Keys that fit a task
+    are built in one: rows are shuffled once, frames never. ``large``: whether a key of either input has
+    more than ``page_rows`` rows, if the caller knows.
+    """
+    if large is None:
+        large = o_.has_large_keys(fine, keys, page_rows) or o_.has_large_keys(coarse, keys, page_rows)
+    if large:
+        return _paged_resolutions(fine, coarse, columns, keys, time, rows, page_rows)
+    marks = fine.select(*keys, F.col(time).alias("time"), F.lit(0).alias("_coarse"), F.struct(*columns).alias("_row")).unionByName(
+        coarse.select(*keys, F.col(time).alias("time"), F.lit(1).alias("_coarse"), F.struct(*columns).alias("_row"))
+    )
+    # Frames of either kind, then, from the end of the time line, the frame of the next coarse row. A coarse
+    # row of the same time is still to come for a fine one.
+    own = Window.partitionBy(*keys, "_coarse").orderBy("time").rowsBetween(0, rows - 1)
+    back = Window.partitionBy(*keys).orderBy(F.desc("time"), F.desc("_coarse")).rowsBetween(Window.unboundedPreceding, 0)
+    spread = marks.repartition(*keys) if keys else marks
+    framed = spread.withColumn("_frame", F.collect_list("_row").over(own)).drop("_row")
+    ahead = F.last(F.when(F.col("_coarse") == 1, F.col("_frame")), ignorenulls=True).over(back)
+    built = framed.withColumn("_ahead", ahead).where((F.col("_coarse") == 0) & (F.size("_frame") == rows))
+    empty = F.array().cast(built.schema["_frame"].dataType)
+    return built.select(*keys, "time", F.col("_frame").alias("fine_frame"), F.coalesce("_ahead", empty).alias("coarse_frame"))
+
+
+def _paged_resolutions(
+    fine: DataFrame, coarse: DataFrame, columns: Sequence[str], keys: Sequence[str], time: str, rows: int,
+    page_rows: int | None,
+) -> DataFrame:
+    """The same for keys beyond one task.
+
     The coarse start is found by counting: merged in time order, a fine row follows exactly the
     coarse rows before it. Coarse frames are cut once per coarse row and met by an equi-join on
-    (key, position); a frame near the end of the coarse rows is shorter, and empty after it.
+    (key, position).
     """
     small = frames(ordered(fine, keys, [time], page_rows), columns, rows).select(
         *keys, F.col(time).alias("time"), F.col("frame").alias("fine_frame")

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tickloom.session import stage
 
 PAGE_ROWS = 4_000_000
-_BROADCAST_KEYS = 100_000
+_BROADCAST_KEYS, _BROADCAST_BYTES = 100_000, 8 << 20
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
 
@@ -54,8 +54,7 @@ class Ordered:
         """Add columns whose frames reach at most ``before`` rows back and ``after`` rows on."""
         if not self.paged:
             return self.df.withColumns(build(self.window()))
-        if max(before, after) > self.page_rows:
-            raise ValueError("the frame reaches over more than one page; raise page_rows")
+        # A frame may span several pages: a row is copied to every page whose frames reach it.
         first = f"greatest((_pos - 1 - {after}) div {self.page_rows}, 0L)"
         last = f"(_pos - 1 + {before}) div {self.page_rows}"
         copies = self.df.withColumnRenamed("_page", "_home").withColumn(
@@ -84,14 +83,17 @@ class Ordered:
         return joined.withColumn(name, merge(F.col("_carry"), F.col(name))).drop("_carry")
 
 
-def ordered(df: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows: int | None = None) -> Ordered:
+def ordered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], page_rows: int | None = None, large: bool | None = None
+) -> Ordered:
+    """``large``: whether a key has more than ``page_rows`` rows, if the caller knows; else it is looked up."""
     keys, order, page_rows = tuple(keys), tuple(order), page_rows or PAGE_ROWS
-    if not has_large_keys(df, keys, page_rows):
+    if not (has_large_keys(df, keys, page_rows) if large is None else large):
+        return Ordered(_number_by_key(df, keys, order), keys, order, page_rows, paged=False)
+    hot, hot_rows, listed = hot_groups(df, keys, page_rows)
+    listed = listed.drop("_n")
+    if not hot_rows:
         return Ordered(_number_by_key(df, keys, order), keys, order, page_rows, paged=False)
-    hot = stage(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > page_rows))
-    hot_keys, hot_rows = hot.agg(F.count("*"), F.sum("_n")).first()
-    # There are at most rows / page_rows hot keys; broadcast them while they are few.
-    listed = F.broadcast(hot.drop("_n")) if hot_keys <= _BROADCAST_KEYS else hot.drop("_n")
     numbered = _number_by_range(null_safe_join(df, listed, keys, "left_semi"), keys, order, hot_rows, page_rows)
     others = _number_by_key(null_safe_join(df, listed, keys, "left_anti"), keys, order)
     return Ordered(numbered.unionByName(others), keys, order, page_rows, paged=True)
@@ -108,6 +110,18 @@ def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
     return sizes.agg(F.max("_n")).first()[0] or 0
 
 
+def hot_groups(df: DataFrame, keys: Sequence[str], page_rows: int) -> tuple[DataFrame, int, DataFrame]:
+    """Keys with more than ``page_rows`` rows: (stored keys and ``_n``, their rows, the same to be joined).
+
+    There are at most rows / page_rows of them; they are broadcast while they are few and short.
+    """
+    hot = stage(df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > page_rows))
+    size = F.sum(F.octet_length(F.concat_ws("", *[F.col(k).cast("string") for k in keys]))) if keys else F.lit(0)
+    n, rows, width = hot.agg(F.count("*"), F.sum("_n"), size).first()
+    few = n <= _BROADCAST_KEYS and (width or 0) <= _BROADCAST_BYTES
+    return hot, rows or 0, F.broadcast(hot) if few else hot
+
+
 def has_large_keys(df: DataFrame, keys: Sequence[str], page_rows: int | None = None) -> bool:
     return largest_key(df, keys) > (page_rows or PAGE_ROWS)
 
@@ -145,20 +159,26 @@ def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: st
 
 
 def with_group_value(
-    df: DataFrame, keys: Sequence[str], values: dict[str, Column], large: bool, salts: int = 64
+    df: DataFrame, keys: Sequence[str], values: dict[str, Column], large: bool, page_rows: int | None = None
 ) -> DataFrame:
     """Add aggregates of its whole group to every row.
 
     Small groups: one window. With ``large`` groups the aggregates (one row per group) are joined
-    back with a salt, so that a hot group meets its row in many tasks. The salt is taken from the
-    whole row: the same on a repeated task, and different for rows that differ anywhere.
+    back, and a group of more than ``page_rows`` rows gets a salt of as many values as it has pages, so
+    that it meets its row in many tasks. The salt is taken from the whole row: the same on a repeated
+    task, and different for rows that differ anywhere.
     """
     if not large:
         w = Window.partitionBy(*keys)
         return df.withColumns({name: column.over(w) for name, column in values.items()})
-    groups = df.groupBy(*keys).agg(*[column.alias(name) for name, column in values.items()])
-    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
+    page_rows = page_rows or PAGE_ROWS
+    pages = F.ceil(F.col("_n") / page_rows)
+    groups = df.groupBy(*keys).agg(F.count("*").alias("_n"), *[c.alias(name) for name, c in values.items()])
+    salts = F.when(F.col("_n") > page_rows, pages).otherwise(F.lit(1))
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1))).drop("_n")
+    _, _, listed = hot_groups(df, keys, page_rows)
+    known = null_safe_join(df, listed, keys, "left")
+    salted = known.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.coalesce(pages, F.lit(1)))).drop("_n")
     return null_safe_join(salted, copies, [*keys, "_salt"]).drop("_salt")
 
 

@@ -45,8 +45,10 @@ def drifted_weights(rows: DataFrame, large: bool | None = None) -> DataFrame:
     return normalise_weights(moved, "drifted", large=large)
 
 
-def _scored_steps(rows: DataFrame, commission: float, decay: float, page_rows: int | None) -> DataFrame:
-    o = ordered(drifted_weights(rows), ["run", "asset"], ["step"], page_rows)
+def _scored_steps(
+    rows: DataFrame, commission: float, decay: float, page_rows: int | None, large: bool | None
+) -> DataFrame:
+    o = ordered(drifted_weights(rows, large), ["run", "asset"], ["step"], page_rows, large)
     traded = offsets(o, {"_held": ("drifted", -1)})
     gain = F.col("weight") * (F.col("next_price") - F.col("current_price"))
     moved = F.when(F.col("asset") > 0, F.abs(F.col("weight") - F.col("_held"))).otherwise(F.lit(0.0))
@@ -58,18 +60,21 @@ def _scored_steps(rows: DataFrame, commission: float, decay: float, page_rows: i
 
 
 def turnover(rows: DataFrame, commission: float = COMMISSION, decay: float = DECAY,
-             page_rows: int | None = None) -> DataFrame:
+             page_rows: int | None = None, large: bool | None = None) -> DataFrame:
     """Cost factor ``mu`` of each step: trading from the drifted to the new weights, plus decay.
 
     The first step of a run costs nothing. Asset 0 is free of commission.
     """
-    return _scored_steps(rows, commission, decay, page_rows).select(*STEP, "mu")
+    return _scored_steps(rows, commission, decay, page_rows, large).select(*STEP, "mu")
 
 
 def step_returns(rows: DataFrame, commission: float = COMMISSION, decay: float = DECAY,
-                 page_rows: int | None = None) -> DataFrame:
-    """Per (run, step): ``free_return``, ``mu`` and ``step_return`` = free_return * mu."""
-    steps = _scored_steps(rows, commission, decay, page_rows)
+                 page_rows: int | None = None, large: bool | None = None) -> DataFrame:
+    """Per (run, step): ``free_return``, ``mu`` and ``step_return`` = free_return * mu.
+
+    ``large``: whether a step or an asset of a run outgrows one task, if the caller knows.
+    """
+    steps = _scored_steps(rows, commission, decay, page_rows, large)
     return steps.select(*STEP, "free_return", "mu", (F.col("free_return") * F.col("mu")).alias("step_return"))
 
 

@@ -20,9 +20,19 @@ def _millis(column: str) -> Column:
     return F.unix_millis(utc_instant(column))
 
 
+def all_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`events` as trades (purchase, click), level updates (view, signup) and events of no known type (error)."""
+    known = _as_events(table(spark, sf_dir, "events"))
+    kind = F.when(F.col("_kind") == "error", "heartbeat").otherwise(F.col("event_type"))
+    return known.withColumn("event_type", kind).withColumn("side", F.when(F.col("_kind") != "error", F.col("side"))).drop("_kind")
+
+
 def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """`events` as trades (purchase, click) and level updates (view, signup); errors are left out."""
-    e = table(spark, sf_dir, "events")
+    return _as_events(table(spark, sf_dir, "events").where("event_type <> 'error'")).drop("_kind")
+
+
+def _as_events(e: DataFrame) -> DataFrame:
     kind = F.col("event_type")
     is_trade = kind.isin("purchase", "click")
     k = F.get_json_object("props", "$.k").cast("int")
@@ -30,7 +40,7 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "purchase", "buy").when(kind == "click", "sell").when(kind == "view", "ask").otherwise("bid")
     )
     deleted = ~is_trade & (F.col("event_id") % 3 == 0)
-    return e.where(kind != "error").select(
+    return e.select(
         F.when(is_trade, TRADE).otherwise(LEVEL_UPDATE).alias("event_type"),
         F.concat(F.lit("ex"), (F.col("user_id") % 2).cast("string")).alias("exchange"),
         F.lit("USDT").alias("quote_asset"),
@@ -39,7 +49,7 @@ def market_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(deleted, F.lit(0.0)).otherwise(F.col("value")).alias("quantity"),
         (F.lit(100) + k % 20).cast("double").alias("price"),
         side.alias("side"),
-        F.col("event_id").alias("seq"),
+        F.col("event_id").alias("seq"), kind.alias("_kind"),
     )
 
 
@@ -137,6 +147,6 @@ def depth_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return li.select(
         F.encode(message, "UTF-8").alias("message"),
-        F.create_map(F.lit("id"), F.col("l_orderkey").cast("string")).alias("attributes"),
+        F.create_map(F.lit("id"), F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", quantity)).alias("attributes"),
         F.col("l_orderkey").alias("timestamp"),
     )

@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tickloom.functions import naming
 from tickloom.operators import book, events as ev, features as ft, frames as fr, ordered as od, parse as ps
 from tickloom.operators import portfolio as pf, windows as wn
-from tickloom.plans import adapters as ad, datasets as ds, sqltext as q
+from tickloom.plans import adapters as ad, batch, datasets as ds, sqltext as q
 from tickloom.schemas import (
-    DEFAULT_LEVELS, EVENT_COLUMNS, EXTENDED_MEASURES, INSTRUMENT, LEVEL_UPDATE, MEASURES, PARTITION, PRESET_44,
+    DEFAULT_LEVELS, EVENT_COLUMNS, EXTENDED_MEASURES, FAILURE, INSTRUMENT, LEVEL_UPDATE, MEASURES, PARTITION, PRESET_44,
     PRESET_60, TRADE, TRADE_LABELS, block_columns, book_labels, extended_columns, feature_columns,
     older_names,
 )
-from tickloom.session import shared_dir
+from tickloom.session import shared_dir, stage
 from tickloom.sources import readers, writers
 from tickloom.streaming import jobs
 
@@ -53,11 +53,12 @@ def query(sql: str | None = None):
 # --- sources and sinks -----------------------------------------------------------------------
 
 _MESSAGE_TYPES = "event_type IN ('purchase', 'click', 'error')"
+_DEPTH_ID = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, CAST(l_quantity AS BIGINT))"
 
 
 @query(f"""
 SELECT 'trades' AS topic, event_id AS timestamp, CAST(event_id AS VARCHAR) AS id FROM events WHERE {_MESSAGE_TYPES}
-UNION ALL SELECT 'depths', l_orderkey, CAST(l_orderkey AS VARCHAR) FROM lineitem""")
+UNION ALL SELECT 'depths', l_orderkey, {_DEPTH_ID} FROM lineitem""")
 def message_scan(spark, sf_dir):
     scans = [
         ds.messages(spark, sf_dir, topic).select(
@@ -189,19 +190,20 @@ def parse_failures(spark, sf_dir):
 
 @query(f"""SELECT count(*) AS messages, count(*) FILTER (WHERE event_type = 'error') AS parse_errors FROM events WHERE {_MESSAGE_TYPES}""")
 def parse_counts(spark, sf_dir):
-    rows = ps.read_trades(ds.messages(spark, sf_dir, "trades"))
-    return rows.agg(F.count("*").alias("messages"), F.count("error_class").alias("parse_errors"))
+    counter = Observation("parse_counts")
+    ps.count_errors(ps.read_trades(ds.messages(spark, sf_dir, "trades")), counter).write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([counter.get], "messages bigint, parse_errors bigint")
 
 
-@query("""SELECT 'okex_spot_depthUpdate_ETH_BTC_' || CAST(epoch_us(l_shipdate) // 1000 AS VARCHAR) AS event_key, epoch_us(l_shipdate) // 1000 AS event_time_ms,
+@query("""SELECT 'north_depthUpdate_ZED_QQ_' || CAST(epoch_us(l_shipdate) // 1000 AS VARCHAR) AS event_key, epoch_us(l_shipdate) // 1000 AS event_time_ms,
   l_quantity AS ask_quantity, l_extendedprice AS ask_price, l_tax AS bid_quantity, l_discount AS bid_price FROM lineitem""")
 def compact_depths(spark, sf_dir):
     li = ad.table(spark, sf_dir, "lineitem")
     pairs = li.select(
         ad._millis("l_shipdate").alias("event_time_ms"),
         F.array(F.array("l_quantity", "l_extendedprice")).alias("asks"), F.array(F.array("l_tax", "l_discount")).alias("bids"),
-        F.lit("okex_spot").alias("exchange"), F.lit("depthUpdate").alias("event_type"),
-        F.lit("BTC").alias("quote_asset"), F.lit("ETH").alias("base_asset"),
+        F.lit("north").alias("exchange"), F.lit("depthUpdate").alias("event_type"),
+        F.lit("QQ").alias("quote_asset"), F.lit("ZED").alias("base_asset"),
     )
     return ps.compact_depths(pairs).select(
         "event_key", "event_time_ms",
@@ -233,7 +235,7 @@ def signed_quantity(spark, sf_dir):
 
 @query(f"""WITH {q.EVENTS} SELECT event_type, side, count(*) AS events FROM ev GROUP BY event_type, side""")
 def known_event_types(spark, sf_dir):
-    return ev.known_types(ad.market_events(spark, sf_dir)).groupBy("event_type", "side").agg(F.count("*").alias("events"))
+    return ev.known_types(ad.all_events(spark, sf_dir)).groupBy("event_type", "side").agg(F.count("*").alias("events"))
 
 
 @query(f"""WITH {q.EVENTS} SELECT time, price, quantity, side FROM ev
@@ -399,12 +401,12 @@ def spread(spark, sf_dir):
     return rows.select(*INSTRUMENT, "window_end", "spread")
 
 
-@query(f"""WITH {q.EVENTS}, {q.windowed(DAY)} SELECT 'okex_spot' AS exchange, 'BTC' AS quote_asset, 'ETH' AS base_asset, window_end, count(*) AS all_count
+@query(f"""WITH {q.EVENTS}, {q.windowed(DAY)} SELECT 'north' AS exchange, 'QQ' AS quote_asset, 'ZED' AS base_asset, window_end, count(*) AS all_count
 FROM w WHERE event_type = 'trade' GROUP BY window_end""")
 def named_instrument(spark, sf_dir):
     """Rows of a single unnamed instrument, named from parameters."""
     rows = ft.trade_features(ad.market_events(spark, sf_dir), "24h", keys=())
-    return ft.with_control_columns(rows, "okex_spot", "BTC", "ETH").select(*INSTRUMENT, "window_end", "all_count")
+    return ft.with_control_columns(rows, "north", "QQ", "ZED").select(*INSTRUMENT, "window_end", "all_count")
 
 
 _ALT = ", ".join(q.rnd(e, n) for e, n in (
@@ -477,27 +479,86 @@ def mean_by_level(spark, sf_dir):
     return ft.mean_by_level(snapshots)
 
 
-@query(f"""WITH {q.EVENTS}, {q.snapshots(DAY, None)} SELECT {KEYS}, window_end, pos, price, quantity FROM snap WHERE side = 'ask'""")
+@query(f"""WITH {q.EVENTS.replace('ev AS (', 'e0 AS (')}, ev AS (SELECT * FROM e0 WHERE side = 'ask'),
+{q.snapshots(DAY, None)} SELECT {KEYS}, window_end, pos, price, quantity FROM snap""")
 def book_state(spark, sf_dir):
-    asks = wn.tumbling(ev.of_type(ad.market_events(spark, sf_dir), LEVEL_UPDATE), "24h")
-    # Bids take a position in the replay but leave the ask state as it is.
-    books = book.replay_book(asks, [*INSTRUMENT, "window_end"], None)
-    states = books.select(*INSTRUMENT, "window_end", "pos", F.map_from_entries(book.side_levels(ask=True)).alias("state"))
+    asks = wn.tumbling(ev.of_side(ad.market_events(spark, sf_dir), "ask"), "24h")
+    states = book.running_state(asks, [*INSTRUMENT, "window_end"], ["time", "seq"])
     return states.select(*INSTRUMENT, "window_end", "pos", F.explode("state").alias("price", "quantity"))
 
 
-_MESSAGE = "time - time % 3600000"
+# Parsed levels with the place of their arrival; equal messages are one message sent twice.
+_PARSED_LEVELS = f"""{_DEPTH_LEVELS},
+pl AS (SELECT DISTINCT 'levelUpdate' AS event_type, 'li' AS exchange, 'USD' AS quote_asset, 'C' || CAST(l_suppkey % 10 AS VARCHAR) AS base_asset,
+    epoch_us(l_shipdate) // 1000 AS time, CAST(price * raw AS DOUBLE) AS quantity, CAST(price AS DOUBLE) AS price, side,
+    l_orderkey AS arrived, {_DEPTH_ID} AS message, CASE side WHEN 'ask' THEN i ELSE 10 + i END AS place FROM lv),
+nl AS (SELECT *, row_number() OVER (ORDER BY arrived, message, place) AS seq FROM pl)"""
 
 
-@query(f"""WITH {q.EVENTS}, {q.snapshots(DAY, None)}, last_pos AS (SELECT {KEYS}, window_end, {_MESSAGE} AS message, max(pos) AS pos FROM upd GROUP BY ALL)
-SELECT {KEYS}, window_end, pos, message, side, level, price, quantity FROM snap JOIN last_pos USING ({KEYS}, window_end, pos)""")
+@query(f"""WITH {_PARSED_LEVELS}, ev AS (SELECT {EVENT_SQL}, min(seq) AS seq FROM nl GROUP BY {EVENT_SQL}), {q.snapshots(MONTH, None)},
+ml AS (SELECT u.*, n.message FROM upd u JOIN nl n USING (seq)),
+last_pos AS (SELECT {KEYS}, window_end, time, message, max(pos) AS pos FROM ml GROUP BY ALL)
+SELECT {KEYS}, window_end, pos, message, side, level, price, quantity FROM snap JOIN last_pos USING ({KEYS}, window_end, pos) WHERE base_asset = 'C3'""")
 def message_books(spark, sf_dir):
-    updates = wn.tumbling(ev.of_type(ad.market_events(spark, sf_dir), LEVEL_UPDATE), "24h")
-    keyed = updates.withColumn("message", F.expr(f"time - pmod(time, {HOUR}L)"))
-    books = book.message_books(keyed, [*INSTRUMENT, "window_end"], ["message"])
+    """The whole book of one instrument after every depth message."""
+    parsed = ev.distinct_events(ps.parse_depths(ds.messages(spark, sf_dir, "depths"))[0]).where("base_asset = 'C3'")
+    updates = wn.tumbling(stage(parsed), "720h").withColumn("message", F.col("seq.message_id"))
+    books = book.message_books(updates, [*INSTRUMENT, "window_end"], ["time", "message"])
     return book.explode_levels(books, [*INSTRUMENT, "window_end", "pos", "message"])
 
 
+_ARCHIVED = f"""{_PARSED_LEVELS},
+px AS (SELECT event_id, 'ex' || CAST(user_id % 2 AS VARCHAR) AS exchange, 'USDT' AS quote_asset, 'A' || CAST(user_id % 3 AS VARCHAR) AS base_asset,
+    epoch_us(ts) // 1000 AS time, CAST(100 + CAST(json_extract_string(props, '$.k') AS INTEGER) % 20 AS DOUBLE) AS price,
+    round(value * 100) AS raw, CASE event_type WHEN 'purchase' THEN 'buy' ELSE 'sell' END AS side
+  FROM events WHERE event_type IN ('purchase', 'click')),
+both_topics AS (SELECT {EVENT_SQL}, seq FROM nl UNION ALL
+  SELECT 'trade', exchange, quote_asset, base_asset, time, price * raw, price, side, event_id FROM px),
+ev AS (SELECT {EVENT_SQL}, min(seq) AS seq FROM both_topics GROUP BY {EVENT_SQL})"""
+
+
+def _archive_events(spark, sf_dir) -> str:
+    """Both topics of the archive, partitioned; the job runs twice and leaves one result."""
+    def run(path: str) -> None:
+        for _ in range(2):
+            batch.partition_archive(spark, ds.archive(spark, sf_dir), f"{path}/events", f"{path}/failures")
+
+    return ds.written_once(spark, sf_dir, "partitioned", run)
+
+
+@query(f"""WITH {_ARCHIVED} SELECT {PARTITION_SQL}, CAST(count(*) AS BIGINT) AS events, {q.rnd('sum(quantity)', 'quantity')} FROM ev GROUP BY {PARTITION_SQL}""")
+def archive_partitions(spark, sf_dir):
+    stored = readers.read_events(spark, f"{_archive_events(spark, sf_dir)}/events")
+    return stored.groupBy(*PARTITION).agg(F.count("*").alias("events"), F.sum("quantity").alias("quantity"))
+
+
+@query(f"""SELECT error_class, source, count(*) AS failures FROM ({ORACLE['parse_failures']}) GROUP BY 1, 2""")
+def archive_failures(spark, sf_dir):
+    stored = spark.read.schema(FAILURE).json(f"{_archive_events(spark, sf_dir)}/failures")
+    return stored.groupBy("error_class", "source").agg(F.count("*").alias("failures"))
+
+
+@query(f"""WITH {_ARCHIVED}, {q.trade_rows(MONTH)}, {q.level_rows(MONTH, 5)}, {q.wide_book(5)}
+SELECT {KEYS}, window_end, CAST({MONTH // 1000} AS BIGINT) AS interval, {_BLOCK_SQL} FROM tf FULL JOIN bf USING ({KEYS}, window_end)
+WHERE (exchange = 'li' AND base_asset = 'C3') OR (exchange = 'ex0' AND base_asset = 'A1')""")
+def archive_features(spark, sf_dir):
+    """Archive to partitioned events to the feature tables of two instruments: one of levels, one of trades."""
+    path = _archive_events(spark, sf_dir)
+    tables = [
+        batch.feature_table(spark, f"{path}/events", *instrument, "720h", location=f"{path}/tables")
+        for instrument in (("li", "USD", "C3"), ("ex0", "USDT", "A1"))
+    ]
+    return ev.flatten(*tables)
+
+
+@query(f"""WITH {q.EVENTS}, d AS (SELECT CASE WHEN side = 'sell' THEN 'None' ELSE exchange END AS exchange, count(*) AS events FROM ev GROUP BY 1) SELECT * FROM d""")
+def default_destination(spark, sf_dir):
+    """Events without an exchange are stored under the name of the default destination."""
+    nameless = ad.market_events(spark, sf_dir).withColumn("exchange", F.when(F.col("side") != "sell", F.col("exchange")))
+    path = ds.written_once(spark, sf_dir, "nameless", lambda p: writers.write_events(nameless, p))
+    return readers.read_events(spark, path).groupBy("exchange").agg(F.count("*").alias("events"))
+
+
 # --- frames and labels -------------------------------------------------------------------------
 
 _HOURLY = f"{q.EVENTS}, {q.trade_rows(HOUR)}, t AS (SELECT *, row_number() OVER (PARTITION BY {KEYS} ORDER BY window_end) AS pos FROM tf)"
@@ -678,13 +739,19 @@ s AS (SELECT * REPLACE (weight / sum(weight) OVER (PARTITION BY run, step) AS we
 def _steps(spark, sf_dir) -> DataFrame:
     """Each exchange's days as steps, its instruments as assets, weighted by traded volume."""
     daily = rounded(ds.trade_rows(spark, sf_dir, "24h"))
-    ahead = od.plain(od.offsets(fr.timeline(daily), {"_next": ("all_close_price", 1)})).where("_next IS NOT NULL")
+    large = _large_runs(spark, sf_dir)
+    ahead = od.plain(od.offsets(fr.timeline(daily, large=large), {"_next": ("all_close_price", 1)})).where("_next IS NOT NULL")
     rows = ahead.select(
         F.col("exchange").alias("run"), F.col("window_end").alias("step"),
         F.substring("base_asset", 2, 10).cast("int").alias("asset"), F.col("all_volume").alias("weight"),
         "buy_count", "sell_count", (F.col("all_close_price") / 1000).alias("current_price"), (F.col("_next") / 1000).alias("next_price"),
     )
-    return pf.normalise_weights(rows)
+    return pf.normalise_weights(rows, large=large)
+
+
+def _large_runs(spark, sf_dir) -> bool:
+    """Whether a run outgrows one task. Asked once, of the stored rows: its steps and assets are smaller."""
+    return od.has_large_keys(ds.trade_rows(spark, sf_dir, "24h"), ["exchange"])
 
 
 @query(f"WITH {_STEPS} SELECT run, step, asset, {q.rnd('weight')} FROM s")
@@ -703,7 +770,7 @@ def pnl(spark, sf_dir):
 
 @query(f"WITH {_STEPS} SELECT run, step, asset, {q.rnd('next_price * weight / sum(next_price * weight) OVER (PARTITION BY run, step)', 'drifted')} FROM s")
 def drifted_weights(spark, sf_dir):
-    return pf.drifted_weights(_steps(spark, sf_dir)).select("run", "step", "asset", "drifted")
+    return pf.drifted_weights(_steps(spark, sf_dir), _large_runs(spark, sf_dir)).select("run", "step", "asset", "drifted")
 
 
 _RETURNS = f"""{_STEPS},
@@ -715,12 +782,12 @@ r AS (SELECT run, step, sum(weight * (next_price - current_price)) + 1 AS free_r
 
 @query(f"WITH {_RETURNS} SELECT run, step, {q.rnd('mu')} FROM r")
 def turnover_cost(spark, sf_dir):
-    return pf.turnover(_steps(spark, sf_dir))
+    return pf.turnover(_steps(spark, sf_dir), large=_large_runs(spark, sf_dir))
 
 
 @query(f"WITH {_RETURNS} SELECT run, step, {q.rnd('free_return')}, {q.rnd('mu')}, {q.rnd('free_return * mu', 'step_return')} FROM r")
 def step_returns(spark, sf_dir):
-    return pf.step_returns(_steps(spark, sf_dir))
+    return pf.step_returns(_steps(spark, sf_dir), large=_large_runs(spark, sf_dir))
 
 
 @query(f"""WITH {_RETURNS}, x AS (SELECT run, avg(free_return * mu) AS mean, avg(ln(free_return * mu)) AS log_mean, avg(free_return) AS log_mean_free,
@@ -728,7 +795,7 @@ def step_returns(spark, sf_dir):
 SELECT run, {q.rnd('mean')}, {q.rnd('log_mean')}, {q.rnd('log_mean_free')}, {q.rnd('std')}, {q.rnd('(mean - 1) / std', 'sharpe')}, {q.rnd('run_value')},
   {q.rnd('-log_mean', 'loss')}, {q.rnd('exp(sum(ln(run_value)) OVER (ORDER BY run))', 'value')} FROM x""")
 def run_summary(spark, sf_dir):
-    return pf.run_summary(pf.step_returns(_steps(spark, sf_dir)))
+    return pf.run_summary(pf.step_returns(_steps(spark, sf_dir), large=_large_runs(spark, sf_dir)))
 
 
 @query(f"""WITH {_STEPS}, d AS (SELECT run, step, max(weight) FILTER (WHERE asset = 0) AS w0, max(weight) FILTER (WHERE asset = 1) AS w1 FROM s GROUP BY run, step)
@@ -779,7 +846,7 @@ def streamed_trade_features(spark, sf_dir):
     return spark.read.parquet(ds.written_once(spark, sf_dir, "stream-trades", run))
 
 
-_STREAM_CLOSED = "WHERE window_end < (SELECT max(time) FROM ev) - 1"
+_STREAM_CLOSED = "WHERE window_end < (SELECT max(time) FROM ev WHERE time <= (SELECT max(time) FROM ev) - 300000) - 1"
 
 
 @query(f"""WITH {_FEATURES} SELECT {KEYS}, window_end, CAST(86400 AS BIGINT) AS interval, {_BLOCK_SQL} FROM tf FULL JOIN bf USING ({KEYS}, window_end) {_STREAM_CLOSED}""")
@@ -795,13 +862,18 @@ def streamed_window_features(spark, sf_dir):
     return spark.read.parquet(f"{path}/rows").select(*feature_columns(DEFAULT_LEVELS))
 
 
-@query(f"WITH {_TWO_FEEDS} SELECT DISTINCT {EVENT_SQL} FROM feed")
+_PASSED = "WHERE time <= (SELECT max(time) FROM ev) - 300000"  # five minutes of lateness
+
+
+@query(f"WITH {_TWO_FEEDS} SELECT {EVENT_SQL}, min(seq) AS seq FROM feed {_PASSED} GROUP BY {EVENT_SQL}")
 def streamed_distinct_events(spark, sf_dir):
-    """Trades that arrive twice, deduplicated and stored by the ingest stream."""
+    """Trades that arrive twice, the later copy first, deduplicated and stored by the ingest stream.
+    Events wait until the watermark passes them."""
     def run(path: str) -> None:
-        _two_feeds(spark, sf_dir).write.parquet(f"{path}/in")
+        late = _two_feeds(spark, sf_dir).where("event_type = 'trade'").withColumn("seq", F.col("seq") + 1_000_000_000)
+        late.unionByName(_two_feeds(spark, sf_dir)).write.parquet(f"{path}/in")
         stream = spark.readStream.schema(_two_feeds(spark, sf_dir).schema).parquet(f"{path}/in")
         jobs.ingest(stream, f"{path}/out", f"{path}-state").awaitTermination()
 
     path = ds.written_once(spark, sf_dir, "stream-distinct", run)
-    return spark.read.schema(jobs.stored_schema(T.LongType())).parquet(f"{path}/out").select(*EVENT_COLUMNS)
+    return spark.read.schema(jobs.stored_schema(T.LongType())).parquet(f"{path}/out").select(*EVENT_COLUMNS, "seq")

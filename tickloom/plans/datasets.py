@@ -29,6 +29,13 @@ def written_once(spark: SparkSession, sf_dir: str, name: str, write: Callable[[s
     return _WRITTEN[key]
 
 
+def forget(spark: SparkSession, sf_dir: str, keep: tuple[str, ...] = ()) -> None:
+    """Have every stored input but ``keep`` written again when it is next asked for."""
+    session = (spark.sparkContext.applicationId, shared_dir(spark), sf_dir)
+    for key in [k for k in _WRITTEN if k[:3] == session and k[3] not in keep]:
+        del _WRITTEN[key]
+
+
 def archive(spark: SparkSession, sf_dir: str) -> str:
     """Message archive with the directories `trades` and `depths`."""
     def write(path: str) -> None:

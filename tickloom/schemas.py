@@ -15,6 +15,15 @@ EVENT_COLUMNS = (
 # `time` alone leaves ties open; `seq` is the arrival order that settles them.
 EVENT_ORDER = ("time", "seq")
 
+# Arrival of a parsed event: when its message came, which message it was (its id, and a hash of its text
+# for messages without one), and its place in the message.
+ARRIVAL = T.StructType([
+    T.StructField("timestamp", T.LongType()),
+    T.StructField("message_id", T.StringType()),
+    T.StructField("message_key", T.LongType()),
+    T.StructField("position", T.IntegerType()),
+])
+
 ENVELOPE = T.StructType([
     T.StructField("message", T.BinaryType()),
     T.StructField("attributes", T.MapType(T.StringType(), T.StringType())),
@@ -90,7 +99,7 @@ def _paired(levels: int) -> list[str]:
     return [f"{side}_{i}" for i in range(levels) for side in ("ask", "bid")]
 
 
-# The two feature selections of the training notebooks: 44 and 60 columns.
+# The two feature selections of the training notebooks: 44 and 60 columns.
 PRESET_44 = [f"{label}_{m}" for label in ("all", "sell", "buy", *_paired(4)) for m in _BARS]
 PRESET_60 = [
     f"{label}_{m}" for label in ("all", "sell", "buy")

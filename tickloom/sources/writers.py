@@ -31,7 +31,7 @@ def balanced(df: DataFrame, keys: Sequence[str], shards: int = SHARDS) -> DataFr
     return salted.hint("rebalance", *[F.col(c) for c in (*keys, "_shard")]).drop("_shard")
 
 
-def write_events(df: DataFrame, directory: str, shards: int = SHARDS, mode: str = "append") -> None:
+def write_events(df: DataFrame, directory: str, shards: int = SHARDS, mode: str = "overwrite") -> None:
     """Events under ``exchange=/quote_asset=/base_asset=/event_type=`` directories."""
     rows = balanced(named_partitions(df), PARTITION, shards)
     rows.write.mode(mode).option("maxRecordsPerFile", _MAX_RECORDS).partitionBy(*PARTITION).parquet(directory)
@@ -46,7 +46,7 @@ def window_directories(df: DataFrame) -> DataFrame:
     return df.withColumns({name: utc_text(end, pattern) for name, pattern in formats.items()})
 
 
-def write_windowed(df: DataFrame, directory: str, shards: int = 1, mode: str = "append", fmt: str = "parquet") -> None:
+def write_windowed(df: DataFrame, directory: str, shards: int = 1, mode: str = "overwrite", fmt: str = "parquet") -> None:
     rows = balanced(window_directories(df), _DIRECTORY_PARTS, shards)
     rows.write.mode(mode).option("maxRecordsPerFile", _MAX_RECORDS).partitionBy(*_DIRECTORY_PARTS).format(fmt).save(
         directory
@@ -71,7 +71,7 @@ def write_features(
     return name
 
 
-def write_failures(failures: DataFrame, directory: str, duration: str = "1h", mode: str = "append") -> None:
+def write_failures(failures: DataFrame, directory: str, duration: str = "1h", mode: str = "overwrite") -> None:
     """Dead letters in windows of their arrival time, as JSON lines."""
     millis = parse_millis(duration)
     arrived = F.coalesce(F.col("timestamp"), F.lit(0).cast("bigint"))

@@ -12,7 +12,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -23,17 +22,14 @@ from tickloom.operators.events import flatten
 from tickloom.operators.features import window_features
 from tickloom.operators.parse import parse_depths, parse_trades
 from tickloom.operators.windows import assign_event_time
-from tickloom.schemas import DEFAULT_LEVELS, EVENT, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, TRADE
+from tickloom.schemas import ARRIVAL, DEFAULT_LEVELS, EVENT, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, TRADE
 from tickloom.sources.readers import TOPICS, stream_messages
 from tickloom.session import stage
-from tickloom.sources.writers import as_text, named_partitions
-from tickloom.streaming import copies
+from tickloom.sources.writers import as_text, named_partitions, write_failures
 
-# The helper travels with the task, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(copies)
-
-SEQ = T.StructType([T.StructField("timestamp", T.LongType()), T.StructField("position", T.IntegerType())])
 DEDUPE_WINDOW = "5m"
+#: What a job runs on without another word: all that is there now, then stop.
+AVAILABLE = {"availableNow": True}
 
 
 def _interval(duration: str) -> str:
@@ -52,18 +48,19 @@ def failure_stream(spark: SparkSession, source: str, fmt: str = "parquet", **opt
 
 
 def distinct_stream(events: DataFrame, lateness: str = DEDUPE_WINDOW) -> DataFrame:
-    """Full-record deduplication; event time is in the key, so the watermark bounds the state.
+    """Full-record deduplication with the earliest ``seq`` of all copies, as in the batch.
 
-    A stream has no map-side combine for this, and copies all meet in one task. So copies that
-    arrive close together are dropped before the shuffle, Arrow batch by Arrow batch.
+    Event time is in the key, so the watermark bounds the state; an event leaves, once, when the
+    watermark passes its time. Copies are combined before the shuffle.
     """
-    events = events.mapInArrow(copies.first_copies(EVENT_COLUMNS), events.schema)
     timed = assign_event_time(events).withWatermark("event_time", _interval(lateness))
-    return timed.dropDuplicates([*EVENT_COLUMNS, "event_time"])
+    return timed.groupBy(*EVENT_COLUMNS, "event_time").agg(F.min("seq").alias("seq"))
 
 
-def ingest(events: DataFrame, directory: str, checkpoint: str, lateness: str = DEDUPE_WINDOW) -> StreamingQuery:
-    """Deduplicate and store events by ingest batch and day."""
+def ingest(
+    events: DataFrame, directory: str, checkpoint: str, lateness: str = DEDUPE_WINDOW, trigger: dict | None = None
+) -> StreamingQuery:
+    """Deduplicate and store events by ingest batch and day. ``trigger``: arguments of ``DataStreamWriter.trigger``."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         day = utc_text(F.col("event_time"), "yyyy-MM-dd")
@@ -71,12 +68,24 @@ def ingest(events: DataFrame, directory: str, checkpoint: str, lateness: str = D
         rows.write.mode("overwrite").partitionBy("event_day").parquet(f"{directory}/ingest_batch={batch_id}")
 
     return (
-        distinct_stream(events, lateness).writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        distinct_stream(events, lateness).writeStream.outputMode("append").foreachBatch(store)
+        .option("checkpointLocation", checkpoint).trigger(**trigger or AVAILABLE).start()
+    )
+
+
+def ingest_failures(failed: DataFrame, directory: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Store the dead letters of a stream in windows of their arrival, each micro-batch in its own directory."""
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        write_failures(batch, f"{directory}/ingest_batch={batch_id}", mode="overwrite")
+
+    return (
+        failed.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        .trigger(**trigger or AVAILABLE).start()
     )
 
 
-def stored_schema(seq: T.DataType = SEQ) -> T.StructType:
+def stored_schema(seq: T.DataType = ARRIVAL) -> T.StructType:
     return T.StructType([
         *EVENT.fields, T.StructField("seq", seq),
         T.StructField("ingest_batch", T.LongType()), T.StructField("event_day", T.StringType()),
@@ -113,7 +122,7 @@ def closed_windows(stored: DataFrame, duration: str, lateness: str) -> DataFrame
     )
 
 
-def events_of(spark: SparkSession, directory: str, closed: DataFrame, duration: str, seq: T.DataType = SEQ) -> DataFrame:
+def events_of(spark: SparkSession, directory: str, closed: DataFrame, duration: str, seq: T.DataType = ARRIVAL) -> DataFrame:
     """Stored events of the closed windows.
 
     What arrived after a window closed sits in a later ingest batch than ``last_batch`` and stays
@@ -144,8 +153,9 @@ def feature_job(
     levels: int = DEFAULT_LEVELS,
     lateness: str = "0s",
     order: Sequence[str] = EVENT_ORDER,
-    seq: T.DataType = SEQ,
+    seq: T.DataType = ARRIVAL,
     build: Callable[..., DataFrame] = window_features,
+    trigger: dict | None = None,
     **options: str,
 ) -> StreamingQuery:
     """Feature rows of every closed window of the events stored by `ingest`, once each.
@@ -164,13 +174,15 @@ def feature_job(
 
     return (
         closed_windows(stored, duration, lateness).writeStream.outputMode("append").foreachBatch(compute)
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger or AVAILABLE).start()
     )
 
 
-def publish(rows: DataFrame, target: str, checkpoint: str, fmt: str = "text", **options: str) -> StreamingQuery:
+def publish(
+    rows: DataFrame, target: str, checkpoint: str, fmt: str = "text", trigger: dict | None = None, **options: str
+) -> StreamingQuery:
     """Rows as JSON strings to a text directory, or to another sink with a ``value`` column (Kafka:
     ``fmt="kafka"``, ``target`` the topic, ``kafka.bootstrap.servers`` among the options)."""
     writer = as_text(rows).writeStream.format(fmt).outputMode("append").options(**options)
-    writer = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    writer = writer.option("checkpointLocation", checkpoint).trigger(**trigger or AVAILABLE)
     return writer.option("topic", target).start() if fmt == "kafka" else writer.start(target)
