@@ -38,6 +38,16 @@ def with_text_columns(df: DataFrame, text_column: str, added: str, make: Callabl
     return source.mapInArrow(run, schema)
 
 
+def sample_rows(df: DataFrame, n: int, id_column: str, total: int | None = None) -> DataFrame:
+    """About ``n`` rows, at most ``2 * n``, picked by a hash of the id: the same ones at any number of partitions.
+
+    Nothing is sorted, so no task sends more than its share. ``total``: rows of ``df``, if known.
+    """
+    total = df.count() if total is None else total
+    place = F.xxhash64(F.col(id_column)) / F.lit(2.0 ** 64) + 0.5  # evenly in 0 to 1
+    return df if total <= n else df.where(place < n / total).limit(2 * n)
+
+
 class Table:
     """Rows of distinct 64-bit keys, looked up in bulk: an open-addressing table that is filled once."""
 

@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .mapping import sample_rows
 
 DIMENSIONS, CERTAINTY = 10, 0.99
 #: Rows of a block, queries that meet a block at once, rows the tree is fitted on, and its greatest depth.
@@ -132,7 +133,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, id_column: str = "
     dimension, n = sizes[0], sizes[1]
     clean = clean.where(F.size("vector") == dimension)
     matrix, reach = projection(dimension), chi_square_quantile(certainty)
-    sample = _matrix(clean.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE).select("vector").toArrow()["vector"], dimension)
+    sample = _matrix(sample_rows(clean, SAMPLE, "vec_id", n).select("vector").toArrow()["vector"], dimension)
     depth = min(DEPTH, max(0, math.ceil(math.log2(max(n, 1) / BLOCK))))
     axes, cuts = fit_tree(sample @ matrix, depth)
 

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .mapping import with_text_columns
+from .mapping import sample_rows, with_text_columns
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("none", *KINDS, "other")
@@ -392,8 +392,8 @@ def labelled_texts(texts: list[str], seed: int = 4, every: int = 9) -> list[tupl
 
 def fit(documents: DataFrame, id_column: str = "doc_id", text_column: str = "text", steps: int = STEPS) -> Network:
     """Train on ``SAMPLE_TEXTS`` texts, picked by a hash of the id, with labelled spans put between their words."""
-    rows = (documents.select(id_column, text_column).where(F.col(text_column).isNotNull())
-            .orderBy(F.xxhash64(id_column), id_column).limit(SAMPLE_TEXTS).select(text_column).collect())
+    known = documents.select(id_column, text_column).where(F.col(text_column).isNotNull())
+    rows = sorted(sample_rows(known, SAMPLE_TEXTS, id_column).select(text_column).collect())
     texts = labelled_texts([r[0] for r in rows]) or labelled_texts(["a text of a few plain words"] * 20)
     return train(texts, steps)
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .mapping import Table, unique_marker, with_text_columns
+from .mapping import Table, sample_rows, unique_marker, with_text_columns
 from .ragged import Hasher, ranges, spans_of, text_slices
 
 #: Shortest candidate; texts whose words surround the labelled findings; findings of each kind.
@@ -316,7 +316,7 @@ def training_table(reader: Reader, findings: list[tuple[str, str, int]]) -> tupl
 def fit(documents: DataFrame, vocabulary_path: str) -> Model:
     """Words around the labelled findings come from ``SAMPLE_TEXTS`` texts, picked by a hash of the id."""
     rows = documents.select("doc_id", "text").where(F.col("text").isNotNull())
-    texts = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_TEXTS).select("text").collect()
+    texts = sample_rows(rows, SAMPLE_TEXTS, "doc_id").select("text").collect()
     words = sorted({w for r in texts for w in r[0].split() if w.isalpha()})
     known = dictionary(vocabulary_path)
     reader = Reader(known)
