@@ -113,3 +113,26 @@ def test_extended_stats_of_large_groups(rows):
 def test_plain_path_is_one_shuffle(rows):
     plan = fr.frame_labels(_line(rows, None), COLUMNS, 9)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange ") == 1
+
+
+def test_a_frame_may_span_pages(spark):
+    rows = spark.createDataFrame([("k", i, float(i)) for i in range(400)], "k string, t bigint, x double")
+
+    def series(page_rows):
+        line = fr.timeline(rows, ["k"], ["t"], page_rows)
+        return {r.t: [x.t for x in r.series] for r in fr.bounded_series(line, ["t"], bars=300).collect()}
+
+    assert series(100) == series(500) == {i: list(range(max(0, i - 299), i + 1)) for i in range(400)}
+
+
+def test_one_hot_group_among_small_ones(spark):
+    from tickloom.operators.features import extended_stats
+
+    rows = [("hot", i, float(i % 37), float(i % 11)) for i in range(300)] + [(f"s{i % 20}", i, float(i), 1.0) for i in range(100)]
+    frame = spark.createDataFrame(rows, "k string, seq bigint, price double, quantity double")
+
+    def stats(page_rows):
+        out = extended_stats(frame, ["k"], ["seq"], page_rows=page_rows).collect()
+        return sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r]) for r in out)
+
+    assert stats(50) == stats(1000)

@@ -78,8 +78,9 @@ def step_returns(rows: DataFrame, commission: float = COMMISSION, decay: float =
     return steps.select(*STEP, "free_return", "mu", (F.col("free_return") * F.col("mu")).alias("step_return"))
 
 
-def run_summary(returns: DataFrame, page_rows: int | None = None) -> DataFrame:
+def run_summary(returns: DataFrame, page_rows: int | None = None, large: bool | None = None) -> DataFrame:
     """Per run: mean, log mean, mean free return, population deviation, Sharpe ratio, value, loss.
+    ``large``: whether there are more than ``page_rows`` runs, if the caller knows.
 
     ``value`` chains: the product of the run's returns times the value of the run before.
     """
@@ -92,7 +93,7 @@ def run_summary(returns: DataFrame, page_rows: int | None = None) -> DataFrame:
         F.product("step_return").alias("run_value"), (-log_mean).alias("loss"),
     ))
     chained = running_product(
-        ordered(runs.withColumn("_all", F.lit(0)), ["_all"], ["run"], page_rows), "value", F.col("run_value")
+        ordered(runs.withColumn("_all", F.lit(0)), ["_all"], ["run"], page_rows, large), "value", F.col("run_value")
     )
     return plain(chained).drop("_all")
 

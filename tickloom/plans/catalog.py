@@ -736,10 +736,9 @@ a AS (SELECT exchange AS run, window_end AS step, CAST(substr(base_asset, 2) AS
 s AS (SELECT * REPLACE (weight / sum(weight) OVER (PARTITION BY run, step) AS weight) FROM a WHERE next_price IS NOT NULL)"""
 
 
-def _steps(spark, sf_dir) -> DataFrame:
+def _steps(spark, sf_dir, large: bool | None) -> DataFrame:
     """Each exchange's days as steps, its instruments as assets, weighted by traded volume."""
     daily = rounded(ds.trade_rows(spark, sf_dir, "24h"))
-    large = _large_runs(spark, sf_dir)
     ahead = od.plain(od.offsets(fr.timeline(daily, large=large), {"_next": ("all_close_price", 1)})).where("_next IS NOT NULL")
     rows = ahead.select(
         F.col("exchange").alias("run"), F.col("window_end").alias("step"),
@@ -749,20 +748,20 @@ def _steps(spark, sf_dir) -> DataFrame:
     return pf.normalise_weights(rows, large=large)
 
 
-def _large_runs(spark, sf_dir) -> bool:
-    """Whether a run outgrows one task. Asked once, of the stored rows: its steps and assets are smaller."""
-    return od.has_large_keys(ds.trade_rows(spark, sf_dir, "24h"), ["exchange"])
+def _large(spark, sf_dir) -> bool | None:
+    """False if all stored rows together fit a task, so that no key has to be looked at; else unknown."""
+    return None if ds.trade_rows(spark, sf_dir, "24h").count() > od.PAGE_ROWS else False
 
 
 @query(f"WITH {_STEPS} SELECT run, step, asset, {q.rnd('weight')} FROM s")
 def weights(spark, sf_dir):
-    return _steps(spark, sf_dir).select("run", "step", "asset", "weight")
+    return _steps(spark, sf_dir, _large(spark, sf_dir)).select("run", "step", "asset", "weight")
 
 
 @query(f"""WITH {_STEPS} SELECT run, step, {q.rnd("sum(CASE WHEN coalesce(sell_count, 0) > coalesce(buy_count, 0) THEN -weight ELSE weight END * (next_price - current_price))", 'pnl')} FROM s GROUP BY run, step""")
 def pnl(spark, sf_dir):
     more_sells = F.coalesce("sell_count", F.lit(0)) > F.coalesce("buy_count", F.lit(0))
-    rows = _steps(spark, sf_dir).withColumns({
+    rows = _steps(spark, sf_dir, _large(spark, sf_dir)).withColumns({
         "kind": F.when(more_sells, "short").otherwise("long"), "delta": F.col("next_price") - F.col("current_price"),
     })
     return pf.profit(pf.signed_weights(rows), ["run", "step"])
@@ -770,7 +769,8 @@ def pnl(spark, sf_dir):
 
 @query(f"WITH {_STEPS} SELECT run, step, asset, {q.rnd('next_price * weight / sum(next_price * weight) OVER (PARTITION BY run, step)', 'drifted')} FROM s")
 def drifted_weights(spark, sf_dir):
-    return pf.drifted_weights(_steps(spark, sf_dir), _large_runs(spark, sf_dir)).select("run", "step", "asset", "drifted")
+    large = _large(spark, sf_dir)
+    return pf.drifted_weights(_steps(spark, sf_dir, large), large).select("run", "step", "asset", "drifted")
 
 
 _RETURNS = f"""{_STEPS},
@@ -782,12 +782,14 @@ r AS (SELECT run, step, sum(weight * (next_price - current_price)) + 1 AS free_r
 
 @query(f"WITH {_RETURNS} SELECT run, step, {q.rnd('mu')} FROM r")
 def turnover_cost(spark, sf_dir):
-    return pf.turnover(_steps(spark, sf_dir), large=_large_runs(spark, sf_dir))
+    large = _large(spark, sf_dir)
+    return pf.turnover(_steps(spark, sf_dir, large), large=large)
 
 
 @query(f"WITH {_RETURNS} SELECT run, step, {q.rnd('free_return')}, {q.rnd('mu')}, {q.rnd('free_return * mu', 'step_return')} FROM r")
 def step_returns(spark, sf_dir):
-    return pf.step_returns(_steps(spark, sf_dir), large=_large_runs(spark, sf_dir))
+    large = _large(spark, sf_dir)
+    return pf.step_returns(_steps(spark, sf_dir, large), large=large)
 
 
 @query(f"""WITH {_RETURNS}, x AS (SELECT run, avg(free_return * mu) AS mean, avg(ln(free_return * mu)) AS log_mean, avg(free_return) AS log_mean_free,
@@ -795,13 +797,14 @@ def step_returns(spark, sf_dir):
 SELECT run, {q.rnd('mean')}, {q.rnd('log_mean')}, {q.rnd('log_mean_free')}, {q.rnd('std')}, {q.rnd('(mean - 1) / std', 'sharpe')}, {q.rnd('run_value')},
   {q.rnd('-log_mean', 'loss')}, {q.rnd('exp(sum(ln(run_value)) OVER (ORDER BY run))', 'value')} FROM x""")
 def run_summary(spark, sf_dir):
-    return pf.run_summary(pf.step_returns(_steps(spark, sf_dir), large=_large_runs(spark, sf_dir)))
+    large = _large(spark, sf_dir)
+    return pf.run_summary(pf.step_returns(_steps(spark, sf_dir, large), large=large), large=large)
 
 
 @query(f"""WITH {_STEPS}, d AS (SELECT run, step, max(weight) FILTER (WHERE asset = 0) AS w0, max(weight) FILTER (WHERE asset = 1) AS w1 FROM s GROUP BY run, step)
 SELECT run, step, {q.rnd('0.75 - w0', 'd0')}, {q.rnd('0.25 - w1', 'd1')} FROM d""")
 def portfolio_delta(spark, sf_dir):
-    rows = _steps(spark, sf_dir).groupBy("run", "step").agg(
+    rows = _steps(spark, sf_dir, _large(spark, sf_dir)).groupBy("run", "step").agg(
         *[F.max(F.when(F.col("asset") == i, F.col("weight"))).alias(f"w{i}") for i in (0, 1)]
     )
     target = F.array(F.lit(0.75), F.lit(0.25))
