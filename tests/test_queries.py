@@ -47,3 +47,8 @@ def test_query(spark, oracle, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_message_books_are_built_for_every_instrument(spark):
+    found = entry.queries()["message_books"](spark, SF_DIR).select("base_asset").distinct().collect()
+    assert sorted(r[0] for r in found) == [f"C{i}" for i in range(10)]

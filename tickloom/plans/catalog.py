@@ -498,10 +498,10 @@ nl AS (SELECT *, row_number() OVER (ORDER BY arrived, message, place) AS seq FRO
 @query(f"""WITH {_PARSED_LEVELS}, ev AS (SELECT {EVENT_SQL}, min(seq) AS seq FROM nl GROUP BY {EVENT_SQL}), {q.snapshots(MONTH, None)},
 ml AS (SELECT u.*, n.message FROM upd u JOIN nl n USING (seq)),
 last_pos AS (SELECT {KEYS}, window_end, time, message, max(pos) AS pos FROM ml GROUP BY ALL)
-SELECT {KEYS}, window_end, pos, message, side, level, price, quantity FROM snap JOIN last_pos USING ({KEYS}, window_end, pos) WHERE base_asset = 'C3'""")
+SELECT {KEYS}, window_end, pos, message, side, level, price, quantity FROM snap JOIN last_pos USING ({KEYS}, window_end, pos)""")
 def message_books(spark, sf_dir):
-    """The whole book of one instrument after every depth message."""
-    parsed = ev.distinct_events(ps.parse_depths(ds.messages(spark, sf_dir, "depths"))[0]).where("base_asset = 'C3'")
+    """The whole book of every instrument after every depth message."""
+    parsed = ev.distinct_events(ps.parse_depths(ds.messages(spark, sf_dir, "depths"))[0])
     updates = wn.tumbling(stage(parsed), "720h").withColumn("message", F.col("seq.message_id"))
     books = book.message_books(updates, [*INSTRUMENT, "window_end"], ["time", "message"])
     return book.explode_levels(books, [*INSTRUMENT, "window_end", "pos", "message"])
