@@ -193,6 +193,44 @@ def test_personal_data_rows_and_accuracy(spark):
     assert personal_data.find(table.limit(0), net).count() == 0
 
 
+def test_every_trained_kind_comes_out_of_find(spark):
+    texts = [r[0] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").orderBy("doc_id").limit(110)
+             .select("text").collect()]
+    net = personal_data.train(personal_data.labelled_texts(texts), steps=350)
+    rnd = random.Random(31)
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    letters = lambda a, n: "".join(rnd.choice(a) for _ in range(n))
+    lower, upper = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    kinds = {
+        "local": lambda: f"({digits(3)}) {digits(3)}-{digits(4)}",
+        "number": lambda: f"{digits(3)}-{digits(2)}-{digits(4)}",
+        "account": lambda: f"{letters(upper, 2)}{digits(2)} {digits(4)} {digits(4)} {digits(4)} {digits(2)}",
+        "address": lambda: f"{letters(lower, 5)} at {letters(lower, 6)} dot {rnd.choice(['com', 'org', 'net'])}",
+    }
+    rows, places = [], {}
+    for kind in kinds:
+        for _ in range(60):
+            words = rnd.choice(texts).split()[:40]
+            left, value = " ".join(words[:20]), kinds[kind]()
+            places[len(rows)] = (kind, len(left) + 1, len(left) + 1 + len(value))
+            rows.append((len(rows), f"{left} {value} " + " ".join(words[20:]), "en"))
+    hit = dict.fromkeys(kinds, 0)
+    for row in personal_data.find(spark.createDataFrame(rows, SCHEMA), net).collect():
+        kind, start, end = places[row["doc_id"]]
+        held = set()
+        for span in filter(None, row["spans"].split(",")):  # a number that passes as a card is found as a card
+            held |= set(range(*map(int, span.split(":")[1:])))
+        hit[kind] += len(held & set(range(start, end))) > 0.7 * (end - start)
+    assert all(n > 0.8 * 60 for n in hit.values()), hit
+
+
+def test_failed_matches_block_tags_of_their_own_kind_alone():
+    text = "DE12 3456 7890 1234 56"
+    for tag, expected in ((5, [(4, 0, len(text))]), (3, [])):
+        spans, base = personal_data.all_spans(text, np.full(len(text), tag, np.uint8), np.arange(len(text) + 1))
+        assert (spans, base) == (expected, 0)
+
+
 # --- Secrets ----------------------------------------------------------------------------------------------
 
 def test_forest_on_findings_it_has_not_seen():

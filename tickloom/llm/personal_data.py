@@ -4,8 +4,9 @@ Patterns give the base spans (addresses, numbers) with their checks. A network r
 windows of ``WINDOW`` that overlap by ``OVERLAP``: two LSTMs of ``HIDDEN`` cells, one from each end, score a tag
 for every byte, and CRF transitions decide the best sequence of tags in the window. Windows of a text are
 reconciled where they overlap: each half of the overlap is decided by the window that sees further beyond it.
-Runs of a tag become spans of kind ``other`` wherever they touch neither a base span nor a number that failed
-a base check: personal data that the patterns don't describe. Base spans always stay.
+Runs of a tag become spans of kind ``other`` wherever they touch neither a base span nor a match of their own
+kind that failed its check (a run tagged as a card on a number that is none): personal data that the patterns
+don't describe. Base spans always stay.
 
 The gates use piecewise linear curves, in training and in use. The network is trained here, in numpy, from
 labelled spans: personal data of known formats put between words of a bounded sample of the texts
@@ -51,8 +52,8 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int]]]:
-    """(kind, start, end) by kind and start, in code points, and the spans of matches that failed a check."""
+def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    """(kind, start, end) by kind and start, in code points, and the same of matches that failed a check."""
     found, failed = [], []
     at = text.find("@")
     free = 0  # where the last address ended
@@ -69,21 +70,21 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, i
         if all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or 0) <= 255 for p in m.groups()):
             found.append((1, m.start(), m.end()))
         else:
-            failed.append(m.span())
+            failed.append((1, m.start(), m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 12:
             digits = m.group().replace(" ", "").replace("-", "")
             if 16 <= len(digits) <= 19 and luhn(digits):
                 found.append((2, m.start(), m.end()))
             else:
-                failed.append(m.span())
+                failed.append((2, m.start(), m.end()))
     at = text.find("+")
     while at >= 0:
         m = _PHONE.match(text, at)
         if m and 8 <= sum(c.isdigit() for c in m.group()) <= 15:
             found.append((3, m.start(), m.end()))
         elif m:
-            failed.append(m.span())
+            failed.append((3, m.start(), m.end()))
         at = text.find("+", m.end() if m else at + 1)
     return found, failed
 
@@ -398,15 +399,19 @@ def fit(documents: DataFrame, id_column: str = "doc_id", text_column: str = "tex
     return train(texts, steps)
 
 
+def _places(spans: list[tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Starts in order, and how far the spans up to each reach."""
+    places = sorted((a, b) for _, a, b in spans)
+    return np.array([a for a, _ in places]), np.maximum.accumulate(np.array([b for _, b in places], np.int64))
+
+
 def all_spans(text: str, tags: np.ndarray, points: np.ndarray) -> tuple[list[tuple[int, int, int]], int]:
     """Base spans, then added ones (kind 4), by kind and start, and the number of base spans.
 
     ``tags``: a tag for every byte; ``points``: code points before each byte (and after the last).
     """
     base, failed = base_spans(text) if text else ([], [])
-    taken = sorted([(a, b) for _, a, b in base] + failed)
-    starts = np.array([a for a, _ in taken])
-    ends = np.maximum.accumulate(np.array([b for _, b in taken])) if taken else starts
+    taken = {tag: _places(base + [f for f in failed if f[0] == tag - 1]) for tag in range(1, len(TAGS))}
     cuts = np.concatenate([[0], np.flatnonzero(tags[1:] != tags[:-1]) + 1, [len(tags)]]) if len(tags) else np.zeros(1, int)
     added = []
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
@@ -416,6 +421,7 @@ def all_spans(text: str, tags: np.ndarray, points: np.ndarray) -> tuple[list[tup
                 x += 1
             while y > x and text[y - 1].isspace():
                 y -= 1
+            starts, ends = taken[int(tags[a])]
             at = int(np.searchsorted(starts, y))  # spans that begin before this one ends
             if y - x >= SHORTEST and not (at and ends[at - 1] > x) and _HOLDS.search(text, x, y):
                 added.append((4, x, y))
