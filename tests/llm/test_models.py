@@ -69,6 +69,28 @@ def test_toxicity_without_labels_or_rows(spark):
     assert toxicity.score(table.limit(0), toxicity.fit(table.limit(0), none)).count() == 0
 
 
+def test_rare_toxic_words_and_contexts_count(spark):
+    """A word with fewer than 12 left neighbours, in toxic texts alone, and its place as a context."""
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("aeioulnrst") for _ in range(5)) for _ in range(200)]
+    rows, labels = [], []
+    for i in range(120):
+        text = rnd.choices(words, k=40)
+        if i % 2 and i < 60:
+            at = rnd.randrange(40)
+            text[at:at] = [words[i % 8], "slurred"]
+        rows.append((i, " ".join(text), "en"))
+        labels.append((i, i % 2))
+    model = toxicity.fit(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    scorer = toxicity.Scorer(model)
+    data, bounds = _slice("slurred")
+    key = toxicity.words(data, bounds)[0]
+    at = scorer.words.rows(key)
+    assert at[0] >= 0 and 0 < model.seen[at[0], 1] < 12 and model.seen[at[0], 0] == 0
+    assert scorer.contexts.rows(key)[0] >= 0
+    assert scorer.differences(data, bounds)[0][0] > 0 and scorer.differences(*_slice("elsewhere"))[0][0] == 0
+
+
 # --- Language ---------------------------------------------------------------------------------------------
 
 def test_forward_sums_all_segmentations():
