@@ -279,6 +279,18 @@ def test_findings_and_redaction(spark):
     assert secrets.find(table.limit(0), model).count() == 0
 
 
+def test_values_after_names_are_candidates_of_any_length_and_characters(spark):
+    values = ["Tr0ub4dor", "correcthorsebattery", "P@ssw0rd!2024"]
+    rows = [(1, "é set password=Tr0ub4dor now", "en"), (2, 'the passphrase = "correcthorsebattery" is old', "en"),
+            (3, "pwd: P@ssw0rd!2024", "en"), (4, "password: required and token=None, see key: value", "en")]
+    table = spark.createDataFrame(rows, SCHEMA)
+    model = secrets.fit(table, PIECES)
+    found = [(r["doc_id"], r["start"], r["length"], r["value"]) for r in secrets.find(table, model).collect() if r["is_secret"]]
+    assert sorted(found) == [(i + 1, rows[i][1].index(v), len(v), v) for i, v in enumerate(values)]
+    texts = {r["doc_id"]: r["text"] for r in secrets.redact(table, model).collect()}
+    assert texts == {i: t.replace(values[i - 1], secrets.MARK) if i < 4 else t for i, t, _ in rows}
+
+
 # --- Decontamination --------------------------------------------------------------------------------------
 
 @settings(max_examples=200, deadline=None)

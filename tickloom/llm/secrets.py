@@ -1,7 +1,8 @@
 """Secret scans with a random forest that removes false positives.
 
 Candidates are runs of ``[A-Za-z0-9+/_-]`` of at least ``SHORTEST`` characters that hold a digit, or upper and
-lower case. Each becomes a row of numbers: length, kinds of characters, transitions between kinds and between
+lower case, and, of any length and characters, the value that follows one of ``NAMES`` and ``=`` or ``:`` on its
+line (to the closing quote, or else to the next blank). Each becomes a row of numbers: length, kinds of characters, transitions between kinds and between
 characters (against those of dictionary words), dictionary coverage, signs of a path or address on either
 side, and whether the words before name something secret. A forest of decision trees, trained from labelled
 findings, says which candidates are secrets.
@@ -11,12 +12,13 @@ identifiers, paths, addresses, numbers), between words of a bounded sample of th
 Every text of the table is scanned whole.
 
 Defined results: NULL and empty texts have no candidate; repeated rows give their findings again; findings of a
-row are in order of place; spans are counted in code points.
+row are in order of place; spans are counted in code points; what lies inside a secret is no finding of its own.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from dataclasses import dataclass
 
 import numpy as np
@@ -49,7 +51,30 @@ _INSIDE = _KIND != _OTHER
 _SYMBOL = np.full(256, 27, np.int64)
 _SYMBOL[65:91], _SYMBOL[97:123], _SYMBOL[48:58] = np.arange(26), np.arange(26), 26
 _BEFORE = 40  # bytes before a candidate in which its name is looked for
-FEATURES = 21
+FEATURES = 23
+_ENDINGS = tuple(x.encode() for x in NAMES)
+_PASSWORDS = ("password", "passwd", "pwd", "passphrase")
+_VALUE = re.compile(rb"""[=>]?[ \t]*(?:"((?:\\.|[^"\\\r\n])+)"|'((?:\\.|[^'\\\r\n])+)'|`([^`\r\n]+)`|["'`]?(\S+))""")
+
+
+def named_values(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the values that follow one of ``NAMES`` and a sign, of any length and characters."""
+    signs = np.flatnonzero((data == 61) | (data == 58))
+    owner = np.searchsorted(bounds, signs, "right") - 1
+    raw, longest, out = data.tobytes(), max(map(len, _ENDINGS)), []
+    for s, low, high in zip(signs.tolist(), bounds[owner].tolist(), bounds[owner + 1].tolist()):
+        a = s
+        while a > low and raw[a - 1] in b" \t\"'`":
+            a -= 1
+        if raw[max(low, a - longest):a].lower().endswith(_ENDINGS):
+            m = _VALUE.match(raw, s + 1, high)
+            if m:
+                start, end = m.span(m.lastindex)
+                if m.lastindex == 4:
+                    end = start + (len(m.group(4).rstrip(b".,;)]}>\"'`")) or end - start)
+                out.append((start, end))
+    found = np.array(out, np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
 
 
 def dictionary(path: str, least: int = 4, most: int = 9) -> list[bytes]:
@@ -89,7 +114,9 @@ class Reader:
         # A capital letter at the start alone, or nothing but capitals, is an ordinary word.
         mixed = (upper >= 2) & (lower >= 2)
         keep = (digit > 0) | mixed
-        starts, ends = starts[keep], ends[keep]
+        named = named_values(data, bounds)
+        both = np.unique(np.stack([np.append(starts[keep], named[0]), -np.append(ends[keep], named[1])], 1), axis=0)
+        starts, ends = both[:, 0], -both[:, 1]  # of those that start together the longest first
         return starts, ends, np.searchsorted(bounds, starts, "right") - 1
 
     def features(self, data: np.ndarray, bounds: np.ndarray, starts, ends, owner) -> np.ndarray:
@@ -134,18 +161,20 @@ class Reader:
         raw = data.tobytes()
         lefts = [raw[max(a, s - _BEFORE):s].decode("utf-8", "replace").lower()
                  for a, s in zip(bounds[owner].tolist(), starts.tolist())]
-        named, path = np.zeros(n), np.zeros(n)
+        named, path, password = np.zeros(n), np.zeros(n), np.zeros(n)
         for i, left in enumerate(lefts):
             words = left.rstrip(" \t=:\"'`>").replace("=", " ").replace(":", " ").split()
             last = words[-1].strip("\"'`,;({[<>") if words else ""
             named[i] = 2 if any(last.endswith(x) for x in NAMES) else any(x in left for x in NAMES[:13])
+            password[i] = last.endswith(_PASSWORDS)
             path[i] = any(x in left[-12:] for x in ("://", "www.", "/", "\\", "@", "commit", "sha", "md5", "base64,"))
         prefix = np.array([any(raw[a:a + 12].startswith(x.encode()) for x in PREFIXES) for a in starts.tolist()])
         assigned = np.array([left.rstrip(" \"'`")[-1:] in ("=", ":") for left in lefts])
         columns = [size, *share, total(change) / size, total(step) / np.maximum(size - 1, 1),
                    total(covered) / size, total(hexadecimal) / size, distinct / size, entropy,
                    np.isin(before, [47, 46, 64, 92, 35]), np.isin(after, [46, 64, 92, 40]), np.isin(before, [34, 39, 61, 58]),
-                   named, path, prefix, assigned, slash, dashes, (total(kind == _DIGIT) == size)]
+                   named, path, prefix, assigned, slash, dashes, (total(kind == _DIGIT) == size), password,
+                   np.isin(before, [34, 39, 96])]
         return np.stack([np.asarray(c, np.float32) for c in columns], 1)
 
 
@@ -220,7 +249,13 @@ def train_forest(x: np.ndarray, y: np.ndarray, seed: int = 11) -> Forest:
                   packed[:, :, 3].astype(int), packed[:, :, 4])
 
 
-def labelled_findings(words: list[str], each: int = EACH, seed: int = 3) -> list[tuple[str, str, int]]:
+def outermost(starts: np.ndarray, ends: np.ndarray, secret: np.ndarray) -> np.ndarray:
+    """False for what lies inside a secret that starts no later."""
+    reach = np.maximum.accumulate(np.append(-1, np.where(secret, ends, -1)))[:-1]
+    return ends > reach
+
+
+def labelled_findings(words: list[str], each: int = EACH, seed: int = 3, known: tuple[str, ...] = ()) -> list[tuple[str, str, int]]:
     """(text, the finding in it, 1 for a secret): published formats between words of the corpus."""
     rng = np.random.default_rng(seed)
     digits, hexes = "0123456789", "0123456789abcdef"
@@ -236,10 +271,10 @@ def labelled_findings(words: list[str], each: int = EACH, seed: int = 3) -> list
     def name() -> str:
         return str(rng.choice(NAMES)).upper() if rng.random() < 0.2 else str(rng.choice(NAMES))
 
-    def assign(value: str) -> str:
-        quote = str(rng.choice(["", '"', "'"]))
+    def assign(value: str, names: tuple[str, ...] = (), quote: str | None = None) -> str:
+        quote = str(rng.choice(["", '"', "'"])) if quote is None else quote
         sign = str(rng.choice(["=", " = ", ": ", ":", " := "]))
-        return f"{name()}{sign}{quote}{value}{quote}"
+        return f"{str(rng.choice(names)) if names else name()}{sign}{quote}{value}{quote}"
 
     def b64(n: int) -> str:
         return base64.b64encode(rng.bytes(n)).decode().rstrip("=")
@@ -250,6 +285,29 @@ def labelled_findings(words: list[str], each: int = EACH, seed: int = 3) -> list
     def plain(n: int, sign: str) -> str:
         return sign.join(w for w in (("".join(c for c in word() if c.isascii() and c.isalnum()) or "item") for _ in range(n)))
 
+    common = known or ["correct", "horse", "battery", "staple", "river", "window", "orange", "garden", "silver", "market"]
+
+    def one() -> str:
+        return common[int(rng.integers(len(common)))]
+
+    def phrase(sign: str) -> str:
+        return sign.join(one() for _ in range(int(rng.integers(3, 6))))
+
+    def chosen() -> str:
+        """A word as people change it: letters for digits and signs, a number, a sign."""
+        v = (one() + (one() if rng.random() < 0.3 else "")).title()
+        for a, b in zip("aeios", str(rng.choice(["@3105", "43!0$", "aeios", "a3i0s"]))):
+            v = v.replace(a, b)
+        return v + str(rng.choice(["", "!", "#", "_"])) + some(digits, 1, 4) + str(rng.choice(["", "", "!", "$"]))
+
+    def short() -> str:
+        return str(rng.choice(["none", "None", "null", "true", "false", "required", "optional", "string", "the", "value", "is", "x",
+                               "yes", "no", "your", "an", "int", "str", "changed", "expired", "reset", "********", "xxxxxx", "..."]))
+
+    def unset() -> str:
+        v = word()
+        return str(rng.choice(["${%s}", "<%s>", "{{%s}}", "$%s", "%s()", "get_%s()", "os.environ['%s']", "config.%s", "[%s]", "your_%s_here"])) % v
+
     secret = [
         lambda: (v := some(hexes, 16, 20), assign(v)), lambda: (v := some(hexes, 32, 64), assign(v)),
         lambda: (v := some(alnum, 14, 40), assign(v)), lambda: (v := b64(int(rng.integers(18, 48))), assign(v)),
@@ -260,6 +318,9 @@ def labelled_findings(words: list[str], each: int = EACH, seed: int = 3) -> list
         lambda: (v := "xoxb-" + some(digits, 11) + "-" + some(alnum, 24), v),
         lambda: (v := str(rng.choice(["sk_live_", "rk_live_"])) + some(alnum, 24), v),
         lambda: (v := "eyJ" + b64(30), "Bearer " + v),
+        lambda: (v := chosen(), assign(v, _PASSWORDS)), lambda: (v := some(alnum + "!@#$%^&*?", 6, 16) + some(digits, 1), assign(v)),
+        lambda: (v := some(lower, 10, 24), assign(v, _PASSWORDS)), lambda: (v := phrase(""), assign(v, _PASSWORDS)),
+        lambda: (v := phrase(" "), assign(v, _PASSWORDS, '"')),
     ]
     other = [
         lambda: (v := uuid(), v), lambda: (v := uuid(), "id=" + v),
@@ -277,16 +338,18 @@ def labelled_findings(words: list[str], each: int = EACH, seed: int = 3) -> list
         lambda: (v := plain(1, "").title() + plain(1, "").title() + plain(1, "").title() + "Xyz", v + "()"),
         lambda: (v := b64(40), "data:image/png;base64," + v),
         lambda: (v := plain(2, "_") + "_name12", f"{str(rng.choice(['name', 'user', 'file', 'key']))}={v}"),
+        lambda: (v := short(), assign(v)), lambda: (v := one(), assign(v)), lambda: (v := word(), assign(v, quote="")),
+        lambda: (v := unset(), assign(v, quote="")), lambda: (v := some(digits, 1, 4), assign(v)),
+        lambda: (v := " ".join(str(rng.choice(["the", "of", "is", one()])) for _ in range(3)), assign(v, ("key", "token", "auth", "secret"), '"')),
     ]
     out = []
     for y, kinds in ((1, secret), (0, other)):
         for kind in kinds:
             for _ in range(each):
                 value, text = kind()
-                if len(value) >= SHORTEST:
-                    left = " ".join(word() for _ in range(int(rng.integers(0, 7))))
-                    right = " ".join(word() for _ in range(int(rng.integers(0, 4))))
-                    out.append((f"{left} {text} {right}".strip(), value, y))
+                left = " ".join(word() for _ in range(int(rng.integers(0, 7))))
+                right = " ".join(word() for _ in range(int(rng.integers(0, 4))))
+                out.append((f"{left} {text} {right}".strip(), value, y))
     return out
 
 
@@ -320,7 +383,7 @@ def fit(documents: DataFrame, vocabulary_path: str) -> Model:
     words = sorted({w for r in texts for w in r[0].split() if w.isalpha()})
     known = dictionary(vocabulary_path)
     reader = Reader(known)
-    return Model(known, train_forest(*training_table(reader, labelled_findings(words))))
+    return Model(known, train_forest(*training_table(reader, labelled_findings(words, known=tuple(w.decode() for w in known)))))
 
 
 def find(documents: DataFrame, model: Model, threshold: float = 0.5, id_column: str = "doc_id",
@@ -335,11 +398,13 @@ def find(documents: DataFrame, model: Model, threshold: float = 0.5, id_column:
             for first, last, data, bounds in text_slices(batch.column(1)):
                 starts, ends, owner = reader.candidates(data, bounds)
                 score = forest.scores(reader.features(data, bounds, starts, ends, owner))
+                outer = outermost(starts, ends, score >= threshold)
+                starts, ends, owner, score = starts[outer], ends[outer], owner[outer], score[outer]
                 points = np.append(0, np.cumsum((data & 0xC0) != 0x80))
                 raw = data.tobytes()
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(first, last - first).take(pa.array(owner)),
-                    pa.array(points[starts] - points[bounds[owner]]), pa.array(ends - starts), pa.array(score),
+                    pa.array(points[starts] - points[bounds[owner]]), pa.array(points[ends] - points[starts]), pa.array(score),
                     pa.array(score >= threshold),
                     pa.array([raw[a:b].decode() for a, b in zip(starts.tolist(), ends.tolist())], pa.string())],
                     ["doc_id", "start", "length", "score", "is_secret", "value"])
@@ -362,7 +427,8 @@ def redact(documents: DataFrame, model: Model, threshold: float = 0.5, text_colu
             raw, mark, changed = data.tobytes(), MARK.encode(), {}
             for a, b, o in zip(starts[secret].tolist(), ends[secret].tolist(), owner[secret].tolist()):
                 parts, at = changed.setdefault(o, ([], int(bounds[o])))
-                changed[o] = (parts + [raw[at:a], mark], b)
+                # A secret that begins inside the one before shares its mark.
+                changed[o] = (parts + [raw[at:a], mark] if a >= at else parts, max(b, at)) if parts else ([raw[at:a], mark], b)
             texts = [None] * (len(bounds) - 1)  # NULL where nothing changes
             for o, (parts, at) in changed.items():
                 texts[o] = b"".join([*parts, raw[at:int(bounds[o + 1])]]).decode()
