@@ -6,7 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, near_dedup, neighbours, packing, personal_data, secrets, token_counts, token_files, toxicity
+from . import (
+    decontaminate, language, near_dedup, neighbours, packing, personal_data, prefix_trie, secrets, simhash, spelling,
+    token_counts, token_files, toxicity,
+)
 from .shipping import ship
 
 
@@ -69,6 +72,21 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find(documents, model)
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_decontamination, op3_token_counts, op4_near_dedup, op5_neighbours, op6_personal_data, op7_language, op8_token_files, op9_packing, op10_secrets)}
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(_table(spark, sf_dir, "conversations"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_decontamination, op3_token_counts, op4_near_dedup, op5_neighbours, op6_personal_data, op7_language,
+    op8_token_files, op9_packing, op10_secrets, op11_prefix_trie, op12_spelling, op13_simhash,
+)}
 #: Token ids, trained models and hash placement cannot be written in SQL; tests hold them against brute force.
 ORACLE: dict[str, str] = {}
