@@ -130,7 +130,7 @@ def one_apart(a: Words, i: np.ndarray, b: Words, j: np.ndarray) -> np.ndarray:
         n = min(len(x), len(y))
         head = _agreeing((x[:n] == y[:n])[None, :])[0]
         tail = _agreeing((x[::-1][:n] == y[::-1][:n])[None, :])[0]
-        out[at] = (head < longest[at]) & (head + tail >= longest[at] - 1) & ~(len(x) == len(y) == head)
+        out[at] = head < longest[at] <= head + tail + 1
     return out
 
 
