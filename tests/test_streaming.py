@@ -92,8 +92,9 @@ def test_events_after_closing_stay_out(spark, tmp_path):
     )
     stored.write.partitionBy("ingest_batch", "event_day").parquet(str(tmp_path / "s"))
     closed = spark.createDataFrame(
-        [("ex", "USDT", "A0", 1, 3, 0, 119_999)],
-        "exchange string, quote_asset string, base_asset string, events bigint, last_batch bigint, window_start bigint, window_end bigint",
+        [("ex", "USDT", "A0", [(0, "1970-01-01"), (5, "1970-01-01")], 3, 0, 119_999)],
+        "exchange string, quote_asset string, base_asset string, parts array<struct<ingest_batch: bigint, event_day: string>>, "
+        "last_batch bigint, window_start bigint, window_end bigint",
     )
     rows = jobs.events_of(spark, str(tmp_path / "s"), closed, "2m", T.LongType())
     assert [r.seq for r in rows.collect()] == [0]

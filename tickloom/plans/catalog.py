@@ -18,7 +18,7 @@ from tickloom.schemas import (
 )
 from tickloom.session import shared_dir, stage
 from tickloom.sources import readers, writers
-from tickloom.streaming import jobs
+from tickloom.streaming import intake, jobs, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -849,34 +849,101 @@ def streamed_trade_features(spark, sf_dir):
     return spark.read.parquet(ds.written_once(spark, sf_dir, "stream-trades", run))
 
 
-_STREAM_CLOSED = "WHERE window_end < (SELECT max(time) FROM ev WHERE time <= (SELECT max(time) FROM ev) - 300000) - 1"
+def _last_time(rows) -> int:
+    return rows.agg(F.max("time")).first()[0]
 
 
-@query(f"""WITH {_FEATURES} SELECT {KEYS}, window_end, CAST(86400 AS BIGINT) AS interval, {_BLOCK_SQL} FROM tf FULL JOIN bf USING ({KEYS}, window_end) {_STREAM_CLOSED}""")
+def _feed(spark, sf_dir, rows, path):
+    """``rows`` as a stream of files under ``path``, and a call that ends it after its last event."""
+    rows.write.parquet(path)
+    schema = rows.schema
+    lateness = 300_000  # that of `ingest`
+
+    def end() -> None:
+        store.heartbeat(spark, path, _last_time(spark.read.schema(schema).parquet(path)) + lateness, schema)
+
+    return lambda: spark.readStream.schema(schema).parquet(path), end
+
+
+@query(f"""WITH {_FEATURES} SELECT {KEYS}, window_end, CAST(86400 AS BIGINT) AS interval, {_BLOCK_SQL} FROM tf FULL JOIN bf USING ({KEYS}, window_end)""")
 def streamed_window_features(spark, sf_dir):
-    """Ingest with deduplication, then feature rows of the closed windows."""
+    """Ingest with deduplication, then feature rows of all windows: the feed's end closes the last ones."""
     def run(path: str) -> None:
-        jobs.ingest(_event_stream(spark, sf_dir), f"{path}/events", f"{path}-ingest").awaitTermination()
-        jobs.feature_job(
-            spark, f"{path}/events", f"{path}/rows", f"{path}-features", "24h", order=["time", "seq"], seq=T.LongType()
-        ).awaitTermination()
+        stream, end = _feed(spark, sf_dir, ad.market_events(spark, sf_dir), f"{path}/in")
+        options = {"order": ["time", "seq"], "seq": T.LongType()}
+        for step in ("events", "end"):
+            jobs.ingest(stream(), f"{path}/events", f"{path}-ingest").awaitTermination()
+            if step == "end":
+                jobs.end_windows(spark, f"{path}/events", _last_time(ad.market_events(spark, sf_dir)) + DAY)
+            jobs.feature_job(spark, f"{path}/events", f"{path}/rows", f"{path}-features", "24h", **options).awaitTermination()
+            end()
 
     path = ds.written_once(spark, sf_dir, "stream-features", run)
     return spark.read.parquet(f"{path}/rows").select(*feature_columns(DEFAULT_LEVELS))
 
 
-_PASSED = "WHERE time <= (SELECT max(time) FROM ev) - 300000"  # five minutes of lateness
-
-
-@query(f"WITH {_TWO_FEEDS} SELECT {EVENT_SQL}, min(seq) AS seq FROM feed {_PASSED} GROUP BY {EVENT_SQL}")
+@query(f"WITH {_TWO_FEEDS} SELECT {EVENT_SQL}, min(seq) AS seq FROM feed GROUP BY {EVENT_SQL}")
 def streamed_distinct_events(spark, sf_dir):
-    """Trades that arrive twice, the later copy first, deduplicated and stored by the ingest stream.
-    Events wait until the watermark passes them."""
+    """Trades that arrive twice, the later copy first, deduplicated and stored by the ingest stream, then compacted.
+    Events wait until the watermark passes them; the end of the feed lets the last ones go."""
     def run(path: str) -> None:
         late = _two_feeds(spark, sf_dir).where("event_type = 'trade'").withColumn("seq", F.col("seq") + 1_000_000_000)
-        late.unionByName(_two_feeds(spark, sf_dir)).write.parquet(f"{path}/in")
-        stream = spark.readStream.schema(_two_feeds(spark, sf_dir).schema).parquet(f"{path}/in")
-        jobs.ingest(stream, f"{path}/out", f"{path}-state").awaitTermination()
+        stream, end = _feed(spark, sf_dir, late.unionByName(_two_feeds(spark, sf_dir)), f"{path}/in")
+        for _ in range(2):
+            jobs.ingest(stream(), f"{path}/out", f"{path}-state").awaitTermination()
+            end()
+        store.compact(spark, f"{path}/out", "2024-01-15", T.LongType())  # one half of the days
 
     path = ds.written_once(spark, sf_dir, "stream-distinct", run)
-    return spark.read.schema(jobs.stored_schema(T.LongType())).parquet(f"{path}/out").select(*EVENT_COLUMNS, "seq")
+    return store.read_store(spark, f"{path}/out", T.LongType()).select(*EVENT_COLUMNS, "seq")
+
+
+def _intake(spark, sf_dir) -> str:
+    """The archive's messages as a stream: taken in, ended, deduplicated and stored."""
+    def run(path: str) -> None:
+        source, taken = ds.archive(spark, sf_dir), f"{path}/taken"
+        query = intake.intake(spark, source, taken, f"{path}-intake")
+        query.awaitTermination()
+        records = intake.record_stream(spark, taken)
+        jobs.ingest(records, f"{path}/events", f"{path}-ingest", period="yyyy-MM").awaitTermination()
+        last = _last_time(intake.events_of_records(spark.read.schema(intake.RECORDS).parquet(f"{taken}/records/*")))
+        intake.end_feed(spark, taken, query.lastProgress["batchId"], last + 300_000)
+        jobs.ingest(records, f"{path}/events", f"{path}-ingest", period="yyyy-MM").awaitTermination()
+
+    return ds.written_once(spark, sf_dir, "stream-intake", run)
+
+
+@query(f"""WITH {_ARCHIVED}, arrived AS (SELECT {EVENT_SQL}, arrived FROM nl UNION ALL
+  SELECT 'trade', exchange, quote_asset, base_asset, time, price * raw, price, side, event_id FROM px)
+SELECT {EVENT_SQL}, min(arrived) AS arrived FROM arrived GROUP BY {EVENT_SQL}""")
+def streamed_intake(spark, sf_dir):
+    """Messages of both topics through the streams to stored events, each with its earliest arrival."""
+    events = store.read_store(spark, f"{_intake(spark, sf_dir)}/events")
+    return events.select(*EVENT_COLUMNS, F.col("seq.timestamp").alias("arrived"))
+
+
+@query(f"""SELECT error_class, source, count(*) AS failures FROM ({ORACLE['parse_failures']}) GROUP BY 1, 2""")
+def streamed_dead_letters(spark, sf_dir):
+    """Failures of the same stream, from the same parse."""
+    failed = intake.read_failures(spark, f"{_intake(spark, sf_dir)}/taken")
+    return failed.groupBy("error_class", "source").agg(F.count("*").alias("failures"))
+
+
+@query(f"""WITH {_ARCHIVED}, b AS (SELECT max(time) - 604800000 AS bound FROM px WHERE event_id % 2 = 0)
+SELECT CASE WHEN event_id % 2 = 1 AND time <= bound THEN 'late' ELSE 'kept' END AS outcome, side, count(*) AS events FROM px, b GROUP BY ALL""")
+def streamed_late_events(spark, sf_dir):
+    """Trades of odd ids come after all others: those a week or more behind the latest are late, and counted."""
+    def run(path: str) -> None:
+        messages = ds.messages(spark, sf_dir, "trades")
+        for rest in (0, 1):
+            messages.where(F.element_at("attributes", "id").cast("bigint") % 2 == rest).write.mode("append").parquet(f"{path}/in/trades")
+            intake.intake(
+                spark, f"{path}/in", f"{path}/taken", f"{path}-intake", lateness="168h", topics=["trades"]
+            ).awaitTermination()
+
+    taken = f"{ds.written_once(spark, sf_dir, 'stream-late', run)}/taken"
+    kept = intake.events_of_records(spark.read.schema(intake.RECORDS).parquet(f"{taken}/records/*")).select(
+        F.lit("kept").alias("outcome"), "side")
+    late = intake.read_failures(spark, taken).where(F.col("error_class") == intake.LATE).select(
+        F.lit("late").alias("outcome"), F.get_json_object("payload", "$.side").alias("side"))
+    return kept.unionByName(late).groupBy("outcome", "side").agg(F.count("*").alias("events"))

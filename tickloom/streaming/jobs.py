@@ -1,11 +1,11 @@
 """Streaming ingest and streaming features.
 
-Ingest parses, deduplicates and stores events, each micro-batch in its own ``ingest_batch``
-directory, so a repeated batch replaces itself. Trade features are an ordinary windowed stream
-aggregation. Features that need the order of a whole window (the book) keep no events in stream
-state: a second stream counts the stored events per (instrument, window), which is a few numbers
-of state, and when the watermark closes a window its events are read from storage and go through
-the batch operators.
+Ingest deduplicates and stores events, each micro-batch in its own ``ingest_batch`` directory, so a
+repeated batch replaces itself (`store`; messages are parsed by `intake` before). Trade features are an
+ordinary windowed stream aggregation. Features that need the order of a whole window (the book) keep no
+events in stream state: a second stream gathers, per (instrument, window), which parts of the store hold its
+events, and when the watermark closes a window these parts are opened by name and go through the batch
+operators.
 """
 
 from __future__ import annotations
@@ -22,10 +22,12 @@ from tickloom.operators.events import flatten
 from tickloom.operators.features import window_features
 from tickloom.operators.parse import parse_depths, parse_trades
 from tickloom.operators.windows import assign_event_time
-from tickloom.schemas import ARRIVAL, DEFAULT_LEVELS, EVENT, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, TRADE
+from tickloom.schemas import ARRIVAL, DEFAULT_LEVELS, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, TRADE
 from tickloom.sources.readers import TOPICS, stream_messages
 from tickloom.session import stage
 from tickloom.sources.writers import as_text, named_partitions, write_failures
+from tickloom.streaming import store as st
+from tickloom.streaming.store import stored_schema
 
 DEDUPE_WINDOW = "5m"
 #: What a job runs on without another word: all that is there now, then stop.
@@ -58,14 +60,28 @@ def distinct_stream(events: DataFrame, lateness: str = DEDUPE_WINDOW) -> DataFra
 
 
 def ingest(
-    events: DataFrame, directory: str, checkpoint: str, lateness: str = DEDUPE_WINDOW, trigger: dict | None = None
+    events: DataFrame, directory: str, checkpoint: str, lateness: str = DEDUPE_WINDOW, trigger: dict | None = None,
+    announce: Sequence[str] | None = None, period: str = "yyyy-MM-dd",
 ) -> StreamingQuery:
-    """Deduplicate and store events by ingest batch and day. ``trigger``: arguments of ``DataStreamWriter.trigger``."""
+    """Deduplicate and store events by ingest batch and day.
+
+    A live feed brings a few days in a batch, so its tasks write their rows as they lie. A feed that brings years at
+    once is better stored by a longer ``period``, say "yyyy-MM".
+    ``trigger``: arguments of ``DataStreamWriter.trigger``. ``announce``: a folder for every job that follows the store
+    (each deletes what it has used), by default the one of a single `feature_job`. Heartbeats move the watermark and
+    are not stored.
+    """
+    targets = [st.announced_dir(directory)] if announce is None else announce
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        day = utc_text(F.col("event_time"), "yyyy-MM-dd")
-        rows = named_partitions(batch).withColumn("event_day", day).drop("event_time")
-        rows.write.mode("overwrite").partitionBy("event_day").parquet(f"{directory}/ingest_batch={batch_id}")
+        day = utc_text(F.col("event_time"), period)
+        rows = batch.where(F.col("event_type") != st.HEARTBEAT)
+        rows = named_partitions(rows).withColumn("event_day", day).drop("event_time")
+        path = f"{directory}/ingest_batch={batch_id}"
+        rows.write.mode("overwrite").partitionBy("event_day").parquet(path)
+        # Without its event time the schema is that of the store, but for the batch, which names the folder.
+        stored = batch.sparkSession.read.schema(rows.schema).parquet(path)
+        st.announce(stored.withColumn("ingest_batch", F.lit(batch_id).cast("bigint")), targets)
 
     return (
         distinct_stream(events, lateness).writeStream.outputMode("append").foreachBatch(store)
@@ -85,13 +101,6 @@ def ingest_failures(failed: DataFrame, directory: str, checkpoint: str, trigger:
     )
 
 
-def stored_schema(seq: T.DataType = ARRIVAL) -> T.StructType:
-    return T.StructType([
-        *EVENT.fields, T.StructField("seq", seq),
-        T.StructField("ingest_batch", T.LongType()), T.StructField("event_day", T.StringType()),
-    ])
-
-
 def trade_feature_stream(
     events: DataFrame, duration: str = "5m", lateness: str = "0s", keys: Sequence[str] = INSTRUMENT,
     order: Sequence[str] = EVENT_ORDER,
@@ -109,34 +118,29 @@ def _lateness(duration: str) -> str:
     return "0 milliseconds" if duration == "0s" else _interval(duration)
 
 
-def closed_windows(stored: DataFrame, duration: str, lateness: str) -> DataFrame:
-    """One small row per closed (instrument, window): its count and its last ingest batch."""
-    timed = assign_event_time(stored).withWatermark("event_time", _lateness(lateness))
+def closed_windows(announced: DataFrame, duration: str, lateness: str) -> DataFrame:
+    """One small row per closed (instrument, window): the parts of the store that hold it, and its last ingest batch."""
+    timed = assign_event_time(announced).withWatermark("event_time", _lateness(lateness))
     return (
         timed.groupBy(*INSTRUMENT, F.window("event_time", _interval(duration)).alias("_window"))
-        .agg(F.count("*").alias("events"), F.max("ingest_batch").alias("last_batch"))
+        .agg(F.collect_set(F.struct("ingest_batch", "event_day")).alias("parts"), F.max("ingest_batch").alias("last_batch"))
         .select(
-            *INSTRUMENT, "events", "last_batch",
+            *INSTRUMENT, "parts", "last_batch",
             F.unix_millis("_window.start").alias("window_start"), (F.unix_millis("_window.end") - 1).alias("window_end"),
         )
     )
 
 
 def events_of(spark: SparkSession, directory: str, closed: DataFrame, duration: str, seq: T.DataType = ARRIVAL) -> DataFrame:
-    """Stored events of the closed windows.
+    """Stored events of the closed windows, from the parts of the store that they name.
 
     What arrived after a window closed sits in a later ingest batch than ``last_batch`` and stays
-    out, as a late event should. The days of the windows prune the directories.
+    out, as a late event should. The parts of a window are as many as the batches it was open in.
     """
-    bounds = closed.agg(F.min("window_start"), F.max("window_end")).first()
-    stored = spark.read.schema(stored_schema(seq)).parquet(directory)
-    if bounds[0] is None:
-        return stored.where(F.lit(False))
-    days = [utc_text(F.timestamp_millis(F.lit(b)), "yyyy-MM-dd") for b in bounds]
+    named = closed.select(F.explode("parts").alias("part")).select("part.*").where("ingest_batch IS NOT NULL").distinct()
+    stored = st.read_parts(spark, directory, [(r.ingest_batch, r.event_day) for r in named.collect()], seq)
     millis = F.lit(parse_millis(duration)).cast("bigint")
-    windowed = stored.where(F.col("event_day").between(*days)).withColumn(
-        "window_start", F.col("time") - F.pmod(F.col("time"), millis)
-    )
+    windowed = stored.withColumn("window_start", F.col("time") - F.pmod(F.col("time"), millis))
     wanted = closed.select(*INSTRUMENT, "window_start", F.col("last_batch").alias("_last"))
     return (
         windowed.join(wanted, [*INSTRUMENT, "window_start"])
@@ -156,14 +160,18 @@ def feature_job(
     seq: T.DataType = ARRIVAL,
     build: Callable[..., DataFrame] = window_features,
     trigger: dict | None = None,
+    announced: str | None = None,
     **options: str,
 ) -> StreamingQuery:
     """Feature rows of every closed window of the events stored by `ingest`, once each.
 
-    Run beside a live ingest, ``lateness`` has to cover the time in which the files of one ingest
-    batch appear one after another.
+    Follows the announcements of the store, which come after a batch is stored whole; used ones are deleted, so
+    neither the store nor its past is listed. ``announced``: this job's folder, if it isn't the only one.
     """
-    stored = spark.readStream.schema(stored_schema(seq)).options(**options).parquet(directory)
+    source = announced or st.announced_dir(directory)
+    followed = (
+        spark.readStream.schema(st.ANNOUNCED).option("cleanSource", "delete").options(**options).parquet(source)
+    )
 
     def compute(closed: DataFrame, batch_id: int) -> None:
         # Both are used several times: neither the stream's plan nor the join should run again.
@@ -173,11 +181,16 @@ def feature_job(
         rows.write.mode("overwrite").parquet(f"{output}/batch={batch_id}")
 
     return (
-        closed_windows(stored, duration, lateness).writeStream.outputMode("append").foreachBatch(compute)
+        closed_windows(followed, duration, lateness).writeStream.outputMode("append").foreachBatch(compute)
         .option("checkpointLocation", checkpoint).trigger(**trigger or AVAILABLE).start()
     )
 
 
+def end_windows(spark: SparkSession, directory: str, at: int, announced: str | None = None) -> None:
+    """Tell the `feature_job` that its feed has come to ``at``: windows that end by then are closed."""
+    st.heartbeat(spark, announced or st.announced_dir(directory), at, st.ANNOUNCED)
+
+
 def publish(
     rows: DataFrame, target: str, checkpoint: str, fmt: str = "text", trigger: dict | None = None, **options: str
 ) -> StreamingQuery:
