@@ -1,12 +1,16 @@
 import json
 
-from pyspark.sql import functions as F
+import pytest
+from market import SCHEMA
+from pyspark.sql import functions as F, types as T
 
 from tickloom.operators.events import distinct_events, flatten
 from tickloom.operators.features import window_features
 from tickloom.operators.parse import parse_depths, parse_trades
-from tickloom.plans.batch import feature_table, partition_archive
-from tickloom.schemas import ENVELOPE, FAILURE
+from tickloom.plans.batch import append_archive, feature_table, feature_tables, partition_archive
+from tickloom.schemas import ARRIVAL, ENVELOPE, EVENT_COLUMNS, FAILURE
+from tickloom.sources import writers
+from tickloom.sources.readers import read_events
 
 HEAD = {"exchange": "ex", "quote_asset": "USDT"}
 
@@ -40,3 +44,72 @@ def test_partition_then_features(spark, tmp_path):
     ends = [r.window_end for r in table.select("window_end").collect()]
     assert ends == sorted(ends) and len(ends) == 10
     assert table.agg(F.sum("all_count")).first()[0] == 30
+
+
+def _rows(df):
+    return sorted(map(repr, df.collect()))
+
+
+def _stored(spark, path):
+    return read_events(spark, path, extra=[T.StructField("seq", ARRIVAL)]).select(*EVENT_COLUMNS, "seq")
+
+
+def test_a_repeated_archive_job_replaces_its_output(spark, tmp_path):
+    archive, events_dir, failures_dir = (str(tmp_path / d) for d in ("archive", "events", "failures"))
+    _archive(spark, archive)
+    partition_archive(spark, archive, events_dir, failures_dir)
+    first = _rows(_stored(spark, events_dir))
+    partition_archive(spark, archive, events_dir, failures_dir)
+    assert _rows(_stored(spark, events_dir)) == first
+    assert spark.read.schema(FAILURE).json(failures_dir).count() == 1
+
+
+@pytest.mark.parametrize("order", [("a", "b", "a"), ("b", "a", "b")])
+def test_slices_equal_one_run(spark, tmp_path, order):
+    """Two overlapping slices, in either order, one of them twice."""
+    whole = str(tmp_path / "whole")
+    _archive(spark, whole)
+    partition_archive(spark, whole, f"{whole}/events", f"{whole}/failures")
+    for topic in ("trades", "depths"):
+        messages = spark.read.schema(ENVELOPE).parquet(f"{whole}/{topic}")
+        for name, part in (("a", "timestamp < 40"), ("b", "timestamp >= 25")):
+            messages.where(part).write.parquet(str(tmp_path / name / topic))
+    events_dir, failures_dir = str(tmp_path / "events"), str(tmp_path / "failures")
+    for name in order:
+        append_archive(spark, str(tmp_path / name), name, events_dir, failures_dir)
+    assert _rows(_stored(spark, events_dir)) == _rows(_stored(spark, f"{whole}/events"))
+    assert spark.read.schema(FAILURE).json(failures_dir).select("error_class").count() == 1
+
+
+def test_only_partitions_of_earlier_arrivals_are_rewritten(spark, tmp_path):
+    def event(asset, price, seq):
+        return ("trade", "ex", "USDT", asset, 5, 1.0, price, "buy", seq)
+
+    path = str(tmp_path / "e")
+    seq = [T.StructField("seq", T.LongType())]
+
+    def merge(*rows):
+        new = spark.createDataFrame(list(rows), SCHEMA)
+        writers.merge_events(distinct_events(new), read_events(spark, path, extra=seq, missing_ok=True), path)
+        return {str(f): f.stat().st_mtime_ns for f in (tmp_path / "e").rglob("*.parquet")}
+
+    first = merge(event("A", 1.0, 10), event("B", 1.0, 10), event("C", 1.0, 10))
+    second = merge(event("A", 1.0, 12), event("A", 2.0, 11), event("B", 1.0, 3), event("B", 4.0, 5))
+    for file, written in first.items():
+        assert (second.get(file) == written) == ("base_asset=B" not in file)
+    got = sorted((r.base_asset, r.price, r.seq) for r in read_events(spark, path, extra=seq).collect())
+    assert got == [("A", 1.0, 10), ("A", 2.0, 11), ("B", 1.0, 3), ("B", 4.0, 5), ("C", 1.0, 10)]
+    assert merge(event("A", 1.0, 99)).keys() == second.keys()
+
+
+def test_feature_tables_of_all_instruments(spark, tmp_path):
+    archive, events_dir = str(tmp_path / "archive"), str(tmp_path / "events")
+    _archive(spark, archive)
+    partition_archive(spark, archive, events_dir, str(tmp_path / "failures"))
+    for _ in range(2):  # a repeated job replaces the tables
+        names = feature_tables(spark, events_dir, str(tmp_path / "all"), "2m")
+    assert names == ["ex_USDT_A0_PT120S", "ex_USDT_A1_PT120S"]
+    together = {n: spark.table(f"`{n}`").collect() for n in names}
+    for asset in ("A0", "A1"):
+        alone = feature_table(spark, events_dir, "ex", "USDT", asset, "2m", location=str(tmp_path / "one"))
+        assert sorted(map(repr, together[f"ex_USDT_{asset}_PT120S"])) == sorted(map(repr, alone.collect()))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from tickloom.functions.durations import parse_millis
-from tickloom.schemas import PARTITION
+from tickloom.schemas import INSTRUMENT, PARTITION
 
 
 def symbol() -> Column:
@@ -27,10 +27,18 @@ def partition_dir() -> Column:
     return F.concat_ws("/", *PARTITION)
 
 
-def feature_table_name(exchange: str, quote_asset: str, base_asset: str, duration: str) -> str:
+def _period(duration: str) -> str:
     millis = parse_millis(duration)
-    seconds = f"{millis // 1000}" + (f".{millis % 1000:03d}" if millis % 1000 else "")
-    return f"{exchange}_{quote_asset}_{base_asset}_PT{seconds}S"
+    return f"PT{millis // 1000}" + (f".{millis % 1000:03d}" if millis % 1000 else "") + "S"
+
+
+def feature_table_name(exchange: str, quote_asset: str, base_asset: str, duration: str) -> str:
+    return f"{exchange}_{quote_asset}_{base_asset}_{_period(duration)}"
+
+
+def feature_table(duration: str) -> Column:
+    """`feature_table_name` of a row's instrument."""
+    return F.concat_ws("_", *INSTRUMENT, F.lit(_period(duration)))
 
 
 def event_id(parts: str = "event_id") -> Column:

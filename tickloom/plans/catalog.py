@@ -12,7 +12,7 @@ from tickloom.operators import book, events as ev, features as ft, frames as fr,
 from tickloom.operators import portfolio as pf, windows as wn
 from tickloom.plans import adapters as ad, batch, datasets as ds, sqltext as q
 from tickloom.schemas import (
-    DEFAULT_LEVELS, EVENT_COLUMNS, EXTENDED_MEASURES, FAILURE, INSTRUMENT, LEVEL_UPDATE, MEASURES, PARTITION, PRESET_44,
+    ARRIVAL, DEFAULT_LEVELS, EVENT_COLUMNS, EXTENDED_MEASURES, FAILURE, INSTRUMENT, LEVEL_UPDATE, MEASURES, PARTITION, PRESET_44,
     PRESET_60, TRADE, TRADE_LABELS, block_columns, book_labels, extended_columns, feature_columns,
     older_names,
 )
@@ -517,11 +517,14 @@ both_topics AS (SELECT {EVENT_SQL}, seq FROM nl UNION ALL
 ev AS (SELECT {EVENT_SQL}, min(seq) AS seq FROM both_topics GROUP BY {EVENT_SQL})"""
 
 
+_ARRIVED = f"""{_ARCHIVED}, arrived AS (SELECT {EVENT_SQL}, arrived FROM nl UNION ALL
+  SELECT 'trade', exchange, quote_asset, base_asset, time, price * raw, price, side, event_id FROM px)"""
+
+
 def _archive_events(spark, sf_dir) -> str:
-    """Both topics of the archive, partitioned; the job runs twice and leaves one result."""
+    """Both topics of the archive, partitioned."""
     def run(path: str) -> None:
-        for _ in range(2):
-            batch.partition_archive(spark, ds.archive(spark, sf_dir), f"{path}/events", f"{path}/failures")
+        batch.partition_archive(spark, ds.archive(spark, sf_dir), f"{path}/events", f"{path}/failures")
 
     return ds.written_once(spark, sf_dir, "partitioned", run)
 
@@ -539,16 +542,30 @@ def archive_failures(spark, sf_dir):
 
 
 @query(f"""WITH {_ARCHIVED}, {q.trade_rows(MONTH)}, {q.level_rows(MONTH, 5)}, {q.wide_book(5)}
-SELECT {KEYS}, window_end, CAST({MONTH // 1000} AS BIGINT) AS interval, {_BLOCK_SQL} FROM tf FULL JOIN bf USING ({KEYS}, window_end)
-WHERE (exchange = 'li' AND base_asset = 'C3') OR (exchange = 'ex0' AND base_asset = 'A1')""")
+SELECT {KEYS}, window_end, CAST({MONTH // 1000} AS BIGINT) AS interval, {_BLOCK_SQL} FROM tf FULL JOIN bf USING ({KEYS}, window_end)""")
 def archive_features(spark, sf_dir):
-    """Archive to partitioned events to the feature tables of two instruments: one of levels, one of trades."""
-    path = _archive_events(spark, sf_dir)
-    tables = [
-        batch.feature_table(spark, f"{path}/events", *instrument, "720h", location=f"{path}/tables")
-        for instrument in (("li", "USD", "C3"), ("ex0", "USDT", "A1"))
-    ]
-    return ev.flatten(*tables)
+    """Archive to partitioned events to the feature tables of all instruments."""
+    def run(path: str) -> None:
+        batch.feature_tables(spark, f"{_archive_events(spark, sf_dir)}/events", path, "720h")
+
+    location = ds.written_once(spark, sf_dir, "tables", run)
+    names = [r[0] for r in spark.read.parquet(location).select("_table").distinct().collect()]
+    return ev.flatten(*[spark.table(f"`{name}`") for name in sorted(names)])
+
+
+@query(f"""WITH {_ARRIVED} SELECT {EVENT_SQL}, min(arrived) AS arrived FROM arrived GROUP BY {EVENT_SQL}""")
+def archive_slices(spark, sf_dir):
+    """The archive in two slices that overlap in a third of the messages, the later one first."""
+    def run(path: str) -> None:
+        for part, name in (("> 0", "late"), ("< 2", "early")):
+            for topic in readers.TOPICS:
+                messages = ds.messages(spark, sf_dir, topic)
+                messages.where(f"pmod(xxhash64(message), 3) {part}").write.parquet(f"{path}/{name}/{topic}")
+            batch.append_archive(spark, f"{path}/{name}", name, f"{path}/events", f"{path}/failures")
+
+    stored = readers.read_events(
+        spark, f"{ds.written_once(spark, sf_dir, 'slices', run)}/events", extra=[T.StructField("seq", ARRIVAL)])
+    return stored.select(*EVENT_COLUMNS, F.col("seq.timestamp").alias("arrived"))
 
 
 @query(f"""WITH {q.EVENTS}, d AS (SELECT CASE WHEN side = 'sell' THEN 'None' ELSE exchange END AS exchange, count(*) AS events FROM ev GROUP BY 1) SELECT * FROM d""")
@@ -913,9 +930,7 @@ def _intake(spark, sf_dir) -> str:
     return ds.written_once(spark, sf_dir, "stream-intake", run)
 
 
-@query(f"""WITH {_ARCHIVED}, arrived AS (SELECT {EVENT_SQL}, arrived FROM nl UNION ALL
-  SELECT 'trade', exchange, quote_asset, base_asset, time, price * raw, price, side, event_id FROM px)
-SELECT {EVENT_SQL}, min(arrived) AS arrived FROM arrived GROUP BY {EVENT_SQL}""")
+@query(f"""WITH {_ARRIVED} SELECT {EVENT_SQL}, min(arrived) AS arrived FROM arrived GROUP BY {EVENT_SQL}""")
 def streamed_intake(spark, sf_dir):
     """Messages of both topics through the streams to stored events, each with its earliest arrival."""
     events = store.read_store(spark, f"{_intake(spark, sf_dir)}/events")

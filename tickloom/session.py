@@ -53,3 +53,16 @@ def stage(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The file system that ``path`` lies in."""
+    return hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    return file_system(spark, path).exists(hadoop_path(spark, path))

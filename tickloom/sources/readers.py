@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tickloom.schemas import ENVELOPE, EVENT, LEVEL_CSV, TRADE_EXTRACT
+from tickloom.session import exists
 
 TOPICS = ("depths", "trades")
 
@@ -38,10 +39,13 @@ def read_events(
     base_asset: str | None = None,
     event_type: str | None = None,
     extra: Sequence[T.StructField] = (),
+    missing_ok: bool = False,
 ) -> DataFrame:
     """Partitioned events, optionally of one instrument: conditions on partition columns, which
-    Spark turns into a choice of directories."""
+    Spark turns into a choice of directories. ``missing_ok``: a folder that isn't there yet holds no events."""
     schema = T.StructType([*EVENT.fields, *extra])
+    if missing_ok and not exists(spark, directory):
+        return spark.createDataFrame([], schema)
     events = spark.read.schema(schema).parquet(directory)
     wanted = {"exchange": exchange, "quote_asset": quote_asset, "base_asset": base_asset, "event_type": event_type}
     for name, value in wanted.items():

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.durations import parse_millis, utc_text
-from tickloom.functions.naming import feature_table_name
-from tickloom.operators.events import extract_trades
-from tickloom.schemas import PARTITION
+from tickloom.functions.naming import feature_table, feature_table_name
+from tickloom.operators.events import distinct_events, extract_trades
+from tickloom.schemas import EVENT_COLUMNS, PARTITION
+from tickloom.session import stage
 
 SHARDS = 10
 _MAX_RECORDS = 5_000_000
@@ -37,6 +38,32 @@ def write_events(df: DataFrame, directory: str, shards: int = SHARDS, mode: str
     rows.write.mode(mode).option("maxRecordsPerFile", _MAX_RECORDS).partitionBy(*PARTITION).parquet(directory)
 
 
+def merge_events(new: DataFrame, stored: DataFrame, directory: str, shards: int = SHARDS) -> None:
+    """Add events to the partitions of ``directory`` so that each is there once, with its earliest ``seq``.
+
+    ``new``: distinct events with ``seq``; ``stored``: what `read_events` gives for the directory. Equal events have equal
+    times, so only stored events of the new ones' partitions and time ranges are looked at. Events that
+    are new are appended. Where a stored event turns out to have come earlier than was known, which an archive
+    read in order never shows, its partition is written anew, and no other. A repeated run changes nothing.
+    """
+    new = stage(named_partitions(new))
+    ranges = new.groupBy(*PARTITION).agg(F.min("time").alias("_first"), F.max("time").alias("_last"))
+    # One row for each partition of the slice: the scan opens no other directory.
+    near = stored.join(stage(ranges), list(PARTITION)).where("time BETWEEN _first AND _last OR time IS NULL")
+    columns = [*EVENT_COLUMNS, "seq"]
+    both = near.select(*columns, F.col("seq").alias("_stored")).unionByName(
+        new.select(*columns, F.lit(None).cast(new.schema["seq"].dataType).alias("_stored")))
+    merged = stage(both.groupBy(*EVENT_COLUMNS).agg(F.min("seq").alias("seq"), F.min("_stored").alias("_stored")))
+    moved = stage(merged.where("seq < _stored").select(*PARTITION).distinct())
+    fresh = merged.where("_stored IS NULL").drop("_stored").join(moved, list(PARTITION), "left_anti")
+    write_events(fresh, directory, shards, mode="append")
+    if moved.limit(1).count():
+        whole = stored.select(*columns).unionByName(new.select(*columns)).join(moved, list(PARTITION), "left_semi")
+        rows = balanced(distinct_events(whole), PARTITION, shards)
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option(
+            "maxRecordsPerFile", _MAX_RECORDS).partitionBy(*PARTITION).parquet(directory)
+
+
 def window_directories(df: DataFrame) -> DataFrame:
     """Add ``year, month, day, hour`` of the window's end (exclusive), in UTC."""
     if "window_end" not in df.columns:
@@ -71,6 +98,23 @@ def write_features(
     return name
 
 
+def write_feature_tables(features: DataFrame, duration: str, location: str) -> list[str]:
+    """Feature rows of all instruments, each a table named after it: written in one job, replaced as a whole.
+
+    ``location``: the folder of this set of tables. The names, one for each instrument, are all that reaches the driver.
+    """
+    rows = features.withColumn("_table", feature_table(duration))
+    balanced(rows, ["_table"], 1).write.mode("overwrite").partitionBy("_table").parquet(location)
+    spark = features.sparkSession
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in features.schema)
+    stored = spark.read.schema(f"{schema}, _table STRING").parquet(location)
+    names = sorted(r[0] for r in stored.select("_table").distinct().collect())
+    for name in names:
+        spark.sql(f"DROP TABLE IF EXISTS `{name}`")
+        spark.sql(f"CREATE TABLE `{name}` ({schema}) USING parquet LOCATION '{location}/_table={name}'")
+    return names
+
+
 def write_failures(failures: DataFrame, directory: str, duration: str = "1h", mode: str = "overwrite") -> None:
     """Dead letters in windows of their arrival time, as JSON lines."""
     millis = parse_millis(duration)

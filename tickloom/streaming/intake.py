@@ -19,9 +19,10 @@ from tickloom.functions.durations import parse_millis
 from tickloom.operators import parse
 from tickloom.operators.events import flatten
 from tickloom.schemas import ARRIVAL, EVENT, FAILURE
+from tickloom.session import exists
 from tickloom.sources.readers import TOPICS, stream_messages
 from tickloom.sources.writers import write_failures
-from tickloom.streaming.store import HEARTBEAT, exists
+from tickloom.streaming.store import HEARTBEAT
 
 LATE = "late_event"
 _READERS = {"depths": parse.read_depths, "trades": parse.read_trades}

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tickloom.schemas import ARRIVAL, EVENT, INSTRUMENT
+from tickloom.session import file_system, hadoop_path
 
 #: Type of a row that is no event: its time says how far the feed has come.
 HEARTBEAT = "_heartbeat"
@@ -45,20 +46,8 @@ def compacted_dir(directory: str) -> str:
     return f"{directory}-compacted"
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _files(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def exists(spark: SparkSession, path: str) -> bool:
-    return _files(spark, path).exists(_path(spark, path))
-
-
 def _matches(spark: SparkSession, pattern: str) -> list[str]:
-    return [str(s.getPath().toString()) for s in _files(spark, pattern).globStatus(_path(spark, pattern)) or []]
+    return [str(s.getPath().toString()) for s in file_system(spark, pattern).globStatus(hadoop_path(spark, pattern)) or []]
 
 
 def _value(part: str) -> str:
@@ -127,9 +116,9 @@ def compact(spark: SparkSession, directory: str, before: str, seq: T.DataType =
         target = f"{compacted_dir(directory)}/through={max(batch for batch, _ in live)}"
         rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("event_day").parquet(target)
     for batch, day in parts:
-        _files(spark, directory).delete(_path(spark, f"{directory}/ingest_batch={batch}/event_day={day}"), True)
+        file_system(spark, directory).delete(hadoop_path(spark, f"{directory}/ingest_batch={batch}/event_day={day}"), True)
     for batch in {batch for batch, _ in parts} - {batch for batch, _ in stored_parts(spark, directory)}:
-        _files(spark, directory).delete(_path(spark, f"{directory}/ingest_batch={batch}"), True)
+        file_system(spark, directory).delete(hadoop_path(spark, f"{directory}/ingest_batch={batch}"), True)
     return sorted({day for _, day in live})
 
 
