@@ -4,6 +4,8 @@ import hashlib
 import itertools
 import random
 import re
+import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -85,12 +87,114 @@ def test_rare_toxic_words_and_contexts_count(spark):
     scorer = toxicity.Scorer(model)
     data, bounds = _slice("slurred")
     key = toxicity.words(data, bounds)[0]
-    at = scorer.words.rows(key)
+    at = toxicity._rows(model.words, key)
     assert at[0] >= 0 and 0 < model.seen[at[0], 1] < 12 and model.seen[at[0], 0] == 0
-    assert scorer.contexts.rows(key)[0] >= 0
+    assert toxicity._rows(model.contexts, key)[0] >= 0
     assert scorer.differences(data, bounds)[0][0] > 0 and scorer.differences(*_slice("elsewhere"))[0][0] == 0
 
 
+def test_words_of_one_two_and_three_toxic_texts_raise_the_score(spark):
+    rnd = random.Random(13)
+    words = ["".join(rnd.choice("aeioulnrst") for _ in range(5)) for _ in range(100)]
+    rows, labels = [], []
+    planted = {"once": 1, "twotimes": 2, "threetimes": 3}
+    left = dict(planted)
+    for i in range(200):
+        text = rnd.choices(words, k=30)
+        if i % 2 and toxicity_fold(i) not in (0, 4):  # a text that the models are counted on
+            for w in left:
+                if left[w]:
+                    text.insert(rnd.randrange(30), w)
+                    left[w] -= 1
+        rows.append((i, " ".join(text), "en"))
+        labels.append((i, i % 2))
+    model = toxicity.fit(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    scorer = toxicity.Scorer(model)
+    found = [scorer.differences(*_slice(w))[0][0] for w in ("nowhere", *planted)]
+    assert found == sorted(found) and len(set(found)) == 4 and found[0] == 0
+
+
+def toxicity_fold(i):
+    return zlib.crc32(str(i).encode()) % 5
+
+
+def test_differences_equal_a_plain_model(spark):
+    """The same formulas with dictionaries, over texts that the models know in part."""
+    rnd = random.Random(14)
+    ids = [[i for i in range(400) if i % 2 == y and toxicity_fold(i) not in (0, 4)][:25] for y in (0, 1)]
+    texts = [(i, " ".join(rnd.choices("abcdefghij" if y else "cdefghijkl", k=rnd.randrange(9, 25)))) for y in (0, 1) for i in ids[y]]
+    labels = [(i, i % 2) for i, _ in texts]
+    model = toxicity.fit(spark.createDataFrame([(i, t, "en") for i, t in texts], SCHEMA),
+                         spark.createDataFrame(labels, "doc_id bigint, toxic int"))
+    pairs, docs = Counter(), Counter()
+    for t, y in [(t, i % 2) for i, t in texts]:
+        w = t.split()
+        for pair in set(zip(["", *w], w)):
+            pairs[pair, y] += 1
+        for x in set(w):
+            docs[x, y] += 1
+    plain = PlainModel(pairs, docs)
+    scorer = toxicity.Scorer(model)
+    for text in ("a b c a", "l k z c", "z", "c d e f g h"):
+        w = text.split()
+        expected = sum(plain.ratio(a, b) for a, b in zip(["", *w], w)) / (len(w) + toxicity.PRIOR_WORDS)
+        assert np.isclose(scorer.differences(*_slice(text))[0][0], expected)
+
+
+class PlainModel:
+    def __init__(self, pairs, docs):
+        self.pairs, self.docs = pairs, docs
+        self.known = {p for p, _ in pairs}
+        self.kinds = {y: [p for p in self.known if pairs[p, y]] for y in (0, 1)}
+        self.discount = [self._discount([pairs[p, y] for p in self.known]) for y in (0, 1)]
+        self.both = self._discount([pairs[p, 0] + pairs[p, 1] for p in self.known])
+        vocabulary = {w for _, w in self.known}
+        self.seen = [Counter(w for _, w in self.kinds[y]) for y in (0, 1)]
+        self.shared = Counter(w for _, w in self.known)
+        self.words = [self._discount([self.seen[y][w] for w in vocabulary]) for y in (0, 1)]
+        taken = sum(self.words[y] * len(self.seen[y]) for y in (0, 1))
+        self.backoff = taken / (len(self.kinds[0]) + len(self.kinds[1]))
+
+    @staticmethod
+    def _discount(counts):
+        n1, n2 = counts.count(1), counts.count(2)
+        return n1 / (n1 + 2 * n2) if n1 and n2 else 0.5
+
+    @staticmethod
+    def _own(n0, n1):
+        n = n0 + n1
+        z = ((n1 - n0) ** 2 / max(n + (toxicity.SPREAD * n / 2) ** 2, 1)) ** 2
+        return z / (z + toxicity.EVIDENCE)
+
+    def word(self, w):
+        total = len(self.known)
+        if w not in self.shared:
+            return [self.backoff / total] * 2
+        out = []
+        own = self._own(self.docs[w, 0], self.docs[w, 1])
+        for y in (0, 1):
+            p = max(self.seen[y][w] - self.words[y], 0) / len(self.kinds[y]) + self.backoff * self.shared[w] / total
+            out.append(own * p + (1 - own) * self.shared[w] / total)
+        return out
+
+    def ratio(self, left, w):
+        p = self.word(w)
+        if (left, w) in self.known:
+            total = [sum(n for (p_, y_), n in self.pairs.items() if p_[0] == left and y_ == y) for y in (0, 1)]
+            kinds = [sum(1 for x in self.kinds[y] if x[0] == left) for y in (0, 1)]
+            count = [self.pairs[(left, w), y] for y in (0, 1)]
+            every = sum(1 for x in self.known if x[0] == left)
+            own = self._own(*count)
+            out = []
+            for y in (0, 1):
+                q = (max(sum(count) - self.both, 0) + self.both * every * p[y]) / sum(total)
+                mine = max(count[y] - self.discount[y], 0) / max(total[y], 1)
+                mine += (self.discount[y] * kinds[y] / total[y] if total[y] else 1) * q
+                out.append(own * mine + (1 - own) * q)
+            p = out
+        return np.log(p[1] / p[0])
+
+
 # --- Language ---------------------------------------------------------------------------------------------
 
 def test_forward_sums_all_segmentations():
