@@ -3,6 +3,7 @@ from market import SCHEMA, plain_replay, random_updates, stream_rows
 
 from tickloom.operators.book import message_books, replay_book, running_state, side_levels
 from tickloom.operators.features import book_features, window_features, window_snapshots
+from tickloom.operators.versions import book_versions, books_at
 from tickloom.schemas import MEASURES, feature_columns
 
 
@@ -112,3 +113,25 @@ def test_level_count_follows_parameter(spark):
     events = spark.createDataFrame(stream_rows(), SCHEMA)
     rows = book_features(events, "2m", 2)
     assert "bid_1_vwap" in rows.columns and "bid_2_vwap" not in rows.columns
+
+
+@pytest.mark.parametrize("every", [1, 7, 1000])
+def test_rebuilt_books_equal_plain_replay(spark, every):
+    rows = random_updates(300, seed=6)
+    keys = ["exchange", "quote_asset", "base_asset"]
+    versions = book_versions(spark.createDataFrame(rows, SCHEMA), keys, every=every, page_rows=50)
+    want = sorted((b, p, s, lv, pr, q) for b, _, p, _, s, lv, pr, q in plain_replay(rows))
+    numbered = spark.createDataFrame([(*r[1:4], i + 1) for r in {x[1:4]: x for x in rows}.values()
+                                      for i in range(sum(x[1:4] == r[1:4] for x in rows))],
+                                     "exchange string, quote_asset string, base_asset string, pos bigint")
+    got = books_at(versions, numbered, keys, every)
+    assert _rows(got, "base_asset", "pos", "side", "level", "price", "quantity") == want
+    if every == 1000:  # one run: the updates themselves
+        assert versions.count() <= len(rows)
+
+
+def test_running_state_of_both_sides(spark):
+    rows = [("k", "ask", 2.0, 1.0, 0), ("k", "bid", 1.0, 3.0, 1), ("k", "ask", 2.0, 0.0, 2)]
+    got = running_state(spark.createDataFrame(rows, "k string, side string, price double, quantity double, n int"), ["k"], ["n"])
+    assert [(r.pos, r.asks, r.bids) for r in got.orderBy("pos").collect()] == [
+        (1, {2.0: 1.0}, {}), (2, {2.0: 1.0}, {1.0: 3.0}), (3, {}, {1.0: 3.0})]

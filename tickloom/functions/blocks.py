@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
 
+from tickloom.functions.exact import exact_sum
 from tickloom.schemas import EVENT_ORDER
 
 
@@ -19,18 +20,26 @@ def _order(order: Sequence[str]) -> Column:
     return F.col(order[0]) if len(order) == 1 else F.struct(*order, "price", "quantity")
 
 
-def stat_block(label: str, where: Column | None = None, order: Sequence[str] = EVENT_ORDER) -> list[Column]:
+def stat_block(
+    label: str, where: Column | None = None, order: Sequence[str] = EVENT_ORDER, exact: bool = False
+) -> list[Column]:
     """The 15 measures of the rows that satisfy ``where``, named ``<label>_<measure>``.
 
-    No matching row makes the whole label NULL; one row makes the deviations NULL.
+    No matching row makes the whole label NULL; one row makes the deviations NULL. ``exact``: volume, means and
+    vwap come from `exact_sum`, the same to the last bit however the rows lie, for about twice the time.
     """
+    total = exact_sum if exact else F.sum
+
+    def mean(column: Column) -> Column:
+        return exact_sum(column) / F.nullif(F.count(column), F.lit(0)) if exact else F.avg(column)
+
     def pick(column: Column) -> Column:
         return column if where is None else F.when(where, column)
 
     price, quantity, at = pick(F.col("price")), pick(F.col("quantity")), pick(_order(order))
     notional = pick(F.col("price") * F.col("quantity"))
     count = F.count("*") if where is None else F.nullif(F.count(F.when(where, 1)), F.lit(0))
-    measures = {"count": count, "volume": F.sum(quantity)}
+    measures = {"count": count, "volume": total(quantity)}
     if len(order) == 1:
         opened, closed = ({f: pick_by(f, at) for f in ("price", "quantity")} for pick_by in (F.min_by, F.max_by))
     else:
@@ -44,10 +53,10 @@ def stat_block(label: str, where: Column | None = None, order: Sequence[str] = E
             f"close_{name}": closed[name],
             f"high_{name}": F.max(value),
             f"low_{name}": F.min(value),
-            f"mean_{name}": F.avg(value),
+            f"mean_{name}": mean(value),
             f"std_{name}": F.stddev_samp(value),
         }
-    measures["vwap"] = F.sum(notional) / F.nullif(F.sum(quantity), F.lit(0.0))
+    measures["vwap"] = total(notional) / F.nullif(total(quantity), F.lit(0.0))
     return [column.alias(f"{label}_{name}") for name, column in measures.items()]
 
 

@@ -123,9 +123,16 @@ def side_levels(ask: bool) -> Column:
 
 
 def running_state(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """The whole price -> quantity map of each key after every (price, quantity) write."""
-    books = replay_book(df.withColumn("side", F.lit("ask")), keys, None, order)
-    return books.select(*keys, "pos", F.map_from_entries(side_levels(ask=True)).alias("state"))
+    """The whole price -> quantity map of each key after every (price, quantity) write.
+
+    Where rows have a ``side``, there are two maps, ``asks`` and ``bids``; else one, ``state``.
+    """
+    if "side" not in df.columns:
+        books = replay_book(df.withColumn("side", F.lit("ask")), keys, None, order)
+        return books.select(*keys, "pos", F.map_from_entries(side_levels(ask=True)).alias("state"))
+    sides = {"asks": side_levels(ask=True), "bids": side_levels(ask=False)}
+    return replay_book(df, keys, None, order).select(
+        *keys, "pos", *[F.map_from_entries(levels).alias(name) for name, levels in sides.items()])
 
 
 def message_books(

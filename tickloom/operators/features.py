@@ -26,17 +26,19 @@ def trade_features(
     keys: Sequence[str] = INSTRUMENT,
     order: Sequence[str] = EVENT_ORDER,
     compat: bool = False,
+    exact: bool = False,
 ) -> DataFrame:
     """Blocks ``all``, ``buy`` and ``sell`` of the trades of each (key, window), in one pass.
 
+    ``exact``: sums that do not depend on how the rows lie, as in `stat_block`.
     ``compat`` reproduces the original output, where all three blocks describe all trades.
     """
     trades = tumbling(events.where(F.col("event_type") == TRADE), duration)
     trades, order = single_order(trades, order)
-    aggregates = stat_block("all", order=order)
+    aggregates = stat_block("all", order=order, exact=exact)
     if not compat:
         for label in ("buy", "sell"):
-            aggregates += stat_block(label, F.col("side") == label, order)
+            aggregates += stat_block(label, F.col("side") == label, order, exact)
     rows = trades.groupBy(*keys, "window_end").agg(*aggregates)
     if compat:
         copies = [F.col(f"all_{m}").alias(f"{label}_{m}") for label in ("buy", "sell") for m in MEASURES]

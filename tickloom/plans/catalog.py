@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 
 from tickloom.functions import naming
 from tickloom.operators import book, events as ev, features as ft, frames as fr, ordered as od, parse as ps
-from tickloom.operators import portfolio as pf, windows as wn
+from tickloom.operators import portfolio as pf, versions as vs, windows as wn
 from tickloom.plans import adapters as ad, batch, datasets as ds, sqltext as q
 from tickloom.schemas import (
     ARRIVAL, DEFAULT_LEVELS, EVENT_COLUMNS, EXTENDED_MEASURES, FAILURE, INSTRUMENT, LEVEL_UPDATE, MEASURES, PARTITION, PRESET_44,
@@ -147,6 +147,18 @@ def level_csv(spark, sf_dir):
     return readers.read_level_csv(spark, ds.written_once(spark, sf_dir, "csv", lambda p: rows.write.csv(p)))
 
 
+@query(f"""WITH {q.EVENTS} SELECT time, side, {q.rnd('quantity')}, price FROM ev WHERE event_type = 'trade'""")
+def trade_arrays(spark, sf_dir):
+    """Trade records in files of one JSON array each."""
+    def run(path: str) -> None:
+        trades = ev.of_type(ad.market_events(spark, sf_dir), TRADE)
+        hours = trades.groupBy(*INSTRUMENT, F.expr(f"time div {HOUR}")).agg(
+            F.to_json(F.collect_list(F.struct("time", "side", "quantity", "price"))).alias("value"))
+        hours.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+    return readers.read_trade_extract(spark, ds.written_once(spark, sf_dir, "arrays", run))
+
+
 # --- parsing -----------------------------------------------------------------------------------
 
 
@@ -339,6 +351,12 @@ def trade_features(spark, sf_dir):
     return ft.trade_features(ad.market_events(spark, sf_dir), "24h")
 
 
+@query(f"WITH {q.EVENTS}, {q.trade_rows(DAY)} SELECT * FROM tf")
+def trade_features_exact(spark, sf_dir):
+    """The same by sums that do not depend on the order of addition."""
+    return ft.trade_features(ad.market_events(spark, sf_dir), "24h", exact=True)
+
+
 _COMPAT = ", ".join(f"all_{m} AS {label}_{m}" for label in TRADE_LABELS for m in MEASURES)
 
 
@@ -479,12 +497,30 @@ def mean_by_level(spark, sf_dir):
     return ft.mean_by_level(snapshots)
 
 
-@query(f"""WITH {q.EVENTS.replace('ev AS (', 'e0 AS (')}, ev AS (SELECT * FROM e0 WHERE side = 'ask'),
-{q.snapshots(DAY, None)} SELECT {KEYS}, window_end, pos, price, quantity FROM snap""")
+@query(f"""WITH {q.EVENTS}, {q.snapshots(DAY, None)} SELECT {KEYS}, window_end, pos, side, price, quantity FROM snap""")
 def book_state(spark, sf_dir):
-    asks = wn.tumbling(ev.of_side(ad.market_events(spark, sf_dir), "ask"), "24h")
-    states = book.running_state(asks, [*INSTRUMENT, "window_end"], ["time", "seq"])
-    return states.select(*INSTRUMENT, "window_end", "pos", F.explode("state").alias("price", "quantity"))
+    """Both sides' maps after every update."""
+    updates = wn.tumbling(ev.of_type(ad.market_events(spark, sf_dir), LEVEL_UPDATE), "24h")
+    states = book.running_state(updates, [*INSTRUMENT, "window_end"], ["time", "seq"])
+    sides = [
+        states.select(*INSTRUMENT, "window_end", "pos", F.lit(side).alias("side"), F.explode(column).alias("price", "quantity"))
+        for side, column in (("ask", "asks"), ("bid", "bids"))
+    ]
+    return ev.flatten(*sides)
+
+
+@query(f"""WITH {q.EVENTS}, {q.snapshots(DAY, None)} SELECT {KEYS}, window_end, pos, side, level, price, quantity FROM snap""")
+def rebuilt_books(spark, sf_dir):
+    """Stored versions of every book, and from them the book at each position."""
+    keys, every = [*INSTRUMENT, "window_end"], 64
+
+    def run(path: str) -> None:
+        updates = wn.tumbling(ev.of_type(ad.market_events(spark, sf_dir), LEVEL_UPDATE), "24h")
+        vs.book_versions(updates, keys, ["time", "seq"], every).write.parquet(path)
+
+    stored = spark.read.parquet(ds.written_once(spark, sf_dir, "versions", run))
+    positions = stored.where(f"at > _run * {every}").select(*keys, F.col("at").alias("pos"))
+    return vs.books_at(stored, positions, keys, every)
 
 
 # Parsed levels with the place of their arrival; equal messages are one message sent twice.
