@@ -8,7 +8,7 @@ from market import SCHEMA, random_updates
 from pyspark.sql import functions as F, types as T
 
 from tickloom.operators.events import distinct_events
-from tickloom.operators.features import window_features
+from tickloom.operators.features import window_features, window_snapshots
 from tickloom.schemas import ENVELOPE
 from tickloom.streaming import intake, jobs, store
 
@@ -192,3 +192,26 @@ def test_heartbeat_row(spark, tmp_path, field):
     store.heartbeat(spark, str(tmp_path / "h"), 7, store.ANNOUNCED if field == "time" else store.stored_schema())
     row = spark.read.parquet(str(tmp_path / "h")).first().asDict()
     assert row["time"] == 7 and row.get("event_type", store.HEARTBEAT) == store.HEARTBEAT and row["ingest_batch"] is None
+
+
+def test_books_carried_over_closings_equal_the_batch(spark, tmp_path):
+    """Three closings; the last one runs twice, as after a crash before its commit."""
+    path = str(tmp_path)
+    rows = [r for r in random_updates(300, 9, span=900_000) if r[0] == "levelUpdate"]
+    groups = [[r for r in rows if i * 450_000 <= r[4] < (i + 1) * 450_000] for i in range(2)]
+
+    def books():
+        jobs.carried_books(spark, f"{path}/events", f"{path}/books", f"{path}/c-books", "2m", 3, order=ORDER, seq=LONG).awaitTermination()
+
+    for group in groups:
+        last = _stored(spark, path, [group])
+        books()
+    jobs.end_windows(spark, f"{path}/events", last + 240_000)
+    books()
+    commits = sorted(int(f) for f in os.listdir(f"{path}/c-books/commits") if f.isdigit())
+    assert len(commits) >= 3
+    for name in (f"{commits[-1]}", f".{commits[-1]}.crc"):
+        os.remove(f"{path}/c-books/commits/{name}")
+    books()
+    want = window_snapshots(distinct_events(spark.createDataFrame(rows, SCHEMA)), "2m", 3, order=ORDER, scope="instrument")
+    assert _compared(spark.read.parquet(f"{path}/books/rows").select(want.columns)) == _compared(want)

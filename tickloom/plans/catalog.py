@@ -951,6 +951,25 @@ def streamed_distinct_events(spark, sf_dir):
     return store.read_store(spark, f"{path}/out", T.LongType()).select(*EVENT_COLUMNS, "seq")
 
 
+@query(f"WITH {q.EVENTS}, {q.snapshots(None, 5)} SELECT {KEYS}, time - time % {DAY} + {DAY - 1} AS window_end, pos, time, side, level, price, quantity FROM snap")
+def streamed_books_carried(spark, sf_dir):
+    """Books that go on from window to window, over several closings of one stream."""
+    def run(path: str) -> None:
+        events = ad.market_events(spark, sf_dir)
+        stream, end = _feed(spark, sf_dir, events, f"{path}/in")
+        for step in ("events", "end"):
+            jobs.ingest(stream(), f"{path}/events", f"{path}-ingest").awaitTermination()
+            if step == "end":
+                jobs.end_windows(spark, f"{path}/events", _last_time(events) + DAY)
+            jobs.carried_books(
+                spark, f"{path}/events", f"{path}/books", f"{path}-books", "24h", order=["time", "seq"], seq=T.LongType()
+            ).awaitTermination()
+            end()
+
+    path = ds.written_once(spark, sf_dir, "stream-books", run)
+    return spark.read.parquet(f"{path}/books/rows").drop("batch")
+
+
 def _intake(spark, sf_dir) -> str:
     """The archive's messages as a stream: taken in, ended, deduplicated and stored."""
     def run(path: str) -> None:

@@ -18,13 +18,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.functions.blocks import stat_block
 from tickloom.functions.durations import parse_millis, utc_text
+from tickloom.operators.book import book_snapshots
 from tickloom.operators.events import flatten
 from tickloom.operators.features import window_features
 from tickloom.operators.parse import parse_depths, parse_trades
-from tickloom.operators.windows import assign_event_time
-from tickloom.schemas import ARRIVAL, DEFAULT_LEVELS, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, TRADE
+from tickloom.operators.ordered import null_safe_join
+from tickloom.operators.replay import EMPTY_QUANTITY
+from tickloom.operators.windows import assign_event_time, tumbling
+from tickloom.schemas import ARRIVAL, DEFAULT_LEVELS, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, LEVEL_UPDATE, TRADE
 from tickloom.sources.readers import TOPICS, stream_messages
-from tickloom.session import stage
+from tickloom.session import exists, stage
 from tickloom.sources.writers import as_text, named_partitions, write_failures
 from tickloom.streaming import store as st
 from tickloom.streaming.store import stored_schema
@@ -186,6 +189,59 @@ def feature_job(
     )
 
 
+def carried_books(
+    spark: SparkSession, directory: str, output: str, checkpoint: str, duration: str = "5m", levels: int = DEFAULT_LEVELS,
+    lateness: str = "0s", order: Sequence[str] = EVENT_ORDER, seq: T.DataType = ARRIVAL, trigger: dict | None = None,
+    announced: str | None = None, **options: str,
+) -> StreamingQuery:
+    """Snapshots of closed windows of books that go on from window to window, as ``scope="instrument"`` has them.
+
+    Beside ``rows/batch=N`` each closing writes the books it ends with, ``levels/batch=N``, and how many updates each
+    instrument has had, ``counts/batch=N``; the next closing opens with them. Their size is that of the live books. A
+    repeated closing reads what the one before it left and replaces its own. Windows close in the order of
+    their ends, so a book's updates come in order.
+    """
+    followed = (
+        spark.readStream.schema(st.ANNOUNCED).option("cleanSource", "delete").options(**options)
+        .parquet(announced or st.announced_dir(directory))
+    )
+    keys = list(INSTRUMENT)
+
+    def before(session: SparkSession, kind: str, batch_id: int, schema: str) -> DataFrame:
+        path = f"{output}/{kind}/batch={batch_id - 1}"
+        return session.read.schema(schema).parquet(path) if exists(session, path) else session.createDataFrame([], schema)
+
+    def compute(closed: DataFrame, batch_id: int) -> None:
+        closed = stage(closed)
+        session = closed.sparkSession
+        names = ", ".join(f"{k} STRING" for k in keys)
+        events = events_of(session, directory, closed, duration, seq).where(F.col("event_type") == LEVEL_UPDATE)
+        opening = before(session, "levels", batch_id, f"{names}, side STRING, price DOUBLE, quantity DOUBLE")
+        had = before(session, "counts", batch_id, f"{names}, updates BIGINT")
+        # Levels that are there already come first: no event has their time.
+        opening = opening.withColumns({"time": F.lit(None).cast("bigint"), "seq": F.lit(None).cast(seq)})
+        rows = stage(events.select(*opening.columns).unionByName(opening))
+        known = (
+            rows.groupBy(*keys).agg(F.count_if(F.col("time").isNull()).alias("_open"), F.count("time").alias("_new"))
+            .join(had, keys, "full_outer").na.fill(0, ["_open", "_new", "updates"])
+        )
+        known = stage(known)
+        snapshots = null_safe_join(book_snapshots(rows, keys, levels, order), known, keys).where("pos > _open")
+        snapshots = snapshots.withColumn("pos", F.col("pos") - F.col("_open") + F.col("updates")).drop("_open", "_new", "updates")
+        tumbling(snapshots, duration).drop("window_start").write.mode("overwrite").parquet(f"{output}/rows/batch={batch_id}")
+        last = F.max_by("quantity", F.struct(*order, "quantity")).alias("quantity")
+        live = rows.where(F.col("side").isin("ask", "bid") & F.col("price").isNotNull() & ~F.isnan("price"))
+        live = live.groupBy(*keys, "side", "price").agg(last).where(F.col("quantity") >= EMPTY_QUANTITY)
+        live.write.mode("overwrite").parquet(f"{output}/levels/batch={batch_id}")
+        counts = known.select(*keys, (F.col("updates") + F.col("_new")).alias("updates"))
+        counts.write.mode("overwrite").parquet(f"{output}/counts/batch={batch_id}")
+
+    return (
+        closed_windows(followed, duration, lateness).writeStream.outputMode("append").foreachBatch(compute)
+        .option("checkpointLocation", checkpoint).trigger(**trigger or AVAILABLE).start()
+    )
+
+
 def end_windows(spark: SparkSession, directory: str, at: int, announced: str | None = None) -> None:
     """Tell the `feature_job` that its feed has come to ``at``: windows that end by then are closed."""
     st.heartbeat(spark, announced or st.announced_dir(directory), at, st.ANNOUNCED)
