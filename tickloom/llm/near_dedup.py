@@ -12,7 +12,7 @@ pair shares none of the 26 buckets with probability 2.4e-7. Equal sets are one c
 Links are confirmed on full sets (64-bit shingle hashes). Classes are linked in rounds: first every class
 with one member of its buckets, then what still lies in different components with the least and the
 greatest member of its buckets, last every remaining pair of a bucket that still holds several components,
-in blocks of at most ``BLOCK`` members and by sketch before the sets are fetched. No pair of a bucket is
+in blocks of about ``BLOCK`` members and by sketch, then in blocks of about ``BLOCK_SETS`` members on full sets. No pair of a bucket is
 left out unless its two classes are already connected.
 
 Defined results: NULL, empty and blank texts have no shingle and are linked with nothing; repeated rows and
@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from ..session import stage
 from .ragged import mix, ranges, text_slices, words_of
 
-WORDS, BANDS, ROWS, BLOCK, BLOCK_BYTES = 5, 26, 5, 256, 2 << 20
+WORDS, BANDS, ROWS, BLOCK, BLOCK_BYTES, BLOCK_SETS = 5, 26, 5, 256, 2 << 20, 1024
 _COLUMNS = 4096
 COORDINATES = BANDS * ROWS
 #: Ids sent to every executor at most; beyond, texts are fetched by a shuffled join.
@@ -342,8 +342,9 @@ def near_duplicates(documents: DataFrame, percent: int = 85, id_column: str = "d
         "blocks", F.ceil(F.col("members") / BLOCK).cast("int"))
     close = _close(sketched.select("key", "band", "node", "label", "blocks", "bands", "sketch"), least)
     close = stage(close.join(several.select("key", "node", "label"), ["key", "node"]).join(sets, "node"))
-    weights = stage(close.groupBy("key").agg(
-        F.ceil(F.sum(F.length("shingles")) / BLOCK_BYTES).cast("int").alias("blocks")))
+    # Blocks are bounded in bytes and in members: two of them meet in products of (members x members) numbers.
+    weights = stage(close.groupBy("key").agg(F.greatest(
+        F.ceil(F.sum(F.length("shingles")) / BLOCK_BYTES), F.ceil(F.count("*") / BLOCK_SETS)).cast("int").alias("blocks")))
     edges = stage(edges.union(_linked(close.join(weights, "key"), percent)))
     labels = components(edges)
 
