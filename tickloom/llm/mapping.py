@@ -34,6 +34,7 @@ def with_text_columns(df: DataFrame, text_column: str, added: str, make: Callabl
             for first, last, data, bounds in text_slices(batch.column(0)):
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], *maker(data, bounds)], titles)
+        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
     return source.mapInArrow(run, schema)
 
