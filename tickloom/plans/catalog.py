@@ -152,9 +152,9 @@ def trade_arrays(spark, sf_dir):
     """Trade records in files of one JSON array each."""
     def run(path: str) -> None:
         trades = ev.of_type(ad.market_events(spark, sf_dir), TRADE)
-        hours = trades.groupBy(*INSTRUMENT, F.expr(f"time div {HOUR}")).agg(
+        days = trades.groupBy(*INSTRUMENT, F.expr(f"time div {DAY}")).agg(
             F.to_json(F.collect_list(F.struct("time", "side", "quantity", "price"))).alias("value"))
-        hours.select("value").write.option("maxRecordsPerFile", 1).text(path)
+        days.select("value").write.option("maxRecordsPerFile", 1).text(path)
 
     return readers.read_trade_extract(spark, ds.written_once(spark, sf_dir, "arrays", run))
 
