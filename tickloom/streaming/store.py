@@ -125,12 +125,14 @@ def compact(spark: SparkSession, directory: str, before: str, seq: T.DataType =
 def announce(stored: DataFrame, targets: Sequence[str]) -> None:
     """Tell the followers what a batch has brought: (instrument, last time in a second, batch, day).
 
-    A repeated batch announces the same again, which changes nothing: followers keep sets.
+    A repeated batch announces the same again, which changes nothing: followers keep sets. A batch is announced in one
+    file, which appears at once: in several, the watermark of a follower that takes them one by one could pass a
+    window before all of the batch is known. A backfill is best taken in by bounded batches.
     """
     slot = F.expr(f"time div {SLOT_MS}").alias("slot")
     rows = stored.groupBy(*INSTRUMENT, slot, "ingest_batch", "event_day").agg(F.max("time").alias("time"))
     for target in targets:
-        rows.select(*ANNOUNCED.names).write.mode("append").parquet(target)
+        rows.select(*ANNOUNCED.names).repartition(1).write.mode("append").parquet(target)
 
 
 def heartbeat(spark: SparkSession, directory: str, at: int, schema: T.StructType) -> None:
