@@ -47,6 +47,24 @@ def test_counts_are_those_of_the_library():
             assert found[i - first] == len(library.encode(texts[i] or "", add_special_tokens=False).ids), texts[i]
 
 
+def test_counts_of_long_pretokens_are_those_of_the_library():
+    rnd, library = random.Random(4), Tokenizer.from_file(BYTE)
+    texts = ["a" * 20_000, "ab" * 5000 + "c", "=" * 9001, " " * 5000 + "x", "1" * 3333, "x" * 257, "y" * 256, "z" * 258,
+             "".join(rnd.choices("etaoinshrdlucm", k=300_000)), "".join(rnd.choices("中文字符测试", k=5000)),
+             "".join(rnd.choice(["hello", "world", "the", "ing"]) for _ in range(3000))]
+    expected = [len(library.encode(x, add_special_tokens=False).ids) for x in texts]
+    assert token_counts.Counter(BYTE).pieces(texts).tolist() == expected
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="abcdeno ", min_size=1, max_size=40), min_size=1, max_size=6))
+def test_both_forms_of_merging_agree(texts):
+    counter = token_counts.Counter(BYTE)
+    raw = [x.encode() for x in texts]
+    symbols, sizes = counter.table.first[np.frombuffer(b"".join(raw), np.uint8)], np.array([len(x) for x in raw])
+    assert (token_counts.merged_long(counter.table, symbols, sizes) == token_counts.merged_lengths(counter.table, symbols, sizes)).all()
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.text(max_size=30), max_size=8))
 def test_any_text(texts):

@@ -2,7 +2,9 @@
 
 The pre-tokens of a batch are one ragged array of symbols. In each step every sequence merges all
 occurrences of its own lowest-ranked pair at once; sequences without a mergeable pair leave with the
-number of symbols they hold. Each distinct chunk of text is counted once for as long as it is remembered.
+number of symbols they hold. Sequences of more than ``LONG`` symbols keep their pairs filed by rank, so that a step
+costs what it merges and not the sequence's length. Each distinct chunk of text is counted once for as long as
+it is remembered.
 
 Defined results: NULL and empty text count 0 tokens and 0 bytes; rows are counted one by one, so repeated
 rows each give a row; columns of the input other than the two named ones are ignored.
@@ -11,6 +13,7 @@ rows each give a row; columns of the input other than the two named ones are ign
 from __future__ import annotations
 
 import functools
+import heapq
 import json
 
 import numpy as np
@@ -22,6 +25,8 @@ from .encoding import byte_level_chunks
 from .ragged import Hasher, Memo, spans_text, text_slices
 
 _NONE = np.int64(1 << 40)
+#: Symbols from which on a sequence's pairs are filed by rank.
+LONG = 256
 
 
 class MergeTable:
@@ -85,6 +90,73 @@ def merged_lengths(table: MergeTable, symbols: np.ndarray, sizes: np.ndarray) ->
     return counts
 
 
+class _Filed:
+    """Positions of pairs by rank, lowest rank first."""
+
+    def __init__(self):
+        self.ranks: list[int] = []
+        self.places: dict[int, list[np.ndarray]] = {}
+
+    def add(self, ranks: np.ndarray, at: np.ndarray) -> None:
+        inner = ranks < _NONE
+        ranks, at = ranks[inner], at[inner]
+        if not len(at):
+            return
+        order = np.argsort(ranks, kind="stable")
+        ranks, at = ranks[order], at[order]
+        cut = np.append(np.flatnonzero(np.append(True, ranks[1:] != ranks[:-1])), len(ranks)).tolist()
+        for a, b in zip(cut[:-1], cut[1:]):
+            rank = int(ranks[a])
+            if rank not in self.places:
+                self.places[rank] = []
+                heapq.heappush(self.ranks, rank)
+            self.places[rank].append(at[a:b])
+
+    def lowest(self) -> tuple[int, np.ndarray]:
+        rank = heapq.heappop(self.ranks)
+        return rank, np.unique(np.concatenate(self.places.pop(rank)))
+
+
+def merged_long(table: MergeTable, symbols: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """As ``merged_lengths``, in steps that touch only the neighbours of what they merge."""
+    n = len(symbols)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    symbols, counts = symbols.copy(), sizes.astype(np.int64)
+    after, before = np.arange(1, n + 1), np.arange(-1, n - 1)
+    ends = np.cumsum(sizes)
+    after[ends - 1] = -1  # the last symbol of a sequence has no right neighbour
+    before[ends - sizes] = -1
+    rank = np.full(n, _NONE)
+    inner = np.flatnonzero(after >= 0)
+    rank[inner] = table.rank(symbols[inner], symbols[inner + 1])
+    filed = _Filed()
+    filed.add(rank[inner], inner)
+    while filed.ranks:
+        lowest, at = filed.lowest()
+        at = at[rank[at] == lowest]  # what a merge has changed since is filed elsewhere
+        if not len(at):
+            continue
+        # In a run of equal hits (a a a), every second one counts, from the left.
+        new_run = np.ones(len(at), bool)
+        new_run[1:] = after[at[:-1]] != at[1:]
+        run = np.flatnonzero(new_run)
+        place = np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))
+        at = at[place % 2 == 0]
+        gone = after[at]
+        symbols[at] = table.made[lowest]
+        rank[gone] = _NONE
+        after[at] = after[gone]
+        linked = after[at] >= 0
+        before[after[at][linked]] = at[linked]
+        counts -= np.bincount(owner[at], minlength=len(counts))
+        left = before[at]
+        changed = np.unique(np.concatenate([at, left[left >= 0]]))
+        right = after[changed]
+        rank[changed] = np.where(right >= 0, table.rank(symbols[changed], symbols[right]), _NONE)
+        filed.add(rank[changed], changed)
+    return counts
+
+
 class Counter:
     """Counts tokens of texts; one for each worker process."""
 
@@ -108,7 +180,10 @@ class Counter:
         distinct = list(dict.fromkeys(parts))
         raw = [p.encode() for p in distinct]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        counts = merged_lengths(self.table, self.table.first[np.frombuffer(b"".join(raw), np.uint8)], sizes)
+        symbols, long = self.table.first[np.frombuffer(b"".join(raw), np.uint8)], sizes > LONG
+        counts, inside = np.empty(len(raw), np.int64), np.repeat(long, sizes)
+        counts[~long] = merged_lengths(self.table, symbols[~inside], sizes[~long])
+        counts[long] = merged_long(self.table, symbols[inside], sizes[long])
         by_part = dict(zip(distinct, counts.tolist()))
         each = np.fromiter((by_part[p] for p in parts), np.int64, len(parts))
         return extra + np.bincount(np.asarray(owner, np.int64), weights=each, minlength=len(texts)).astype(np.int64)
