@@ -220,6 +220,30 @@ def test_forward_sums_all_segmentations():
     assert np.allclose(found[1], np.log(total))
 
 
+def test_long_words_have_the_same_sum():
+    rng = np.random.default_rng(2)
+    pieces = language.vocabulary(PIECES)
+    probability = rng.random((len(pieces) + 1, 3)) ** 4
+    probability[-1] = 0
+    probability /= probability.sum(0)
+    table = Table(language._hashes(pieces))
+    for size in (1, 11, language.STRIDE - 1, language.STRIDE, language.STRIDE + 1, 3000):
+        word = np.frombuffer("".join(rng.choice(list("etaoinshrüñ中"), size)).encode(), np.uint8)
+        plain = language.log_likelihoods(language.Lattice(table, word, np.array([0]), np.array([len(word)])), probability)
+        assert np.allclose(language.long_log_likelihood(table, word, probability), plain[0], rtol=1e-10)
+
+
+def test_a_megabyte_without_a_space_is_scored_whole():
+    pieces = language.vocabulary(PIECES)
+    probability = np.full((len(pieces) + 1, 2), 1 / len(pieces))
+    probability[-1] = 0
+    probability[:, 1] *= 0.9
+    classifier = language.Classifier(language.Model(["a", "b"], language._hashes(pieces), probability))
+    data = np.frombuffer(("中文字符测试" * 60_000 + " word").encode(), np.uint8)
+    first, second = classifier.likelihoods(data, np.array([0, len(data)]))[0]
+    assert np.isfinite(first) and first > second
+
+
 def _split(text, cuts):
     at = [0, *(i + 1 for i, c in enumerate(cuts) if c), len(text)]
     return [text[a:b] for a, b in zip(at[:-1], at[1:])]

@@ -6,7 +6,9 @@ algorithm; a text's log-likelihood is the sum over its words. Probabilities come
 (forward-backward) over the words of labelled texts, in ``STEPS`` rounds.
 
 A word is a run of letters (ASCII letters and all bytes from 0x80), lower-cased A-Z, with a space in front.
-Each distinct word is scored once for as long as a task remembers it.
+Each distinct word is scored once for as long as a task remembers it. Words of more than ``LONG`` bytes (texts
+in scripts without spaces) are cut into strides, whose forward sums from every possible start are taken side by
+side and then chained, which gives the same sum over all segmentations.
 
 Training is bounded by documented parameters (``TEXTS`` texts and ``WORDS`` distinct words of each language);
 every text of the table is scored whole.
@@ -32,6 +34,8 @@ from .ragged import Hasher, Memo, ranges, spans_of, text_slices
 TEXTS, WORDS, STEPS = 2500, 8000, 4
 #: Longest piece in bytes, and longest word learned from.
 PIECE, LEARNED = 12, 32
+#: Bytes from which on a word is scored in strides, bytes of a stride, and strides side by side.
+LONG, STRIDE, STRIDES = 1024, 128, 1024
 
 _LETTER = np.zeros(256, bool)
 _LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -115,6 +119,51 @@ def log_likelihoods(lattice: Lattice, probability: np.ndarray) -> np.ndarray:
     return out
 
 
+def _transfers(table: Table, hasher: Hasher, begins: np.ndarray, steps: int, probability: np.ndarray):
+    """How the last ``PIECE`` forward sums before each of ``begins`` become those ``steps`` bytes later.
+
+    Gives (stride, sum after, sum before, language) and the logarithm taken out of each stride and language.
+    """
+    m, k = len(begins), probability.shape[1]
+    window = [np.zeros((m, PIECE, k)) for _ in range(PIECE)]  # the newest first
+    for j in range(PIECE):
+        window[j][:, j] = 1
+    logs = np.zeros((m, k))
+    for t in range(steps):
+        ends = begins + t + 1
+        total = np.zeros((m, PIECE, k))
+        for size in range(1, PIECE + 1):
+            inside = ends >= size
+            rows = np.where(inside, table.rows(hasher.spans(np.where(inside, ends - size, 0), ends)), -1)
+            if (rows >= 0).any():
+                total += window[size - 1] * probability[rows][:, None, :]
+        window = [total, *window[:-1]]
+        if t % 8 == 7:
+            by = np.maximum(total.max(1), 1e-280)
+            window = [w / by[:, None, :] for w in window]
+            logs += np.log(by)
+    return np.stack(window, 1), logs
+
+
+def long_log_likelihood(table: Table, word: np.ndarray, probability: np.ndarray) -> np.ndarray:
+    """``log_likelihoods`` of one word (its lower-cased bytes), by strides."""
+    buffer = np.append(np.uint8(0x20), word)
+    hasher, k = Hasher(buffer), probability.shape[1]
+    whole = len(buffer) // STRIDE
+    parts = [(np.arange(a, min(a + STRIDES, whole)) * STRIDE, STRIDE) for a in range(0, whole, STRIDES)]
+    if len(buffer) % STRIDE:
+        parts.append((np.array([whole * STRIDE]), len(buffer) % STRIDE))
+    state, scale = np.zeros((PIECE, k)), np.zeros(k)
+    state[0] = 1
+    for begins, steps in parts:
+        matrices, logs = _transfers(table, hasher, begins, steps, probability)
+        for matrix, log in zip(matrices, logs):
+            state = (matrix * state[None]).sum(1)
+            by = np.maximum(state.max(0), 1e-280)
+            state, scale = state / by, scale + np.log(by) + log
+    return np.log(np.maximum(state[0], 1e-300)) + scale
+
+
 def expected_counts(lattice: Lattice, probability: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Expected occurrences of each piece in words of at most ``LEARNED`` bytes with ``weights``; one language."""
     n, steps = len(lattice.lengths), len(lattice.active)
@@ -213,9 +262,15 @@ class Classifier:
             return np.zeros((len(bounds) - 1, k))
 
         def make(at):
-            lattice = Lattice(self.table, data, starts[at], ends[at])
             found = np.empty((len(at), k), np.float32)
-            found[lattice.order] = log_likelihoods(lattice, self.model.probability)
+            long = ends[at] - starts[at] > LONG
+            for i in np.flatnonzero(long).tolist():
+                found[i] = long_log_likelihood(
+                    self.table, _lower(data[starts[at[i]]:ends[at[i]]]), self.model.probability)
+            rest = np.flatnonzero(~long)
+            if len(rest):
+                lattice = Lattice(self.table, data, starts[at[rest]], ends[at[rest]])
+                found[rest[lattice.order]] = log_likelihoods(lattice, self.model.probability)
             return found.reshape(-1), np.full(len(at), k)
 
         rows = self.memo.rows(Hasher(data, lower=True).spans(starts, ends), make)
