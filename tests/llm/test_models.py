@@ -390,6 +390,48 @@ def test_forest_on_findings_it_has_not_seen():
     assert ((forest.scores(x) >= 0.5) == y).mean() > 0.97
 
 
+def _flagged(reader, forest, text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    bounds = np.array([0, len(data)])
+    starts, ends, owner = reader.candidates(data, bounds)
+    scores = forest.scores(reader.features(data, bounds, starts, ends, owner))
+    return [data[a:b].tobytes().decode() for a, b, p in zip(starts.tolist(), ends.tolist(), scores) if p >= 0.5]
+
+
+def test_formats_beside_those_of_the_training():
+    """Logins, variables, images and ports have kinds like them among the labelled findings, the others none."""
+    known = secrets.dictionary(PIECES)
+    reader = secrets.Reader(known)
+    findings = secrets.labelled_findings(["alpha", "beta", "gamma"], known=tuple(w.decode() for w in known))
+    forest = secrets.train_forest(*secrets.training_table(reader, findings))
+    rnd = random.Random(8)
+    hexes, alnum = "0123456789abcdef", "abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789"
+
+    def some(alphabet, n):
+        return "".join(rnd.choices(alphabet, k=n))
+
+    secret = {"smtp": lambda: f"smtp://mailer:{some(alnum, 10)}@mail.host/", "people": lambda: f"ldap://cn:Summer{some('0123456789', 4)}!@dir",
+              "variable": lambda: f"DATADOG={some(hexes, 32)}", "registry": lambda: f"_authToken=npm_{some(alnum, 36)}",
+              "mail": lambda: f"SG.{some(alnum, 22)}.{some(alnum, 43)}"}
+    plain = {"protocol": lambda: "Auth: " + rnd.choice(["OAuth2", "Kerberos5", "SAML2", "Basic", "NTLMv2", "X509"]),
+             "algorithm": lambda: "The key: " + rnd.choice(["RSA2048", "AES256", "ED25519", "HMAC-SHA256"]),
+             "checksum": lambda: f"checksum={some(hexes, 64)}", "image": lambda: f"image@sha256:{some(hexes, 64)}",
+             "trace": lambda: f"trace_id={some(hexes, 32)}", "port": lambda: "http://localhost:8080/a/user1234name@x",
+             "article": lambda: "https://example.org/articles/2024-05-some-title-text-12345"}
+    share = {k: sum(bool(_flagged(reader, forest, f"so {make()} there")) for _ in range(50)) / 50
+             for k, make in (secret | plain).items()}
+    assert all(share[k] >= 0.9 for k in secret) and all(share[k] <= 0.1 for k in plain), share
+
+
+def test_many_secrets_in_one_text(spark):
+    keys = ["AKIA" + "".join(random.Random(i).choices("ABCDEFGHJKLMNPQRSTUVWXYZ234567", k=16)) for i in range(3000)]
+    table = spark.createDataFrame([(1, " and ".join(keys), "en"), (2, None, "en"), (3, "", "en")], SCHEMA)
+    model = secrets.fit(table, PIECES)
+    texts = {r["doc_id"]: r["text"] for r in secrets.redact(table, model).collect()}
+    assert texts[1] == " and ".join([secrets.MARK] * 3000) and texts[2] is None and texts[3] == ""
+    assert secrets.redact(table.limit(0), model).count() == 0
+
+
 def test_findings_and_redaction(spark):
     key, token = "AKIA" + "Q7WX2ZP9LM4KJ8RT", "0f3c" * 10
     rows = [(1, f"é the key {key} is here, token = \"{token}\" too", "en"), (2, f"commit {token} fixed it", "en"),

@@ -2,9 +2,11 @@
 
 Candidates are runs of ``[A-Za-z0-9+/_-]`` of at least ``SHORTEST`` characters that hold a digit, or upper and
 lower case, and, of any length and characters, the value that follows one of ``NAMES`` and ``=`` or ``:`` on its
-line (to the closing quote, or else to the next blank). Each becomes a row of numbers: length, kinds of characters, transitions between kinds and between
+line (to the closing quote, or else to the next blank) and the password of a login in an address
+(``scheme://user:password@host``). Each becomes a row of numbers: length, kinds of characters, transitions between kinds and between
 characters (against those of dictionary words), dictionary coverage, signs of a path or address on either
-side, and whether the words before name something secret. A forest of decision trees, trained from labelled
+side, whether the words before name something secret or a digest, and whether it is assigned to a variable in
+capitals. A forest of decision trees, trained from labelled
 findings, says which candidates are secrets.
 
 The labelled findings are made from published formats of credentials and of what is mistaken for them (hashes,
@@ -51,9 +53,15 @@ _INSIDE = _KIND != _OTHER
 _SYMBOL = np.full(256, 27, np.int64)
 _SYMBOL[65:91], _SYMBOL[97:123], _SYMBOL[48:58] = np.arange(26), np.arange(26), 26
 _BEFORE = 40  # bytes before a candidate in which its name is looked for
-FEATURES = 23
+FEATURES = 26
 _ENDINGS = tuple(x.encode() for x in NAMES)
 _PASSWORDS = ("password", "passwd", "pwd", "passphrase")
+#: Words that announce a digest or an identifier.
+_DIGESTS = ("md5", "sha", "sha1", "sha256", "commit", "rev", "revision", "etag", "checksum", "digest", "hash", "build", "version",
+            "id", "uuid", "guid")
+_VARIABLE = re.compile(rb"""[A-Z][A-Z0-9_]{2,}[ \t]?=[ \t]?["'`]?$""")
+_PARTS = re.compile("[^a-z0-9]")
+_LOGIN = re.compile(rb"://[^\s/:@?#]*:([^\s/]+)@")
 _VALUE = re.compile(rb"""[=>]?[ \t]*(?:"((?:\\.|[^"\\\r\n])+)"|'((?:\\.|[^'\\\r\n])+)'|`([^`\r\n]+)`|["'`]?(\S+))""")
 
 
@@ -77,6 +85,16 @@ def named_values(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
     return found[:, 0], found[:, 1]
 
 
+def login_passwords(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the passwords in ``scheme://user:password@host``."""
+    signs = np.flatnonzero((data[:-2] == 58) & (data[1:-1] == 47) & (data[2:] == 47))
+    owner = np.searchsorted(bounds, signs, "right") - 1
+    raw = data.tobytes()
+    met = (_LOGIN.match(raw, s, high) for s, high in zip(signs.tolist(), bounds[owner + 1].tolist()))
+    found = np.array([m.span(1) for m in met if m], np.int64).reshape(-1, 2)
+    return found[:, 0], found[:, 1]
+
+
 def dictionary(path: str, least: int = 4, most: int = 9) -> list[bytes]:
     """Lower-case words of a public piece vocabulary."""
     import sentencepiece
@@ -114,8 +132,8 @@ class Reader:
         # A capital letter at the start alone, or nothing but capitals, is an ordinary word.
         mixed = (upper >= 2) & (lower >= 2)
         keep = (digit > 0) | mixed
-        named = named_values(data, bounds)
-        both = np.unique(np.stack([np.append(starts[keep], named[0]), -np.append(ends[keep], named[1])], 1), axis=0)
+        found = [(starts[keep], ends[keep]), named_values(data, bounds), login_passwords(data, bounds)]
+        both = np.unique(np.stack([np.concatenate([a for a, _ in found]), -np.concatenate([b for _, b in found])], 1), axis=0)
         starts, ends = both[:, 0], -both[:, 1]  # of those that start together the longest first
         return starts, ends, np.searchsorted(bounds, starts, "right") - 1
 
@@ -161,20 +179,24 @@ class Reader:
         raw = data.tobytes()
         lefts = [raw[max(a, s - _BEFORE):s].decode("utf-8", "replace").lower()
                  for a, s in zip(bounds[owner].tolist(), starts.tolist())]
-        named, path, password = np.zeros(n), np.zeros(n), np.zeros(n)
+        named, path, password, digest, variable = (np.zeros(n) for _ in range(5))
         for i, left in enumerate(lefts):
             words = left.rstrip(" \t=:\"'`>").replace("=", " ").replace(":", " ").split()
             last = words[-1].strip("\"'`,;({[<>") if words else ""
             named[i] = 2 if any(last.endswith(x) for x in NAMES) else any(x in left for x in NAMES[:13])
             password[i] = last.endswith(_PASSWORDS)
+            digest[i] = _PARTS.split(last)[-1] in _DIGESTS
+            variable[i] = bool(_VARIABLE.search(raw, max(int(bounds[owner[i]]), int(starts[i]) - _BEFORE), int(starts[i])))
             path[i] = any(x in left[-12:] for x in ("://", "www.", "/", "\\", "@", "commit", "sha", "md5", "base64,"))
         prefix = np.array([any(raw[a:a + 12].startswith(x.encode()) for x in PREFIXES) for a in starts.tolist()])
         assigned = np.array([left.rstrip(" \"'`")[-1:] in ("=", ":") for left in lefts])
+        logins = login_passwords(data, bounds)
+        login = np.isin(starts * (len(data) + 1) + ends, logins[0] * (len(data) + 1) + logins[1])
         columns = [size, *share, total(change) / size, total(step) / np.maximum(size - 1, 1),
                    total(covered) / size, total(hexadecimal) / size, distinct / size, entropy,
                    np.isin(before, [47, 46, 64, 92, 35]), np.isin(after, [46, 64, 92, 40]), np.isin(before, [34, 39, 61, 58]),
                    named, path, prefix, assigned, slash, dashes, (total(kind == _DIGIT) == size), password,
-                   np.isin(before, [34, 39, 96])]
+                   np.isin(before, [34, 39, 96]), digest, variable, login]
         return np.stack([np.asarray(c, np.float32) for c in columns], 1)
 
 
@@ -308,7 +330,20 @@ def labelled_findings(words: list[str], each: int = EACH, seed: int = 3, known:
         v = word()
         return str(rng.choice(["${%s}", "<%s>", "{{%s}}", "$%s", "%s()", "get_%s()", "os.environ['%s']", "config.%s", "[%s]", "your_%s_here"])) % v
 
+    def variable(ends: tuple[str, ...]) -> str:
+        base = "".join(c for c in word() if c.isascii() and c.isalpha()).upper() or "SERVICE"
+        return base + str(rng.choice(ends)) + str(rng.choice(["=", "=", " = ", '="']))
+
+    def login(value: str) -> str:
+        host = str(rng.choice(["db", "localhost", "cache.internal", "10.0.0.7", "example.com"]))
+        scheme = str(rng.choice(["postgres", "mysql", "redis", "amqp", "https", "mongodb+srv", "ftp"]))
+        return f"{scheme}://{str(rng.choice(['app', 'root', 'admin', '', one()]))}:{value}@{host}/{one()}"
+
     secret = [
+        lambda: (v := chosen(), login(v)), lambda: (v := some(alnum, 8, 32), login(v)), lambda: (v := some(lower, 8, 20), login(v)),
+        lambda: (v := some(hexes, 24, 40), login(v)), lambda: (v := phrase(str(rng.choice(["", "-"]))), login(v)),
+        lambda: (v := some(hexes, 32, 40), variable(("", "", "_KEY", "_API", "_APP", "_CREDS")) + v),
+        lambda: (v := some(alnum, 20, 44), variable(("", "", "_KEY", "_API", "_APP", "_CREDS")) + v),
         lambda: (v := some(hexes, 16, 20), assign(v)), lambda: (v := some(hexes, 32, 64), assign(v)),
         lambda: (v := some(alnum, 14, 40), assign(v)), lambda: (v := b64(int(rng.integers(18, 48))), assign(v)),
         lambda: (v := str(rng.choice(["AKIA", "ASIA"])) + some(upper + digits, 16), v),
@@ -318,15 +353,25 @@ def labelled_findings(words: list[str], each: int = EACH, seed: int = 3, known:
         lambda: (v := "xoxb-" + some(digits, 11) + "-" + some(alnum, 24), v),
         lambda: (v := str(rng.choice(["sk_live_", "rk_live_"])) + some(alnum, 24), v),
         lambda: (v := "eyJ" + b64(30), "Bearer " + v),
+        lambda: (v := some(alnum, 24), f"https://hooks.example.com/services/T{some(upper + digits, 8)}/B{some(upper + digits, 8)}/{v}"),
         lambda: (v := chosen(), assign(v, _PASSWORDS)), lambda: (v := some(alnum + "!@#$%^&*?", 6, 16) + some(digits, 1), assign(v)),
         lambda: (v := some(lower, 10, 24), assign(v, _PASSWORDS)), lambda: (v := phrase(""), assign(v, _PASSWORDS)),
         lambda: (v := phrase(" "), assign(v, _PASSWORDS, '"')),
     ]
     other = [
+        lambda: (v := some(hexes, 32, 64), variable(("_MD5", "_SHA", "_SHA256", "_COMMIT", "_REV", "_CHECKSUM", "_DIGEST", "_HASH", "_ID")) + v),
+        lambda: (v := uuid(), variable(("_ID", "_UUID", "_GUID", "_BUILD")) + v),
+        lambda: (v := plain(2, "_") + some(digits, 1, 2), variable(("", "_NAME", "_FILE", "_HOST")) + v),
+        lambda: (v := str(rng.choice([short(), unset(), "password", "pass", "pw"])), login(v.replace(" ", "").replace("/", ""))),
+        lambda: (v := one().title() + some(digits, 1, 4), assign(v, ("Auth", "Key", "Token", "auth", "key", "token", "credentials"), "")),
+        lambda: (v := some(upper, 2, 5) + str(rng.choice(["", "-"])) + some(digits, 1, 4),
+                 assign(v, ("Auth", "Key", "Token", "auth", "key", "token", "secret"), "")),
+        lambda: (v := some(upper, 1, 2) + one().title() + some(digits, 1), assign(v, ("Auth", "Token", "Key", "auth", "Bearer"), "")),
         lambda: (v := uuid(), v), lambda: (v := uuid(), "id=" + v),
         lambda: (v := some(hexes, 40), str(rng.choice(["commit ", "sha1 ", "", "rev "])) + v),
         lambda: (v := some(hexes, 32), str(rng.choice(["md5 ", "etag ", "", "md5:"])) + v),
-        lambda: (v := some(hexes, 64), "sha256:" + v),
+        lambda: (v := some(hexes, 64), str(rng.choice(["", f"{plain(1, '')}@"])) + "sha256:" + v),
+        lambda: (v := f"{plain(1, '')}{some(digits, 1, 4)}", f"http://{plain(1, '')}:{some(digits, 4)}/{plain(1, '')}/{v}@{one()}"),
         lambda: (v := some(digits, 12, 19), str(rng.choice(["", "no. ", "id=", "order ", "+"])) + v),
         lambda: (v := "-".join(some(digits, 4) for _ in range(4)), v),
         lambda: (v := f"{plain(2, '_')}_{some(digits, 1, 4)}__x", v),
@@ -424,14 +469,17 @@ def redact(documents: DataFrame, model: Model, threshold: float = 0.5, text_colu
         def columns(data, bounds):
             starts, ends, owner = reader.candidates(data, bounds)
             secret = forest.scores(reader.features(data, bounds, starts, ends, owner)) >= threshold
-            raw, mark, changed = data.tobytes(), MARK.encode(), {}
+            raw, mark = data.tobytes(), MARK.encode()
+            parts: dict[int, list[bytes]] = {}
+            reached: dict[int, int] = {}
             for a, b, o in zip(starts[secret].tolist(), ends[secret].tolist(), owner[secret].tolist()):
-                parts, at = changed.setdefault(o, ([], int(bounds[o])))
-                # A secret that begins inside the one before shares its mark.
-                changed[o] = (parts + [raw[at:a], mark] if a >= at else parts, max(b, at)) if parts else ([raw[at:a], mark], b)
+                at = reached.get(o, int(bounds[o]))
+                if a >= at:  # a secret that begins inside the one before shares its mark
+                    parts.setdefault(o, []).extend((raw[at:a], mark))
+                reached[o] = max(b, at)
             texts = [None] * (len(bounds) - 1)  # NULL where nothing changes
-            for o, (parts, at) in changed.items():
-                texts[o] = b"".join([*parts, raw[at:int(bounds[o + 1])]]).decode()
+            for o, found in parts.items():
+                texts[o] = b"".join([*found, raw[reached[o]:int(bounds[o + 1])]]).decode()
             return [pa.array(texts, pa.string())]
 
         return columns
