@@ -1,7 +1,7 @@
 """Secret scans with a random forest that removes false positives.
 
 Candidates are runs of ``[A-Za-z0-9+/_-]`` of at least ``SHORTEST`` characters that hold a digit, or upper and
-lower case, and, of any length and characters, the value that follows one of ``NAMES`` and ``=`` or ``:`` on its
+lower case, or begin as a published credential does, and, of any length and characters, the value that follows one of ``NAMES`` and ``=`` or ``:`` on its
 line (to the closing quote, or else to the next blank) and the password of a login in an address
 (``scheme://user:password@host``). Each becomes a row of numbers: length, kinds of characters, transitions between kinds and between
 characters (against those of dictionary words), dictionary coverage, signs of a path or address on either
@@ -44,6 +44,7 @@ NAMES = ("password", "passwd", "pwd", "passphrase", "secret", "token", "apikey",
 PREFIXES = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "xoxb-", "xoxp-", "sk_live_", "rk_live_",
             "AIza", "eyJ", "npm_", "SG")
 
+_STARTS = tuple(x.encode() for x in PREFIXES)
 _UPPER, _LOWER, _DIGIT, _SIGN, _OTHER = range(5)
 _KIND = np.full(256, _OTHER, np.int64)
 _KIND[65:91], _KIND[97:123], _KIND[48:58] = _UPPER, _LOWER, _DIGIT
@@ -132,6 +133,9 @@ class Reader:
         # A capital letter at the start alone, or nothing but capitals, is an ordinary word.
         mixed = (upper >= 2) & (lower >= 2)
         keep = (digit > 0) | mixed
+        raw = data.tobytes()
+        for i in np.flatnonzero(~keep).tolist():
+            keep[i] = raw.startswith(_STARTS, int(starts[i]))
         found = [(starts[keep], ends[keep]), named_values(data, bounds), login_passwords(data, bounds)]
         both = np.unique(np.stack([np.concatenate([a for a, _ in found]), -np.concatenate([b for _, b in found])], 1), axis=0)
         starts, ends = both[:, 0], -both[:, 1]  # of those that start together the longest first
@@ -425,7 +429,8 @@ def fit(documents: DataFrame, vocabulary_path: str) -> Model:
     """Words around the labelled findings come from ``SAMPLE_TEXTS`` texts, picked by a hash of the id."""
     rows = documents.select("doc_id", "text").where(F.col("text").isNotNull())
     texts = sample_rows(rows, SAMPLE_TEXTS, "doc_id").select("text").collect()
-    words = sorted({w for r in texts for w in r[0].split() if w.isalpha()})
+    # a credential of letters alone must not serve as an ordinary word
+    words = sorted({w for r in texts for w in r[0].split() if w.isalpha() and not w.startswith(PREFIXES)})
     known = dictionary(vocabulary_path)
     reader = Reader(known)
     return Model(known, train_forest(*training_table(reader, labelled_findings(words, known=tuple(w.decode() for w in known)))))
