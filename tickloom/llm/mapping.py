@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +17,22 @@ from .ragged import Memo, text_slices
 Maker = Callable[[np.ndarray, np.ndarray], list[pa.Array]]
 
 
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` of a ``mapInArrow``, in a worker that stays for the tasks of other operators.
+
+    At the end, the allocators give back what they keep.
+    """
+    def tidied(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (OSError, AttributeError):  # another C library
+            pass
+
+    return tidied
+
+
 def with_text_columns(df: DataFrame, text_column: str, added: str, make: Callable[[], Maker]) -> DataFrame:
     """``df`` without ``text_column``, and the columns ``added`` (a DDL string) computed from it.
 
@@ -34,9 +51,8 @@ def with_text_columns(df: DataFrame, text_column: str, added: str, make: Callabl
             for first, last, data, bounds in text_slices(batch.column(0)):
                 part = batch.slice(first, last - first)
                 yield pa.RecordBatch.from_arrays([*part.columns[1:], *maker(data, bounds)], titles)
-        pa.default_memory_pool().release_unused()  # the worker stays for other tasks
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(tidy(run), schema)
 
 
 def sample_rows(df: DataFrame, n: int, id_column: str, total: int | None = None) -> DataFrame:

@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import stage
+from .mapping import tidy
 from .ragged import mix, ranges, text_slices, words_of
 
 WORDS, BANDS, ROWS, BLOCK, BLOCK_BYTES, BLOCK_SETS = 5, 26, 5, 256, 2 << 20, 1024
@@ -119,7 +120,7 @@ def _set_table(documents: DataFrame) -> DataFrame:
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return documents.mapInArrow(
-        run, f"doc_id {kind}, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary")
+        tidy(run), f"doc_id {kind}, n_shingles bigint, set_id binary, bands array<bigint>, sketch binary")
 
 
 def _full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -137,7 +138,7 @@ def _full_sets(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     if wanted.count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     texts = documents.join(ids, documents["doc_id"].eqNullSafe(F.col("_id")), "left_semi").select("text")
-    sets = texts.mapInArrow(run, "set_id binary, shingles binary")
+    sets = texts.mapInArrow(tidy(run), "set_id binary, shingles binary")
     return stage(sets.join(wanted.select("set_id", "node"), "set_id").drop("set_id").dropDuplicates(["node"]))
 
 
@@ -158,7 +159,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
     joined = pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y")
-    return stage(joined.mapInArrow(run, "a bigint, b bigint"))
+    return stage(joined.mapInArrow(tidy(run), "a bigint, b bigint"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -242,7 +243,7 @@ def _close(members: DataFrame, least: int) -> DataFrame:
                     [table.column(0).combine_chunks().filter(pa.array(close)), pa.array(node[close])], ["key", "node"])
 
     dealt = _dealt(members, ("node", "label", "band", "bands", "sketch"))
-    return dealt.mapInArrow(run, "key bigint, node bigint").distinct()
+    return dealt.mapInArrow(tidy(run), "key bigint, node bigint").distinct()
 
 
 def linking_pairs(sets: list[np.ndarray], label: np.ndarray, percent: int) -> list[tuple[int, int]]:
@@ -299,7 +300,7 @@ def _linked(members: DataFrame, percent: int) -> DataFrame:
             pairs = np.array(linking_pairs(sets, label, percent), np.int64).reshape(-1, 2)
             yield pa.RecordBatch.from_arrays([pa.array(node[pairs[:, 0]]), pa.array(node[pairs[:, 1]])], ["a", "b"])
 
-    return _dealt(members, ("node", "label", "shingles")).mapInArrow(run, "a bigint, b bigint")
+    return _dealt(members, ("node", "label", "shingles")).mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85, id_column: str = "doc_id",

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import stage
 from .encoding import encoder, with_last_id
+from .mapping import tidy
 from .ragged import text_slices
 
 #: Least pieces ranked in one window. A length of n pieces is split into groups of the square root of n, so
@@ -138,7 +139,7 @@ def cut_pieces(documents: DataFrame, tokenizer: str, capacity: int, end_id: int,
                 yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
 
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return documents.select(id_column, text_column).mapInArrow(run, schema + ", ids array<int>" * keep_ids)
+    return documents.select(id_column, text_column).mapInArrow(tidy(run), schema + ", ids array<int>" * keep_ids)
 
 
 def place_pieces(pieces: DataFrame, capacity: int) -> DataFrame:

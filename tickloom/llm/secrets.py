@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .mapping import Table, sample_rows, unique_marker, with_text_columns
+from .mapping import Table, sample_rows, tidy, unique_marker, with_text_columns
 from .ragged import Hasher, ranges, spans_of, text_slices
 
 #: Shortest candidate; texts whose words surround the labelled findings; findings of each kind.
@@ -460,7 +460,7 @@ def find(documents: DataFrame, model: Model, threshold: float = 0.5, id_column:
                     ["doc_id", "start", "length", "score", "is_secret", "value"])
 
     schema = f"doc_id {kind}, start bigint, length bigint, score double, is_secret boolean, value string"
-    return documents.select(id_column, text_column).mapInArrow(run, schema)
+    return documents.select(id_column, text_column).mapInArrow(tidy(run), schema)
 
 
 def redact(documents: DataFrame, model: Model, threshold: float = 0.5, text_column: str = "text") -> DataFrame:
