@@ -70,6 +70,7 @@ class Encoder:
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         dtype = np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32
         self.kind, self.memo = kind, Memo(dtype=dtype)
+        self.marks: dict[str, list[int]] = {}  # six at most
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Words of Latin letters go straight to the model; all other texts through the whole tokenizer."""
@@ -98,9 +99,10 @@ class Encoder:
         flat = np.fromiter(itertools.chain.from_iterable(ids), self.memo.dtype, int(sizes.sum()))
         return flat, sizes
 
-    @functools.cache  # six marks
     def _mark(self, mark: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize(mark)]
+        if mark not in self.marks:
+            self.marks[mark] = [t.id for t in self.tokenizer.model.tokenize(mark)]
+        return self.marks[mark]
 
     def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, bounds of each text's ids)."""
@@ -137,7 +139,7 @@ class Encoder:
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str, kind: str) -> Encoder:
-    """One encoder for each worker process."""
+    """One encoder for each worker process, kept for its next tasks."""
     return Encoder(path, kind)
 
 

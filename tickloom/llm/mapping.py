@@ -11,18 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .encoding import encoder
 from .ragged import Memo, text_slices
 
 #: Turns (data, bounds) of a slice of texts into one Arrow array for each added column.
 Maker = Callable[[np.ndarray, np.ndarray], list[pa.Array]]
 
 
-def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+def tidy(run: Callable[[Iterator], Iterator], encodes: bool = False) -> Callable[[Iterator], Iterator]:
     """``run`` of a ``mapInArrow``, in a worker that stays for the tasks of other operators.
 
-    At the end, the allocators give back what they keep.
+    Encoders that earlier tasks have kept go first, unless ``run`` ``encodes`` itself; at the end, the
+    allocators give back what they keep.
     """
     def tidied(batches):
+        if not encodes:
+            encoder.cache_clear()
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         try:

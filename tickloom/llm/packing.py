@@ -139,7 +139,7 @@ def cut_pieces(documents: DataFrame, tokenizer: str, capacity: int, end_id: int,
                 yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
 
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids_crc32 bigint"
-    return documents.select(id_column, text_column).mapInArrow(tidy(run), schema + ", ids array<int>" * keep_ids)
+    return documents.select(id_column, text_column).mapInArrow(tidy(run, encodes=True), schema + ", ids array<int>" * keep_ids)
 
 
 def place_pieces(pieces: DataFrame, capacity: int) -> DataFrame:
