@@ -14,9 +14,9 @@ BATCH_BYTES = 8 << 20
 _SHIPPED: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession, batch_bytes: int = BATCH_BYTES) -> None:
     """Send the package's sources to all executors, once for each application, and bound this session's batches."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(batch_bytes))
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
