@@ -66,9 +66,27 @@ def test_frames_are_not_shuffled(spark):
     plan = built._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
     paged = multi_resolution_frames(fine, coarse, ["t", "x"], ["k"], "t", rows=20, page_rows=60)
+    plan = paged._jdf.queryExecution().executedPlan().toString()
+    # pages: frames are made above the last exchange, and what moves below it are single rows
+    assert "collect_list" in plan and "collect_list" not in plan[plan.index("Exchange hashpartitioning"):]
     assert sorted(map(repr, built.collect())) == sorted(map(repr, paged.collect()))
 
 
+@pytest.mark.parametrize("page_rows", [3, 7, 60])
+def test_frames_of_two_resolutions_over_pages(spark, page_rows):
+    """Pages shorter than a frame, without coarse rows, or without fine ones; equal times; a NULL key."""
+    from tickloom.operators.frames import multi_resolution_frames
+
+    def rows(*spans):
+        return spark.createDataFrame([(k, t, float(t)) for k, ts in spans for t in ts], "k string, t bigint, x double")
+
+    fine = rows(("a", range(0, 400, 10)), ("a", range(2000, 2200, 10)), (None, range(0, 100, 10)), ("b", range(3)))
+    coarse = rows(("a", [5, 10, 30, 2500]), ("a", range(600, 1900, 100)), (None, [0, 55]), ("c", range(9)))
+    build = [multi_resolution_frames(fine, coarse, ["t", "x"], ["k"], "t", rows=6, page_rows=n) for n in (None, page_rows)]
+    plain, paged = (sorted(map(repr, b.collect())) for b in build)
+    assert plain == paged and len(plain) == 60 - 5 + 10 - 5
+
+
 def test_archive_is_parsed_once(spark, tmp_path):
     """Events and failures of a topic come from one parse, however many failures there are."""
     from tickloom.operators.parse import read_depths, records

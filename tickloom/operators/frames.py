@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -125,54 +126,58 @@ def multi_resolution_frames(
     """
     if large is None:
         large = o_.has_large_keys(fine, keys, page_rows) or o_.has_large_keys(coarse, keys, page_rows)
-    if large:
-        return _paged_resolutions(fine, coarse, columns, keys, time, rows, page_rows)
-    marks = fine.select(*keys, F.col(time).alias("time"), F.lit(0).alias("_coarse"), F.struct(*columns).alias("_row")).unionByName(
-        coarse.select(*keys, F.col(time).alias("time"), F.lit(1).alias("_coarse"), F.struct(*columns).alias("_row"))
+    marks = fine.select(*keys, F.col(time).alias("time"), F.lit(0).alias("_coarse"), F.struct(*columns).alias("_values")).unionByName(
+        coarse.select(*keys, F.col(time).alias("time"), F.lit(1).alias("_coarse"), F.struct(*columns).alias("_values"))
     )
+    if large:
+        paged = _with_reach(o_.ordered(marks, keys, ["time", "_coarse"], page_rows), rows)
+        cut = _cut_resolutions(paged, [*keys, "_page"], rows).where("_home")
+    else:
+        cut = _cut_resolutions(marks, keys, rows)
+    return cut.select(*keys, "time", "fine_frame", "coarse_frame")
+
+
+def _cut_resolutions(marks: DataFrame, group: Sequence[str], rows: int) -> DataFrame:
+    """The full fine frames of each group, with the frame that begins at the next coarse row."""
     # Frames of either kind, then, from the end of the time line, the frame of the next coarse row. A coarse
     # row of the same time is still to come for a fine one.
-    own = Window.partitionBy(*keys, "_coarse").orderBy("time").rowsBetween(0, rows - 1)
-    back = Window.partitionBy(*keys).orderBy(F.desc("time"), F.desc("_coarse")).rowsBetween(Window.unboundedPreceding, 0)
-    spread = marks.repartition(*keys) if keys else marks
-    framed = spread.withColumn("_frame", F.collect_list("_row").over(own)).drop("_row")
+    own = Window.partitionBy(*group, "_coarse").orderBy("time").rowsBetween(0, rows - 1)
+    back = Window.partitionBy(*group).orderBy(F.desc("time"), F.desc("_coarse")).rowsBetween(Window.unboundedPreceding, 0)
+    # Spread by group first: the window over one kind would spread its rows, and the next one then its frames.
+    spread = marks.repartition(*group) if group else marks
+    framed = spread.withColumn("_frame", F.collect_list("_values").over(own)).drop("_values")
     ahead = F.last(F.when(F.col("_coarse") == 1, F.col("_frame")), ignorenulls=True).over(back)
     built = framed.withColumn("_ahead", ahead).where((F.col("_coarse") == 0) & (F.size("_frame") == rows))
     empty = F.array().cast(built.schema["_frame"].dataType)
-    return built.select(*keys, "time", F.col("_frame").alias("fine_frame"), F.coalesce("_ahead", empty).alias("coarse_frame"))
+    return built.withColumnRenamed("_frame", "fine_frame").withColumn("coarse_frame", F.coalesce("_ahead", empty))
 
 
-def _paged_resolutions(
-    fine: DataFrame, coarse: DataFrame, columns: Sequence[str], keys: Sequence[str], time: str, rows: int,
-    page_rows: int | None,
-) -> DataFrame:
-    """The same for keys beyond one task.
+def _with_reach(line: Ordered, rows: int) -> DataFrame:
+    """The time line of both kinds, with a copy in each page of the rows that its frames need from later pages.
 
-    The coarse start is found by counting: merged in time order, a fine row follows exactly the
-    coarse rows before it. Coarse frames are cut once per coarse row and met by an equi-join on
-    (key, position).
+    Those are the next ``rows - 1`` fine and the next ``rows`` coarse rows after the page, however far on they lie;
+    they are named by their number within their kind, without their values, and fetched by position. ``_home``: not a copy.
     """
-    small = frames(ordered(fine, keys, [time], page_rows), columns, rows).select(
-        *keys, F.col(time).alias("time"), F.col("frame").alias("fine_frame")
-    )
-    big_order = ordered(coarse, keys, [time], page_rows)
-    big = big_order.near(0, rows - 1, lambda w: {"coarse_frame": _frame(columns, 0, rows - 1)(w)}).select(
-        *keys, F.col("_pos").alias("_at"), "coarse_frame"
-    )
-    marks = small.select(*keys, "time", F.lit(0).alias("_coarse")).unionByName(
-        coarse.select(*keys, F.col(time).alias("time"), F.lit(1).alias("_coarse"))
+    own = line.df.drop("_pos", "_hot").withColumn("_home", F.lit(True))
+    if not line.paged:
+        return own
+    narrow = replace(line, df=line.df.drop("_values"))
+    numbered = o_.running_sum(narrow, "_before", F.col("_coarse")).withColumn(
+        "_number", F.when(F.col("_coarse") == 1, F.col("_before")).otherwise(F.col("_pos") - F.col("_before"))
     )
-    # Fine rows sort in front of a coarse row of the same time, which therefore is not "before".
-    merged = ordered(marks, keys, ["time", "_coarse"], page_rows)
-    starts = o_.running_sum(merged, "_before", F.col("_coarse")).where("_coarse = 0").select(
-        *keys, "time", (F.col("_before") + 1).alias("_at")
+    hot = numbered.where("_hot").select(*line.group, "_coarse", "_number", "_pos")
+    so_far = Window.partitionBy(*line.keys).orderBy("_page").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ends = hot.groupBy(*line.group).agg(F.sum(1 - F.col("_coarse")).alias("_fine"), F.sum("_coarse").alias("_big")).select(
+        *line.group, "_fine", F.sum("_fine").over(so_far).alias("_fine_end"), F.sum("_big").over(so_far).alias("_big_end")
+    ).where("_fine > 0")
+    reach = F.array(
+        *[F.struct(F.lit(0).alias("_coarse"), (F.col("_fine_end") + i).alias("_number")) for i in range(1, rows)],
+        *[F.struct(F.lit(1).alias("_coarse"), (F.col("_big_end") + i).alias("_number")) for i in range(1, rows + 1)],
     )
-    # Merge joins: the planner's size estimate counts a frame as a single row, so a side that looks
-    # small enough to broadcast may be far too large.
-    placed = starts.join(big.hint("merge"), [*keys, "_at"], "left")
-    joined = small.hint("merge").join(placed, [*keys, "time"])
-    kind = big.schema["coarse_frame"].dataType
-    return joined.withColumn("coarse_frame", F.coalesce("coarse_frame", F.array().cast(kind))).drop("_at")
+    wanted = ends.select(*line.keys, F.col("_page").alias("_to"), F.inline(reach))
+    named = o_.null_safe_join(wanted, hot.drop("_page"), [*line.keys, "_coarse", "_number"]).select(*line.keys, "_pos", "_to")
+    copies = o_.null_safe_join(line.df.where("_hot").drop("_page"), named, [*line.keys, "_pos"])
+    return own.unionByName(copies.drop("_pos", "_hot").withColumnRenamed("_to", "_page").withColumn("_home", F.lit(False)))
 
 
 def reindex(rows: DataFrame, index: Sequence[str], drop: Sequence[str] = ()) -> DataFrame:

@@ -717,9 +717,9 @@ s AS (SELECT t.{KEYS.replace(', ', ', t.')}, t.window_end, (SELECT count(*) FROM
 SELECT s.{KEYS.replace(', ', ', s.')}, s.window_end AS time, CAST(90 AS INTEGER) AS fine_rows, CAST(count(c.pos) AS INTEGER) AS coarse_rows, min(c.window_end) AS coarse_start, {q.rnd('sum(c.price)', 'coarse_total')}
 FROM s LEFT JOIN c ON c.exchange = s.exchange AND c.base_asset = s.base_asset AND c.pos BETWEEN first_at AND first_at + 89
 GROUP BY s.{KEYS.replace(', ', ', s.')}, s.window_end""")
-def multi_resolution_frames(spark, sf_dir):
+def multi_resolution_frames(spark, sf_dir, page_rows=None):
     fine, coarse = _hourly(spark, sf_dir), ds.trade_rows(spark, sf_dir, "6h")
-    rows = fr.multi_resolution_frames(fine, coarse, ["window_end", "all_close_price"])
+    rows = fr.multi_resolution_frames(fine, coarse, ["window_end", "all_close_price"], page_rows=page_rows)
     total = F.aggregate("coarse_frame", F.lit(None).cast("double"), lambda a, x: F.coalesce(a, F.lit(0.0)) + x["all_close_price"])
     return rows.select(
         *INSTRUMENT, "time", F.size("fine_frame").alias("fine_rows"), F.size("coarse_frame").alias("coarse_rows"),
@@ -775,6 +775,11 @@ def frame_labels_paged(spark, sf_dir):
     return _open_frame(fr.frame_labels(line, _FRAME), "current_price", "next_price")
 
 
+@query(ORACLE["multi_resolution_frames"])
+def multi_resolution_frames_paged(spark, sf_dir):
+    return multi_resolution_frames(spark, sf_dir, page_rows=70)
+
+
 @query(ORACLE["extended_block"])
 def extended_block_paged(spark, sf_dir):
     trades = wn.tumbling(ev.of_type(ad.market_events(spark, sf_dir), TRADE), "24h")
