@@ -113,3 +113,55 @@ def test_feature_tables_of_all_instruments(spark, tmp_path):
     for asset in ("A0", "A1"):
         alone = feature_table(spark, events_dir, "ex", "USDT", asset, "2m", location=str(tmp_path / "one"))
         assert sorted(map(repr, together[f"ex_USDT_{asset}_PT120S"])) == sorted(map(repr, alone.collect()))
+
+
+def _operators(spark, df, name):
+    return str(df._jdf.queryExecution().executedPlan()).count(name)
+
+
+def test_distinct_events_are_shuffled_once_before_any_sort(spark, tmp_path):
+    """One shuffle, by ranges: copies are not combined before it by a sort of all that a task reads."""
+    _archive(spark, str(tmp_path))
+    events = parse_depths(spark.read.schema(ENVELOPE).parquet(f"{tmp_path}/depths"))[0]
+    once = writers.earliest(flatten(events, events), 360, 3, F.min("seq").alias("seq"))
+    assert _operators(spark, once, "Exchange") == 1 == _operators(spark, once, "Exchange rangepartitioning")
+    assert _rows(once.select(*EVENT_COLUMNS, "seq")) == _rows(distinct_events(events).select(*EVENT_COLUMNS, "seq"))
+
+
+def test_a_hot_destination_is_cut_into_pieces(spark, tmp_path):
+    """One instrument, all of it at one time: many files, and every event once."""
+    rows = spark.range(40_000).selectExpr(
+        "'trade' AS event_type", "'ex' AS exchange", "'USDT' AS quote_asset", "CAST(NULL AS STRING) AS base_asset", "5L AS time",
+        "CAST(id % 20000 AS DOUBLE) AS quantity", "1D AS price", "'buy' AS side", "id AS seq")
+    rows.write.parquet(str(tmp_path / "in"))
+    rows = spark.read.parquet(str(tmp_path / "in"))
+    writers.write_distinct_events(rows, 40_000, str(tmp_path / "e"), shards=6)
+    assert len(list((tmp_path / "e").rglob("*.parquet"))) > 3
+    stored = read_events(spark, str(tmp_path / "e"), extra=[T.StructField("seq", T.LongType())])
+    assert stored.agg(F.count("*"), F.max("seq"), F.min("base_asset")).first() == (20_000, 19_999, "None")
+
+
+def test_archive_topics_are_spread_without_a_sort_and_written_when_asked_for(spark, tmp_path):
+    from tickloom.plans import adapters, datasets
+
+    for name, columns in {
+        "events": "id AS event_id, timestamp_ntz'2024-01-01 00:00:00' AS ts, id AS user_id, 'click' AS event_type, 1D AS value, '{\"k\": 3}' AS props",
+        "lineitem": "id AS l_orderkey, id AS l_partkey, id AS l_suppkey, 1 AS l_linenumber, 3D AS l_quantity, 'F' AS l_linestatus, "
+                    "date'1995-01-01' AS l_shipdate",
+    }.items():
+        spark.range(50).selectExpr(*columns.split(", ")).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    for made in (adapters.trade_messages, adapters.depth_messages):
+        rows = made(spark, str(tmp_path))
+        assert rows.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+        assert "hashpartitioning" in str(rows._jdf.queryExecution().executedPlan()).lower()
+    assert datasets.messages(spark, str(tmp_path), "trades").count() == 50
+    assert not [k for k in datasets._WRITTEN if k[2:] == (str(tmp_path), "archive/depths")]
+    root = datasets.archive(spark, str(tmp_path))
+    assert spark.read.parquet(f"{root}/depths").count() == 50
+
+
+def test_dead_letters_are_compressed(spark, tmp_path):
+    archive, failures_dir = str(tmp_path / "archive"), tmp_path / "failures"
+    _archive(spark, archive)
+    partition_archive(spark, archive, str(tmp_path / "events"), str(failures_dir))
+    assert [f.name for f in failures_dir.rglob("part-*")] and all(f.name.endswith(".json.gz") for f in failures_dir.rglob("part-*"))
