@@ -148,3 +148,21 @@ def test_processing_time_trigger(spark, tmp_path):
         assert query.isActive and sorted(r.time for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [5, FAR]
     finally:
         query.stop()
+
+
+def test_a_day_is_stored_in_few_files_whatever_the_tasks(spark, tmp_path):
+    rows = spark.range(3000).selectExpr(
+        "'trade' AS event_type", "'ex' AS exchange", "'USDT' AS quote_asset", "'A' AS base_asset", "id AS time",
+        "1D AS quantity", "CAST(id AS DOUBLE) AS price", "'buy' AS side", "id AS seq")
+    rows.union(rows.limit(1).selectExpr("event_type", "exchange", "quote_asset", "base_asset", "9000000L", "quantity", "price", "side", "seq")
+               ).coalesce(1).write.parquet(str(tmp_path / "in"))
+    tasks = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        events = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+        jobs.ingest(events, str(tmp_path / "e"), str(tmp_path / "check")).awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", tasks)
+    files = list((tmp_path / "e").rglob("event_day=*/*.parquet"))
+    assert 0 < len(files) <= jobs.DAY_PIECES
+    assert spark.read.parquet(*{str(f.parent) for f in files}).count() == 3000

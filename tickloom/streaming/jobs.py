@@ -33,6 +33,7 @@ from tickloom.streaming import store as st
 from tickloom.streaming.store import stored_schema
 
 DEDUPE_WINDOW = "5m"
+DAY_PIECES = 16
 #: What a job runs on without another word: all that is there now, then stop.
 AVAILABLE = {"availableNow": True}
 
@@ -68,8 +69,8 @@ def ingest(
 ) -> StreamingQuery:
     """Deduplicate and store events by ingest batch and day.
 
-    A live feed brings a few days in a batch, so its tasks write their rows as they lie. A feed that brings years at
-    once is better stored by a longer ``period``, say "yyyy-MM".
+    A batch stores a day in at most `DAY_PIECES` files, not one for each task of the aggregation and day. A feed that
+    brings years at once is better stored by a longer ``period``, say "yyyy-MM".
     ``trigger``: arguments of ``DataStreamWriter.trigger``. ``announce``: a folder for every job that follows the store
     (each deletes what it has used), by default the one of a single `feature_job`. Heartbeats move the watermark and
     are not stored.
@@ -80,6 +81,8 @@ def ingest(
         day = utc_text(F.col("event_time"), period)
         rows = batch.where(F.col("event_type") != st.HEARTBEAT)
         rows = named_partitions(rows).withColumn("event_day", day).drop("event_time")
+        # No rebalancing: streams with state run without adaptive execution, which would leave it out.
+        rows = rows.repartition("event_day", F.pmod(F.xxhash64(*rows.columns), F.lit(DAY_PIECES)))
         path = f"{directory}/ingest_batch={batch_id}"
         rows.write.mode("overwrite").partitionBy("event_day").parquet(path)
         # Without its event time the schema is that of the store, but for the batch, which names the folder.
