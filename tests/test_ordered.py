@@ -136,3 +136,10 @@ def test_one_hot_group_among_small_ones(spark):
         return sorted(repr([round(v, 9) if isinstance(v, float) else v for v in r]) for r in out)
 
     assert stats(50) == stats(1000)
+
+
+def test_spans_grow_with_rows_and_cores_not_with_pages(spark):
+    rows = spark.range(1)
+    assert od.span_count(rows, 2_400_000, 10) <= max(spark.sparkContext.defaultParallelism, 10)
+    assert od.span_count(rows, 40_000_000, 4_000_000) == 10
+    assert od.span_count(rows, 11, 10) == 2

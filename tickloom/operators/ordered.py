@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 from tickloom.session import stage
 
 PAGE_ROWS = 4_000_000
+_SPAN_ROWS = 250_000  # rows sorted by one task, where pages are smaller
 _BROADCAST_KEYS, _BROADCAST_BYTES = 100_000, 8 << 20
 _LOCAL_BITS = 33  # monotonically_increasing_id: partition number above, row number below
 
@@ -126,11 +127,17 @@ def has_large_keys(df: DataFrame, keys: Sequence[str], page_rows: int | None = N
     return largest_key(df, keys) > (page_rows or PAGE_ROWS)
 
 
+def span_count(df: DataFrame, rows: int, page_rows: int) -> int:
+    """Tasks that number ``rows`` rows: no more than there are pages, nor than cores or spans of `_SPAN_ROWS` ask for."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(2, min(ceil(rows / page_rows), max(cores, ceil(rows / _SPAN_ROWS))))
+
+
 def _number_by_range(df: DataFrame, keys, order, rows: int, page_rows: int) -> DataFrame:
     # Sampled range bounds differ between runs, hence the written copy: every later step sees
-    # the same partition numbers, also after a lost executor.
+    # the same partition numbers, also after a lost executor. Pages are cut from positions, so a span may hold many.
     spans = stage(
-        df.repartitionByRange(max(2, ceil(rows / page_rows)), *keys, *order)
+        df.repartitionByRange(span_count(df, rows, page_rows), *keys, *order)
         .sortWithinPartitions(*keys, *order)
         .withColumn("_row", F.monotonically_increasing_id())
     ).withColumn("_span", F.shiftright("_row", _LOCAL_BITS))
