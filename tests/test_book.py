@@ -135,3 +135,21 @@ def test_running_state_of_both_sides(spark):
     got = running_state(spark.createDataFrame(rows, "k string, side string, price double, quantity double, n int"), ["k"], ["n"])
     assert [(r.pos, r.asks, r.bids) for r in got.orderBy("pos").collect()] == [
         (1, {2.0: 1.0}, {}), (2, {2.0: 1.0}, {1.0: 3.0}), (3, {}, {1.0: 3.0})]
+
+
+def test_whole_books_have_tasks_by_cores_not_by_bytes(spark):
+    rows = spark.createDataFrame([], SCHEMA)
+    plan = str(replay_book(rows, ["base_asset"], None)._jdf.queryExecution().executedPlan())
+    assert f", {8 * spark.sparkContext.defaultParallelism}), REPARTITION_BY_NUM" in plan
+
+
+def test_rebuilt_books_stay_where_their_runs_were_dealt(spark):
+    """A shuffle of versions and one of positions; books themselves, many rows each, are never shuffled. NULL keys match."""
+    versions = spark.createDataFrame(
+        [(None, 0, 1, "ask", 5.0, 2.0), (None, 0, 2, "ask", 4.0, 1.0), ("A", 0, 1, "bid", 3.0, 1.0)],
+        "base_asset string, _run bigint, at bigint, side string, price double, quantity double")
+    positions = spark.createDataFrame([(None, 2), ("A", 1), ("B", 1)], "base_asset string, pos bigint")
+    books = books_at(versions, positions, ["base_asset"], 64)
+    assert str(books._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning") == 2
+    assert sorted(map(tuple, books.collect()), key=repr) == [
+        ("A", 1, "bid", 0, 3.0, 1.0), (None, 2, "ask", 0, 4.0, 1.0), (None, 2, "ask", 1, 5.0, 2.0)]

@@ -165,3 +165,11 @@ def test_dead_letters_are_compressed(spark, tmp_path):
     _archive(spark, archive)
     partition_archive(spark, archive, str(tmp_path / "events"), str(failures_dir))
     assert [f.name for f in failures_dir.rglob("part-*")] and all(f.name.endswith(".json.gz") for f in failures_dir.rglob("part-*"))
+
+
+def test_records_are_not_combined_before_the_shuffle(spark, tmp_path):
+    _archive(spark, str(tmp_path))
+    events = parse_depths(spark.read.schema(ENVELOPE).parquet(f"{tmp_path}/depths"))[0]
+    once = distinct_events(flatten(events, events))
+    assert "SortAggregate" not in str(once._jdf.queryExecution().executedPlan()).split("Exchange", 1)[1]
+    assert once.count() == 180

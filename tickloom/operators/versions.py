@@ -9,6 +9,7 @@ times as many. All of it is joins and aggregations; nothing is replayed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import DataFrame, Window, functions as F
 
@@ -17,6 +18,7 @@ from tickloom.operators.replay import EMPTY_QUANTITY
 from tickloom.schemas import EVENT_ORDER
 
 EVERY = 1000
+_TASK_ROWS = 100_000  # versions whose books one task rebuilds
 
 
 def book_versions(
@@ -51,11 +53,19 @@ def books_at(versions: DataFrame, positions: DataFrame, keys: Sequence[str], eve
 
     A position reads its own run alone, and of each price the last write.
     """
-    wanted = positions.select(*keys, "pos").distinct().withColumn("_run", F.expr(f"(pos - 1) div {every}"))
-    writes = null_safe_join(versions, wanted, [*keys, "_run"]).where("at <= pos")
+    run = F.expr(f"(pos - 1) div {every}")
+    # One non-null key of both sides, in which NULLs match: all steps below work in the tasks that it is dealt to. By
+    # number, as a position gives a whole book: the few bytes that arrive would have the tasks packed together.
+    book = F.struct(*keys, "_run")
+    tasks = max(versions.sparkSession.sparkContext.defaultParallelism, ceil(versions.count() / _TASK_ROWS))
+    wanted = positions.select(*keys, "pos").withColumn("_run", run).select(book.alias("_book"), "pos")
+    wanted = wanted.repartition(tasks, "_book").distinct()
+    written = versions.select(book.alias("_book"), "at", "side", "price", "quantity").repartition(tasks, "_book")
     live = (
-        writes.groupBy(*keys, "pos", "side", "price").agg(F.max_by("quantity", "at").alias("quantity"))
+        written.join(wanted, "_book").where("at <= pos")
+        .groupBy("_book", "pos", "side", "price").agg(F.max_by("quantity", "at").alias("quantity"))
         .where(F.col("quantity") >= EMPTY_QUANTITY)
     )
-    best = Window.partitionBy(*keys, "pos", "side").orderBy(F.when(F.col("side") == "ask", F.col("price")).otherwise(-F.col("price")))
-    return live.withColumn("level", F.row_number().over(best) - 1).select(*keys, "pos", "side", "level", "price", "quantity")
+    best = Window.partitionBy("_book", "pos", "side").orderBy(F.when(F.col("side") == "ask", F.col("price")).otherwise(-F.col("price")))
+    return live.withColumn("level", F.row_number().over(best) - 1).select(
+        *[F.col("_book")[k].alias(k) for k in keys], "pos", "side", "level", "price", "quantity")
