@@ -506,3 +506,31 @@ def test_passages_are_found_and_clean_texts_are_not(spark):
         i or 0 for i, _, _ in rows + ODD if i not in {x[0] for x in expected})
     assert decontaminate.decontaminate(table.limit(0), benchmark).count() == 0
     assert decontaminate.decontaminate(table.limit(9), benchmark.limit(0)).count() == 0
+
+
+def test_directions_are_fitted_on_every_text(spark, monkeypatch):
+    """More rows than any sample held: the products run over each of them, copies too."""
+    rows = spark.range(20_000).selectExpr("id AS doc_id", "concat('same words here number ', id div 2) AS text")
+    benchmark = spark.createDataFrame([(1, "an item of some words")], "item_id bigint, text string")
+    seen = []
+    gram = decontaminate._gram
+    monkeypatch.setattr(decontaminate, "_gram", lambda texts, *rest: (seen.append(texts.count()), gram(texts, *rest))[1])
+    decontaminate.build_index(rows, benchmark)
+    assert seen == [20_001] * 3
+
+
+def test_gram_equals_the_plain_product(spark):
+    rnd = np.random.default_rng(3)
+    texts = [" ".join(f"w{i}" for i in rnd.integers(0, 50, n)) for n in (3, 24, 25, 70)]
+    idf, directions = rnd.random(decontaminate.FEATURES) + 0.5, rnd.standard_normal((decontaminate.FEATURES, 4))
+    passages = []
+    for text in texts:
+        feature = decontaminate.features(decontaminate._words_of(text))
+        for at in range(0, len(feature), decontaminate.WINDOW):
+            row = np.zeros(decontaminate.FEATURES)
+            values = idf[feature[at:at + decontaminate.WINDOW]]
+            np.add.at(row, feature[at:at + decontaminate.WINDOW], values / np.sqrt((values ** 2).sum()))
+            passages.append(row)
+    a = np.array(passages)
+    found = decontaminate._gram(spark.createDataFrame([(t,) for t in texts], "text string"), idf, directions)
+    np.testing.assert_allclose(found, a.T @ (a @ directions), rtol=1e-4, atol=1e-4)

@@ -5,8 +5,9 @@ counted over all passages of all texts; the inverse frequency enters as its squa
 word's column the same length, so the latent directions aren't spent on the commonest words. A randomised
 SVD, with one power iteration, gives ``RANK`` directions, each scaled by its singular value, and the
 ``COMMON`` directions that most words share are taken out. Its products run over the passages in tasks, and
-only matrices of FEATURES x (RANK + COMMON + OVERSAMPLE) are added up. The SVD is fitted on the benchmark and a bounded sample of texts (``SVD_TEXTS``, by a hash of
-the id); every text of the table is searched whole, by windows that begin every ``STRIDE`` words.
+only matrices of FEATURES x (RANK + COMMON + OVERSAMPLE) are added up. The SVD is fitted on the
+benchmark and every text of the table, each row counted; every text is searched whole, by windows that begin
+every ``STRIDE`` words.
 
 A window whose cosine with a passage of an item is at least ``COSINE``, and that has ``COMMON_WORDS`` of the words
 they could share, makes the item a candidate for the words around the window. There, within ``STRETCH`` times its length, the longest common subsequence with the item must
@@ -30,17 +31,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
 from .mapping import tidy, unique_marker, with_text_columns
 from .ragged import Hasher, lower_latin, mix, spans_of, text_slices
 
 WINDOW, STRIDE = 24, 8
-FEATURES, RANK, COMMON, OVERSAMPLE, SVD_TEXTS = 1 << 14, 64, 8, 8, 12_000
+FEATURES, RANK, COMMON, OVERSAMPLE = 1 << 14, 64, 8, 8
 COSINE, COMMON_WORDS, SHARE, FREQUENT, ANSWER = 0.5, 0.45, 0.6, 0.02, 0.5
 STRETCH, FEW, SURE = 1.5, 4, 0.9
 ITEMS, MOST_ITEM_BYTES = 2048, 64 << 20
 #: Text multiplied at once: each of its words takes a row as wide as the directions.
 _GRAM_BYTES = 1 << 17
+#: Tasks for each core that add up the products of the SVD.
+GRAM_TASKS = 3
 
 _INSIDE = np.zeros(256, bool)
 _INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
@@ -90,7 +92,9 @@ def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
 
 def _gram(texts: DataFrame, idf: np.ndarray, directions: np.ndarray) -> np.ndarray:
     """A' A ``directions`` for the TF-IDF passages A of ``texts``, added up over tasks."""
-    shared = texts.sparkSession.sparkContext.broadcast((idf, directions.astype(np.float32)))
+    # The words' weights are taken out of the sums: into the directions before, into the result after.
+    weighted = (directions * idf[:, None]).astype(np.float32)
+    shared = texts.sparkSession.sparkContext.broadcast((idf, weighted))
     width = directions.shape[1]
 
     def run(batches):
@@ -102,16 +106,15 @@ def _gram(texts: DataFrame, idf: np.ndarray, directions: np.ndarray) -> np.ndarr
                 begin, _ = tiles(firsts, WINDOW)
                 if not len(begin):
                     continue
-                feature = features(hashes)
-                value = weight[feature]
+                feature = features(hashes).astype(np.uint16)
                 size = np.diff(np.append(begin, len(feature)))
-                norm = np.sqrt(np.add.reduceat(value ** 2, begin))
-                value = (value / np.repeat(np.maximum(norm, 1e-9), size)).astype(np.float32)
-                left = np.add.reduceat(right[feature] * value[:, None], begin)
+                norm = np.add.reduceat(weight[feature] ** 2, begin)
+                left = np.add.reduceat(right[feature], begin) / np.maximum(norm, 1e-18).astype(np.float32)[:, None]
                 order = np.argsort(feature, kind="stable")
                 row = np.repeat(np.arange(len(begin)), size)[order]
-                cut = np.flatnonzero(np.append(True, np.diff(feature[order]) > 0))
-                out[feature[order][cut]] += np.add.reduceat(left[row] * value[order][:, None], cut)
+                cut = np.flatnonzero(np.append(True, np.diff(feature[order].astype(np.int64)) > 0))
+                out[feature[order][cut]] += np.add.reduceat(left[row], cut)
+        out *= weight[:, None]
         block = 256
         for at in range(0, FEATURES, block):
             yield pa.RecordBatch.from_arrays(
@@ -183,8 +186,8 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.maximum(np.sqrt((rows ** 2).sum(1, keepdims=True)), 1e-12)
 
 
-def build_index(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id") -> Index:
-    """Index of ``benchmark`` (item_id, text) with statistics over ``documents`` (id, text)."""
+def build_index(documents: DataFrame, benchmark: DataFrame) -> Index:
+    """Index of ``benchmark`` (item_id, text) with statistics and directions of all ``documents`` (text)."""
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     if size > MOST_ITEM_BYTES:
         raise ValueError(f"the benchmark holds {size} bytes of text; search it in parts of {MOST_ITEM_BYTES}")
@@ -197,18 +200,16 @@ def build_index(documents: DataFrame, benchmark: DataFrame, id_column: str = "do
             ids.append(r["item_id"])
             items.append(both[0])
             answers.append(both[1])
-    texts = documents.select(F.col(id_column).alias("_id"), "text")
-    found, total = _frequencies(texts.select("text").union(benchmark.select("text")))
+    every = documents.select("text").union(benchmark.select("text"))
+    found, total = _frequencies(every)
     idf = np.sqrt((total + 1) / (found + 1))
-    part = F.least(F.lit(1.0), F.lit(float(SVD_TEXTS)) / F.lit(float(max(documents.count(), 1))))
-    sample = texts.where(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < part * 1_000_000).select("text")
-    # Few partitions: each task adds up one matrix, however many texts it has.
-    sample = stage(sample.union(benchmark.select("text")).distinct().repartition(8)).coalesce(8)
+    # Few tasks: each adds up one matrix, however many texts it has.
+    every = every.coalesce(GRAM_TASKS * documents.sparkSession.sparkContext.defaultParallelism)
     rng = np.random.default_rng(7)
     directions = rng.standard_normal((FEATURES, RANK + COMMON + OVERSAMPLE))
     for _ in range(2):
-        directions, _ = np.linalg.qr(_gram(sample, idf, directions))
-    projected = _gram(sample, idf, directions)
+        directions, _ = np.linalg.qr(_gram(every, idf, directions))
+    projected = _gram(every, idf, directions)
     values, inner = np.linalg.eigh(directions.T @ projected)
     top = np.argsort(-values)[:RANK + COMMON]
     basis = directions @ inner[:, top] / np.sqrt(np.maximum(values[top], 1e-9 * max(values.max(), 1e-9)))
