@@ -152,7 +152,7 @@ def test_processing_time_trigger(spark, tmp_path):
 
 def test_a_day_is_stored_in_few_files_whatever_the_tasks(spark, tmp_path):
     rows = spark.range(3000).selectExpr(
-        "'trade' AS event_type", "'ex' AS exchange", "'USDT' AS quote_asset", "'A' AS base_asset", "id AS time",
+        "'trade' AS event_type", "'ex' AS exchange", "'USDT' AS quote_asset", "'A' AS base_asset", "id + 1 AS time",
         "1D AS quantity", "CAST(id AS DOUBLE) AS price", "'buy' AS side", "id AS seq")
     rows.union(rows.limit(1).selectExpr("event_type", "exchange", "quote_asset", "base_asset", "9000000L", "quantity", "price", "side", "seq")
                ).coalesce(1).write.parquet(str(tmp_path / "in"))
