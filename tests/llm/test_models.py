@@ -534,3 +534,34 @@ def test_gram_equals_the_plain_product(spark):
     a = np.array(passages)
     found = decontaminate._gram(spark.createDataFrame([(t,) for t in texts], "text string"), idf, directions)
     np.testing.assert_allclose(found, a.T @ (a @ directions), rtol=1e-4, atol=1e-4)
+
+
+def test_gram_inside_the_directions_and_over_edges(spark, monkeypatch):
+    """Sums in step, by runs and by word equal plain ones at any size of the parts; the inner product needs no second one."""
+    rnd = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rnd.zipf(1.3, n) % 200) for n in rnd.integers(0, 200, 60)]
+    hashes = [decontaminate._words_of(t) for t in texts]
+    word = np.concatenate([decontaminate.features(h) for h in hashes])
+    begin, _ = decontaminate.tiles(np.append(0, np.cumsum([len(h) for h in hashes])), decontaminate.WINDOW)
+    a = np.zeros((len(begin), decontaminate.FEATURES))
+    np.add.at(a, (np.searchsorted(begin, np.arange(len(word)), "right") - 1, word), 1)
+    right = rnd.standard_normal((decontaminate.FEATURES, 5))
+    column = pa.array([decontaminate.features(h).astype("<u2").tobytes() for h in hashes], pa.binary())
+    batches = [pa.RecordBatch.from_arrays([x], ["features"]) for x in (column.slice(0, 7), column.slice(7, 0), column.slice(7))]
+    for passages, rows, run in ((1 << 14, 1024, 8), (50, 7, 3), (1, 1, 1)):
+        for name, value in (("_PASSAGES", passages), ("_ROWS", rows), ("_RUN", run)):
+            monkeypatch.setattr(decontaminate, name, value)
+        out, left = np.zeros((decontaminate.FEATURES, 5)), []
+        for part, first in decontaminate._passages(batches):
+            left.append(decontaminate._row_sums(decontaminate._with_zero_row(right), part, first, decontaminate.WINDOW))
+            decontaminate._add_by_word(out, left[-1], part, first)
+        np.testing.assert_allclose(np.concatenate(left), a @ right)
+        np.testing.assert_allclose(out, a.T @ (a @ right), atol=1e-9)
+    table = spark.createDataFrame([(t,) for t in texts] + [(None,)], "text string").repartition(3)
+    found, total = decontaminate._frequencies(decontaminate._word_features(table))
+    assert total == len(begin) and (found == (a > 0).sum(0)).all()
+    idf = rnd.random(decontaminate.FEATURES) + 0.5
+    weighted = a * idf
+    weighted /= np.sqrt((np.array([(idf[word[x:y]] ** 2).sum() for x, y in zip(begin, np.append(begin[1:], len(word)))])))[:, None]
+    inner = decontaminate._gram(table, idf, right, True)
+    np.testing.assert_allclose(inner, (weighted @ right).T @ (weighted @ right), rtol=1e-4, atol=1e-3)

@@ -5,9 +5,9 @@ counted over all passages of all texts; the inverse frequency enters as its squa
 word's column the same length, so the latent directions aren't spent on the commonest words. A randomised
 SVD, with one power iteration, gives ``RANK`` directions, each scaled by its singular value, and the
 ``COMMON`` directions that most words share are taken out. Its products run over the passages in tasks, and
-only matrices of FEATURES x (RANK + COMMON + OVERSAMPLE) are added up. The SVD is fitted on the
-benchmark and every text of the table, each row counted; every text is searched whole, by windows that begin
-every ``STRIDE`` words.
+only matrices of FEATURES x (RANK + COMMON + OVERSAMPLE) are added up; the texts' words are hashed once and stored
+for them, two bytes each. The SVD is fitted on the benchmark and every text of the table, each row counted; every
+text is searched whole, by windows that begin every ``STRIDE`` words.
 
 A window whose cosine with a passage of an item is at least ``COSINE``, and that has ``COMMON_WORDS`` of the words
 they could share, makes the item a candidate for the words around the window. There, within ``STRETCH`` times its length, the longest common subsequence with the item must
@@ -24,6 +24,7 @@ for each row and item, with the best of its places.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .mapping import tidy, unique_marker, with_text_columns
 from .ragged import Hasher, lower_latin, mix, spans_of, text_slices
 
@@ -39,8 +41,10 @@ FEATURES, RANK, COMMON, OVERSAMPLE = 1 << 14, 64, 8, 8
 COSINE, COMMON_WORDS, SHARE, FREQUENT, ANSWER = 0.5, 0.45, 0.6, 0.02, 0.5
 STRETCH, FEW, SURE = 1.5, 4, 0.9
 ITEMS, MOST_ITEM_BYTES = 2048, 64 << 20
-#: Text multiplied at once: each of its words takes a row as wide as the directions.
-_GRAM_BYTES = 1 << 17
+#: Passages multiplied at once, rows summed at once, and rows of one word that are summed in step.
+_PASSAGES, _ROWS, _RUN = 1 << 14, 1024, 8
+#: Text hashed at once for the stored words.
+_HASH_BYTES = 1 << 17
 #: Tasks for each core that add up the products of the SVD.
 GRAM_TASKS = 3
 
@@ -66,57 +70,124 @@ def tiles(firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return firsts[owner] + (np.arange(len(owner)) - first[owner]) * size, first
 
 
-def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """Passages that hold each feature, and passages, over all texts."""
+def _word_features(texts: DataFrame) -> DataFrame:
+    """``features`` for each text: those of its words in turn, two bytes each."""
     def run(batches):
-        found, total = np.zeros(FEATURES, np.int64), 0
         for batch in batches:
-            for _, _, data, bounds in text_slices(batch.column(0)):
+            for _, _, data, bounds in text_slices(batch.column(0), _HASH_BYTES):
                 hashes, firsts = words(data, bounds)
-                begin, _ = tiles(firsts, WINDOW)
-                if len(begin):
-                    own = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(hashes))))
-                    both = np.unique(own * FEATURES + features(hashes))
-                    found += np.bincount(both % FEATURES, minlength=FEATURES)
-                    total += len(begin)
+                raw, cuts = features(hashes).astype("<u2").tobytes(), (firsts * 2).tolist()
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([raw[a:b] for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())], ["features"])
+
+    return texts.select("text").mapInArrow(tidy(run), "features binary")
+
+
+def _passages(batches) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features of the words of runs of passages, and the first word of each passage."""
+    for batch in batches:
+        column = batch.column(0).cast(pa.large_binary())
+        raw = column.buffers()[2]
+        if not len(column) or raw is None:
+            continue
+        firsts = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1] // 2
+        word = np.frombuffer(raw, "<u2", int(firsts[-1]))
+        begin = np.append(tiles(firsts, WINDOW)[0], firsts[-1])
+        for at in range(0, len(begin) - 1, _PASSAGES):
+            part = begin[at:at + _PASSAGES + 1]
+            yield word[part[0]:part[-1]], part[:-1] - part[0]
+
+
+def _frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """Passages that hold each feature, and passages, over all ``texts`` (features)."""
+    def run(batches):
+        found, total = np.zeros(FEATURES, np.int64), 0
+        for word, begin in _passages(batches):
+            own = np.repeat(np.arange(len(begin), dtype=np.uint32), np.diff(np.append(begin, len(word))))
+            both = own * np.uint32(FEATURES) + word
+            both.sort()
+            new = both[np.append(True, both[1:] != both[:-1])]
+            found += np.bincount(new % FEATURES, minlength=FEATURES)
+            total += len(begin)
         # feature -1 is the number of passages
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.append(np.arange(FEATURES), -1)), pa.array(np.append(found, total))], ["feature", "n"])
 
-    rows = (texts.select("text").mapInArrow(tidy(run), "feature bigint, n bigint").where("n > 0")
+    rows = (texts.mapInArrow(tidy(run), "feature bigint, n bigint").where("n > 0")
             .groupBy("feature").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(FEATURES + 1, np.int64)
     out[rows["feature"].to_numpy()] = rows["n"].to_numpy()
     return out[:-1], int(out[-1])
 
 
-def _gram(texts: DataFrame, idf: np.ndarray, directions: np.ndarray) -> np.ndarray:
-    """A' A ``directions`` for the TF-IDF passages A of ``texts``, added up over tasks."""
+def _row_sums(table: np.ndarray, at: np.ndarray, begin: np.ndarray, most: int) -> np.ndarray:
+    """Sum of the rows ``at`` of ``table`` for each run that begins at ``begin``, of at most ``most`` rows.
+
+    All runs take their next row in step; a run that has ended takes the last row of the table, which is zero.
+    """
+    size, steps = np.diff(np.append(begin, len(at))), np.arange(most)[:, None]
+    out = np.empty((len(begin), table.shape[1]), table.dtype)
+    rows = np.empty((min(len(begin), _ROWS), table.shape[1]), table.dtype)
+    for first in range(0, len(begin), _ROWS):
+        place = begin[first:first + _ROWS] + steps
+        place = np.where(steps < size[first:first + _ROWS], at[np.minimum(place, len(at) - 1)], len(table) - 1)
+        sums, part = out[first:first + _ROWS], rows[:place.shape[1]]
+        np.take(table, place[0], axis=0, out=sums, mode="clip")
+        for k in range(1, most):
+            np.take(table, place[k], axis=0, out=part, mode="clip")
+            sums += part
+    return out
+
+
+def _with_zero_row(table: np.ndarray) -> np.ndarray:
+    return np.append(table, np.zeros((1, table.shape[1]), table.dtype), axis=0)
+
+
+def _add_by_word(out: np.ndarray, left: np.ndarray, word: np.ndarray, begin: np.ndarray) -> None:
+    """Add the row of ``left`` of each word's passage to the word's row of ``out``."""
+    order = np.argsort(word, kind="stable")
+    row = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(word))))[order]
+    word, left = word[order], _with_zero_row(left)
+    cut = np.flatnonzero(np.append(True, word[1:] != word[:-1]))
+    runs = np.append(tiles(np.append(cut, len(word)), _RUN)[0], len(word))
+    for at in range(0, len(runs) - 1, _ROWS):
+        part = runs[at:at + _ROWS + 1]
+        sums = _row_sums(left, row[part[0]:part[-1]], part[:-1] - part[0], _RUN)
+        held = word[part[:-1]]
+        new = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
+        out[held[new]] += np.add.reduceat(sums, new)
+
+
+def _gram(texts: DataFrame, idf: np.ndarray, directions: np.ndarray, inner: bool = False) -> np.ndarray:
+    """A' A ``directions`` for the TF-IDF passages A of ``texts`` (text, or its features), added up over tasks.
+
+    ``inner``: ``directions``' A' A ``directions``, for which (A ``directions``) suffices.
+    """
+    if "features" not in texts.columns:
+        texts = _word_features(texts)
     # The words' weights are taken out of the sums: into the directions before, into the result after.
     weighted = (directions * idf[:, None]).astype(np.float32)
     shared = texts.sparkSession.sparkContext.broadcast((idf, weighted))
     width = directions.shape[1]
+    height = width if inner else FEATURES
 
     def run(batches):
         weight, right = shared.value
-        out = np.zeros((FEATURES, width), np.float64)
-        for batch in batches:
-            for _, _, data, bounds in text_slices(batch.column(0), _GRAM_BYTES):
-                hashes, firsts = words(data, bounds)
-                begin, _ = tiles(firsts, WINDOW)
-                if not len(begin):
-                    continue
-                feature = features(hashes).astype(np.uint16)
-                size = np.diff(np.append(begin, len(feature)))
-                norm = np.add.reduceat(weight[feature] ** 2, begin)
-                left = np.add.reduceat(right[feature], begin) / np.maximum(norm, 1e-18).astype(np.float32)[:, None]
-                order = np.argsort(feature, kind="stable")
-                row = np.repeat(np.arange(len(begin)), size)[order]
-                cut = np.flatnonzero(np.append(True, np.diff(feature[order].astype(np.int64)) > 0))
-                out[feature[order][cut]] += np.add.reduceat(left[row], cut)
-        out *= weight[:, None]
+        right = _with_zero_row(right)
+        out = np.zeros((height, width), np.float64)
+        for word, begin in _passages(batches):
+            norm = np.maximum(np.add.reduceat(weight[word] ** 2, begin), 1e-18)
+            left = _row_sums(right, word, begin, WINDOW)
+            if inner:
+                left /= np.sqrt(norm).astype(np.float32)[:, None]
+                out += left.T @ left
+            else:
+                left /= norm.astype(np.float32)[:, None]
+                _add_by_word(out, left, word, begin)
+        if not inner:
+            out *= weight[:, None]
         block = 256
-        for at in range(0, FEATURES, block):
+        for at in range(0, height, block):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([at]), pa.array([out[at:at + block].astype(np.float32).tobytes()], pa.binary())], ["at", "rows"])
 
@@ -124,9 +195,9 @@ def _gram(texts: DataFrame, idf: np.ndarray, directions: np.ndarray) -> np.ndarr
         total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in table["rows"].to_pylist())
         return pa.table({"at": table["at"][:1], "rows": pa.array([total.tobytes()], pa.binary())})
 
-    parts = texts.select("text").mapInArrow(tidy(run), "at bigint, rows binary")
+    parts = texts.mapInArrow(tidy(run), "at bigint, rows binary")
     summed = parts.groupBy("at").applyInArrow(add, "at bigint, rows binary").toArrow()
-    out = np.zeros((FEATURES, width))
+    out = np.zeros((height, width))
     for at, raw in zip(summed["at"].to_pylist(), summed["rows"].to_pylist()):
         out[at:at + 256] = np.frombuffer(raw).reshape(-1, width)
     return out
@@ -200,7 +271,7 @@ def build_index(documents: DataFrame, benchmark: DataFrame) -> Index:
             ids.append(r["item_id"])
             items.append(both[0])
             answers.append(both[1])
-    every = documents.select("text").union(benchmark.select("text"))
+    every = stage(_word_features(documents.select("text").union(benchmark.select("text"))))
     found, total = _frequencies(every)
     idf = np.sqrt((total + 1) / (found + 1))
     # Few tasks: each adds up one matrix, however many texts it has.
@@ -209,8 +280,7 @@ def build_index(documents: DataFrame, benchmark: DataFrame) -> Index:
     directions = rng.standard_normal((FEATURES, RANK + COMMON + OVERSAMPLE))
     for _ in range(2):
         directions, _ = np.linalg.qr(_gram(every, idf, directions))
-    projected = _gram(every, idf, directions)
-    values, inner = np.linalg.eigh(directions.T @ projected)
+    values, inner = np.linalg.eigh(_gram(every, idf, directions, True))
     top = np.argsort(-values)[:RANK + COMMON]
     basis = directions @ inner[:, top] / np.sqrt(np.maximum(values[top], 1e-9 * max(values.max(), 1e-9)))
     # Words of equal length, without their mean and the directions that most of them share: these tell
