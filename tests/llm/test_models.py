@@ -565,3 +565,28 @@ def test_gram_inside_the_directions_and_over_edges(spark, monkeypatch):
     weighted /= np.sqrt((np.array([(idf[word[x:y]] ** 2).sum() for x, y in zip(begin, np.append(begin[1:], len(word)))])))[:, None]
     inner = decontaminate._gram(table, idf, right, True)
     np.testing.assert_allclose(inner, (weighted @ right).T @ (weighted @ right), rtol=1e-4, atol=1e-3)
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.integers(0, 60), max_size=8), st.integers(0, 2**32))
+def test_window_sums_equal_plain_ones(lengths, seed):
+    rnd = np.random.default_rng(seed)
+    firsts = np.append(0, np.cumsum(np.array(lengths, np.int64)))
+    word = rnd.integers(0, 9, firsts[-1])
+    table = decontaminate._with_zero_row(rnd.integers(0, 5, (9, 3)).astype(np.uint8))
+    expected = []
+    for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist()):
+        starts = [s for s in range(a, b, decontaminate.STRIDE)
+                  if s == a or -(-(b - s) // decontaminate.STRIDE) >= decontaminate.WINDOW // decontaminate.STRIDE]
+        expected += [(s, min(s + decontaminate.WINDOW, b)) for s in starts]
+    windows = decontaminate.Windows(firsts)
+    assert list(zip(windows.begin.tolist(), windows.end.tolist())) == expected
+    for step in (1, 3, 512):
+        sums = [windows.sums(table, word, at, min(at + step, len(expected))) for at in range(0, len(expected), step)]
+        assert [x.tolist() for s in sums for x in s] == [table[word[a:b]].sum(0).tolist() for a, b in expected]
+
+
+def test_a_short_common_subsequence_may_be_given_as_a_bound():
+    item, places = np.array([1, 2, 3, 2], np.uint64), decontaminate._places(np.array([1, 2, 3, 2], np.uint64))
+    assert decontaminate.common_subsequence(item, [3, 9, 1], places, 3) == 2  # two words of three: not compared
+    assert decontaminate.common_subsequence(item, [3, 9, 1], places, 2) == 1

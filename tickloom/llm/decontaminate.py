@@ -43,8 +43,8 @@ STRETCH, FEW, SURE = 1.5, 4, 0.9
 ITEMS, MOST_ITEM_BYTES = 2048, 64 << 20
 #: Passages multiplied at once, rows summed at once, and rows of one word that are summed in step.
 _PASSAGES, _ROWS, _RUN = 1 << 14, 1024, 8
-#: Text hashed at once for the stored words.
-_HASH_BYTES = 1 << 17
+#: Text hashed and searched at once, and windows compared at once: what stays in a core's cache.
+_HASH_BYTES, _SEARCH_BYTES, _WINDOWS = 1 << 17, 1 << 18, 512
 #: Tasks for each core that add up the products of the SVD.
 GRAM_TASKS = 3
 
@@ -216,29 +216,30 @@ class Index:
     ids: list  # item ids
 
 
-def _windows(vectors: np.ndarray, hashes: np.ndarray, firsts: np.ndarray):
-    """Unit vectors of all windows, and the first and last word of each."""
-    begin, first = tiles(firsts, STRIDE)
-    if not len(begin):
-        return np.zeros((0, vectors.shape[1]), np.float32), begin, begin
-    word = np.append(features(hashes), FEATURES)  # the last row of the vectors is zero
-    end = np.append(begin[1:], len(hashes))
-    sums = np.zeros((len(begin), vectors.shape[1]), np.float32)
-    for k in range(STRIDE):
-        sums += vectors[word[np.where(begin + k < end, begin + k, len(hashes))]]
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    last = first[text + 1] - 1  # last tile of the text
-    at = np.arange(len(begin))
-    depth = WINDOW // STRIDE
-    whole = (at + depth - 1 <= last) | (at == first[text])  # shorter ones only at the start of a short text
-    at = at[whole]
-    out = sums[at].copy()
-    for k in range(1, depth):
-        inside = at + k <= last[at]
-        out[inside] += sums[at[inside] + k]
-    norm = np.sqrt((out ** 2).sum(1, keepdims=True))
-    end = np.minimum(begin[at] + WINDOW, firsts[text[at] + 1])
-    return out / np.maximum(norm, 1e-9), begin[at], end
+class Windows:
+    """All windows of ``WINDOW`` words that begin every ``STRIDE`` words, as runs of strides."""
+
+    def __init__(self, firsts: np.ndarray):
+        self.strides, first = tiles(firsts, STRIDE)
+        self.words = int(firsts[-1])
+        text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+        last = first[text + 1] - 1  # last stride of the text
+        at = np.arange(len(self.strides))
+        whole = (at + WINDOW // STRIDE - 1 <= last) | (at == first[text])  # shorter ones only at the start of a short text
+        self.at, self.last = at[whole], last[whole]
+        self.begin = self.strides[self.at]
+        self.end = np.minimum(self.begin + WINDOW, firsts[text[self.at] + 1])
+
+    def sums(self, table: np.ndarray, row: np.ndarray, first: int, last: int) -> np.ndarray:
+        """Sum of the rows of ``table`` (its last row is zero) of the words of each window, of some windows."""
+        at, ends = self.at[first:last], self.last[first:last]
+        a, b = int(at[0]), int(min(ends[-1], at[-1] + WINDOW // STRIDE - 1)) + 1
+        start, stop = self.strides[a], self.strides[b] if b < len(self.strides) else self.words
+        strides = _with_zero_row(_row_sums(table, row[start:stop], self.strides[a:b] - start, STRIDE))
+        out = strides[at - a]
+        for k in range(1, WINDOW // STRIDE):
+            out += strides[np.where(at + k <= ends, at + k - a, b - a)]
+        return out
 
 
 def _item_passages(vectors: np.ndarray, items: list[np.ndarray]):
@@ -297,26 +298,38 @@ def _words_of(text: str) -> np.ndarray:
     return words(data, np.array([0, len(data)]))[0]
 
 
-def common_subsequence(item: np.ndarray, text: list[int]) -> int:
-    """Length of the longest common subsequence, a word of the text at a time over the bits of the item."""
+def _places(item: np.ndarray) -> dict[int, int]:
+    """Bits of the places of each word of the item."""
     places: dict[int, int] = {}
     for i, w in enumerate(item.tolist()):
         places[w] = places.get(w, 0) | (1 << i)
+    return places
+
+
+def common_subsequence(item: np.ndarray, text: list[int], places: dict[int, int] | None = None, least: float = 0) -> int:
+    """Length of the longest common subsequence, a word of the text at a time over the bits of the item.
+
+    ``places``: those of the item, if known. A length under ``least`` may be given as the words of the text that
+    the item has, where these are fewer than ``least`` already.
+    """
+    places = _places(item) if places is None else places
+    hits = [places[w] for w in text if w in places]
+    if len(hits) < least:
+        return len(hits)
     full = (1 << len(item)) - 1
     row = full
-    for w in text:
-        hit = places.get(w)
-        if hit:
-            met = row & hit
-            row = ((row + met) | (row - met)) & full
+    for hit in hits:
+        met = row & hit
+        row = ((row + met) | (row - met)) & full
     return len(item) - row.bit_count()
 
 
-def _tightest(item: np.ndarray, text: list[int]) -> tuple[int, list[int]]:
+def _tightest(item: np.ndarray, text: list[int], places: dict[int, int]) -> tuple[int, list[int]]:
     """The longest common subsequence with ``STRETCH`` times the item's words in a row, and these words."""
     width = int(STRETCH * len(item)) + 1
     starts = range(0, max(1, len(text) - width + max(1, len(item) // 4)), max(1, len(item) // 4))
-    return max(((common_subsequence(item, text[s:s + width]), text[s:s + width]) for s in starts), key=lambda x: x[0])
+    return max(((common_subsequence(item, text[s:s + width], places), text[s:s + width]) for s in starts),
+               key=lambda x: x[0])
 
 
 class Searcher:
@@ -324,37 +337,39 @@ class Searcher:
         self.index = index
         self.sizes = np.array([len(x) for x in index.items], np.int64)
         self.rare = [x[index.rare[features(x)]] for x in index.items]
-        # Words of each item, by ten bits of their hash.
-        self.holds = np.zeros((len(index.items), 1024), bool)
-        for i, item in enumerate(index.items):
-            self.holds[i, (item >> np.uint64(54)).astype(np.int64)] = True
-
-    def _share_words(self, hashes: np.ndarray, begin: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
-        """Whether each window has enough words of the item beside it."""
-        out = np.zeros(len(item), bool)
-        for at in range(0, len(item), 1 << 15):
-            b, e, i = (x[at:at + (1 << 15)] for x in (begin, end, item))
-            place = b[:, None] + np.arange(WINDOW)
-            inside = place < e[:, None]
-            key = (hashes[np.minimum(place, len(hashes) - 1)] >> np.uint64(54)).astype(np.int64)
-            common = (self.holds[i[:, None], key] & inside).sum(1)
-            out[at:at + (1 << 15)] = common >= COMMON_WORDS * np.minimum(e - b, self.sizes[i])
-        return out
+        self.places = [_places(x) for x in index.items]
+        # Blocks of passages, their items, and which of these have a word, by ten bits of its hash.
+        self.blocks = []
+        for at in range(0, len(index.owner), ITEMS):
+            owner = index.owner[at:at + ITEMS]
+            low, high = int(owner[0]), int(owner[-1]) + 1
+            holds = np.zeros((1025, high - low), np.uint8)  # the last row is zero
+            for i in range(low, high):
+                holds[(index.items[i] >> np.uint64(54)).astype(np.int64), i - low] = 1
+            self.blocks.append((index.passages[at:at + ITEMS].T, owner, low, holds))
 
     def matches(self, data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int, int, float, float]]:
         """(text, item, first word, common words, share, cosine), the best place for each text and item."""
         index = self.index
         hashes, firsts = words(data, bounds)
-        vectors, begin, end = _windows(index.vectors, hashes, firsts)
+        windows = Windows(firsts)
+        begin, end = windows.begin, windows.end
+        feature, key = features(hashes), (hashes >> np.uint64(54)).astype(np.int64)
         best: dict[tuple[int, int], tuple] = {}
         reach: dict[tuple[int, int], int] = {}  # words already compared with an item, by text and item
         hits = []
-        for at in range(0, len(index.owner), ITEMS):
-            for row in range(0, len(vectors), 4096):  # bounded memory for any text
-                cosine = vectors[row:row + 4096] @ index.passages[at:at + ITEMS].T
+        for row in range(0, len(begin), _WINDOWS):  # bounded memory for any text
+            stop = min(row + _WINDOWS, len(begin))
+            vectors = windows.sums(index.vectors, feature, row, stop)
+            vectors /= np.maximum(np.sqrt((vectors ** 2).sum(1, keepdims=True)), 1e-9)
+            for passages, owner, low, holds in self.blocks:
+                cosine = vectors @ passages
                 w, p = np.divmod(np.flatnonzero(cosine.ravel() >= COSINE), cosine.shape[1])
-                near, w, item = cosine[w, p], w + row, index.owner[p + at]
-                keep = self._share_words(hashes, begin[w], end[w], item)
+                near, item = cosine[w, p], owner[p]
+                common = windows.sums(holds, key, row, stop)[w, item - low]
+                w += row
+                # enough words of the item beside it
+                keep = common >= COMMON_WORDS * np.minimum(end[w] - begin[w], self.sizes[item])
                 hits.append((w[keep], item[keep], near[keep]))
         if not hits:
             return []
@@ -370,10 +385,10 @@ class Searcher:
                 continue
             reach[t, i] = b
             around = hashes[a:b].tolist()
-            common = common_subsequence(index.items[i], around)
+            common = common_subsequence(index.items[i], around, self.places[i], SHARE * size)
             if common < SHARE * size:
                 continue
-            common, around = _tightest(index.items[i], around)
+            common, around = _tightest(index.items[i], around, self.places[i])
             answer, rare = index.answers[i], self.rare[i]
             known = common_subsequence(rare, around)
             enough = SHARE if known >= FEW else SURE
@@ -393,7 +408,7 @@ def contaminated(documents: DataFrame, index: Index, id_column: str = "doc_id",
     def run(batches):
         searcher = Searcher(shared.value)
         for batch in batches:
-            for first, last, data, bounds in text_slices(batch.column(1)):
+            for first, last, data, bounds in text_slices(batch.column(1), _SEARCH_BYTES):
                 found = searcher.matches(data, bounds)
                 columns = list(zip(*found)) or [()] * 6
                 yield pa.RecordBatch.from_arrays([
@@ -431,5 +446,6 @@ def keep_clean(documents: DataFrame, index: Index, text_column: str = "text") ->
 
         return columns
 
-    marked = with_text_columns(documents.withColumn(copy, F.col(text_column)), copy, f"`{leaked}` boolean", make)
+    marked = with_text_columns(documents.withColumn(copy, F.col(text_column)), copy, f"`{leaked}` boolean", make,
+                               _SEARCH_BYTES)
     return marked.where(~F.col(leaked)).select(*[F.col(f"`{c}`") for c in documents.columns])
