@@ -155,7 +155,7 @@ def _add_by_word(out: np.ndarray, left: np.ndarray, word: np.ndarray, begin: np.
         sums = _row_sums(left, row[part[0]:part[-1]], part[:-1] - part[0], _RUN)
         held = word[part[:-1]]
         new = np.flatnonzero(np.append(True, held[1:] != held[:-1]))
-        out[held[new]] += np.add.reduceat(sums, new)
+        out[held[new]] += np.add.reduceat(sums, new, dtype=np.float64)
 
 
 def _gram(texts: DataFrame, idf: np.ndarray, directions: np.ndarray, inner: bool = False) -> np.ndarray:
@@ -179,7 +179,7 @@ def _gram(texts: DataFrame, idf: np.ndarray, directions: np.ndarray, inner: bool
             norm = np.maximum(np.add.reduceat(weight[word] ** 2, begin), 1e-18)
             left = _row_sums(right, word, begin, WINDOW)
             if inner:
-                left /= np.sqrt(norm).astype(np.float32)[:, None]
+                left = left / np.sqrt(norm)[:, None]
                 out += left.T @ left
             else:
                 left /= norm.astype(np.float32)[:, None]
