@@ -6,7 +6,7 @@ import corpus_pipeline
 from test_near_dedup import brute_force
 
 import __spark_entry__
-from tickloom.llm import decontaminate, queries
+from tickloom.llm import queries
 
 NAMES = ["toxicity", "near_duplicates", "decontamination", "secrets", "packing"]
 
@@ -80,10 +80,9 @@ def test_stages(spark, tmp_path):
     assert after.groupBy("sequence_id").agg({"length": "sum"}).where("`sum(length)` > 4096").count() == 0
 
 
-def test_whole_run_gives_the_last_stage(spark, tmp_path, monkeypatch):
+def test_whole_run_gives_the_last_stage(spark, tmp_path):
     folder = str(tmp_path / "data")
     _write(spark, folder)
-    monkeypatch.setattr(decontaminate, "SVD_TEXTS", 200)
     found = corpus_pipeline.run(spark, folder)
     assert found.columns[:4] == ["doc_id", "piece", "start", "length"] and found.count() > 300
 
