@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -141,6 +142,94 @@ def test_differences_equal_a_plain_model(spark):
         assert np.isclose(scorer.differences(*_slice(text))[0][0], expected)
 
 
+def _insulting(n, every=8):
+    """Ordinary texts, and one in ``every`` with words that only toxic texts have."""
+    rnd = random.Random(15)
+    words = ["".join(rnd.choice("aeioulnrst") for _ in range(4)) for _ in range(300)]
+    rows, labels = [], []
+    for i in range(n):
+        text = rnd.choices(words, k=rnd.randrange(20, 60))
+        for _ in range(4 * (i % every == 0)):
+            text.insert(rnd.randrange(len(text)), rnd.choice(["badaa", "badbb"]))
+        rows.append((i, " ".join(text), "en"))
+        labels.append((i, int(i % every == 0)))
+    return rows, labels
+
+
+def test_a_whole_model_counts_every_labelled_text(spark, monkeypatch):
+    """However small the bound of a sample is, and with eight times as many ordinary texts as toxic ones."""
+    monkeypatch.setattr(toxicity, "TEXTS_PER_CLASS", 20)
+    monkeypatch.setattr(toxicity, "CURVE_TEXTS", 20)
+    rows, labels = _insulting(600)
+    table = spark.createDataFrame([*rows, (900, None, "en"), (901, "", "en"), (902, rows[8][1], "en")], SCHEMA)
+    known = spark.createDataFrame(labels, "doc_id bigint, toxic int")
+    model = toxicity.fit(table, known, whole=True)
+    counted = [i for i, _ in labels if toxicity_fold(i) not in (0, 4)]
+    held = Counter((w, y) for i in counted for y in [labels[i][1]] for w in set(rows[i][1].split()))
+    for word in ("badaa", rows[1][1].split()[0]):
+        at = toxicity._rows(model.words, toxicity.words(*_slice(word))[0])[0]
+        assert model.texts[at].tolist() == [held[word, 0], held[word, 1]]
+    assert model.stored_rows == len({(a, b) for i in counted for w in [rows[i][1].split()] for a, b in zip(["", *w], w)})
+    bounded = toxicity.fit(table, known)
+    assert bounded.texts[toxicity._rows(bounded.words, toxicity.words(*_slice("badaa"))[0])[0], 1] < held["badaa", 1]
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(table, model).collect()}
+    assert len(scores) == 603 and scores[902] == scores[8] and scores[900] == scores[901]
+    unseen = [i for i, _ in labels if toxicity_fold(i) == 0]
+    assert sum((scores[i] >= 0.5) == (i % 8 == 0) for i in unseen) / len(unseen) > 0.97
+    kept = toxicity.keep_ordinary(table, model)
+    assert kept.columns == table.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(i for i, s in scores.items() if s < 0.5)
+
+
+def test_a_whole_model_of_equal_classes_is_the_bounded_one(spark):
+    """Then every text counts in full, and pairs that are dealt into parts give what pairs on the driver give."""
+    rows, labels = _insulting(300, every=2)
+    counted = [[i for i, y in labels if y == c and toxicity_fold(i) not in (0, 4)][:50] for c in (0, 1)]
+    chosen = {*counted[0], *counted[1], *[i for i, _ in labels if toxicity_fold(i) in (0, 4)]}
+    table = spark.createDataFrame(rows, SCHEMA)
+    known = spark.createDataFrame([x for x in labels if x[0] in chosen], "doc_id bigint, toxic int")
+    whole, bounded = toxicity.fit(table, known, whole=True), toxicity.fit(table, known)
+    assert whole.rates == (1, 1) and np.allclose(whole.curve, bounded.curve)
+    a, b = ({r["doc_id"]: r["log_ratio"] for r in toxicity.score(table, m).collect()} for m in (whole, bounded))
+    assert a.keys() == b.keys() and all(np.isclose(a[i], b[i]) for i in a)
+
+
+def test_counts_of_the_larger_class_are_those_of_a_share_of_its_texts(spark):
+    """Expected numbers of pairs and neighbours, against all choices of texts: each text is in with the same chance."""
+    n, rate = (3, 1, 2), 0.3
+    rows = [(1, k + 1, v, 0) for k, v in enumerate(n)]
+    found = spark.createDataFrame(rows, "word bigint, left bigint, n0 bigint, n1 bigint")
+    word = found.groupBy("word").agg(*toxicity._word_sums((rate, 1.0))).first()
+    pairs = found.agg(*toxicity._pair_levels((rate, 1.0))).first()
+    there = [1 - (1 - rate) ** v for v in n]
+    chance = {k: sum(np.prod([p if i in c else 1 - p for i, p in enumerate(there)]) for c in itertools.combinations(range(3), k))
+              for k in range(4)}
+    assert np.allclose([word["s0"], word["s"], word["s0_k"], word["s0_1"], word["s0_2"]], [sum(there)] * 2 + [1 - chance[0], chance[1], chance[2]])
+    binomial = lambda v, k: math.comb(v, k) * rate ** k * (1 - rate) ** (v - k) if v >= k else 0
+    assert np.allclose([pairs["n0_1"], pairs["n0_2"], pairs["n_1"]], [sum(binomial(v, 1) for v in n), sum(binomial(v, 2) for v in n)] +
+                       [sum(binomial(v, 1) for v in n)])
+    assert pairs["n1_1"] == 0 == word["s1_k"]
+
+
+def test_findings_are_put_between_words_of_all_texts(spark, monkeypatch):
+    """Each distinct word of the table is drawn by the same number wherever it lies; a sample has few of them."""
+    monkeypatch.setattr(secrets, "SAMPLE_TEXTS", 2)
+    rows = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)} AKIAABCD 12 été", "en") for i in range(200)] + [(900, None, "en")]
+    table = spark.createDataFrame([(i, (t or "").replace("word", "zz") if t else None, lang) for i, t, lang in rows], SCHEMA)
+    stored = secrets.corpus_words(table)
+    everything = {w for _, t, _ in rows if t for w in t.replace("word", "zz").split() if secrets.ordinary(w)}
+    assert sorted(r["word"] for r in stored.collect()) == sorted(everything) and "AKIAABCD" not in everything and "été" in everything
+    sizes = sorted((r[0], r[1]) for r in stored.groupBy("bucket").count().collect())
+    starts = dict(zip((b for b, _ in sizes), np.cumsum([0, *[n for _, n in sizes]]).tolist()))
+    assert set(secrets._fetched(stored, starts, set(range(len(everything)))).values()) == everything
+    seen = []
+    monkeypatch.setattr(secrets, "training_table", lambda reader, found: seen.extend(found) or (np.zeros((2, 1)), np.array([0.0, 1.0])))
+    monkeypatch.setattr(secrets, "train_forest", lambda x, y: None)
+    secrets.fit(table, PIECES, whole=True)
+    used = {w for text, _, _ in seen for w in text.split()} & everything
+    assert len(used) > 150
+
+
 class PlainModel:
     def __init__(self, pairs, docs):
         self.pairs, self.docs = pairs, docs

@@ -10,7 +10,8 @@ capitals. A forest of decision trees, trained from labelled
 findings, says which candidates are secrets.
 
 The labelled findings are made from published formats of credentials and of what is mistaken for them (hashes,
-identifiers, paths, addresses, numbers), between words of a bounded sample of the texts (``SAMPLE_TEXTS``).
+identifiers, paths, addresses, numbers), between words of a bounded sample of the texts (``SAMPLE_TEXTS``) or, with
+``whole=True``, of all texts: their distinct words are numbered where they lie, and only the drawn ones are fetched.
 Every text of the table is scanned whole.
 
 Defined results: NULL and empty texts have no candidate; repeated rows give their findings again; findings of a
@@ -25,14 +26,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import stage
 from .mapping import Table, sample_rows, tidy, unique_marker, with_text_columns
 from .ragged import Hasher, ranges, spans_of, text_slices
 
 #: Shortest candidate; texts whose words surround the labelled findings; findings of each kind.
 SHORTEST, SAMPLE_TEXTS, EACH = 12, 400, 260
+WORD_BUCKETS = 4096  # pieces of the corpus's vocabulary, each numbered by itself
 TREES, DEEPEST, LEAF = 40, 12, 3
 #: Replaces a secret in a text.
 MARK = "[secret]"
@@ -425,15 +428,66 @@ def training_table(reader: Reader, findings: list[tuple[str, str, int]]) -> tupl
     return np.array(xs), np.array(ys, float)
 
 
-def fit(documents: DataFrame, vocabulary_path: str) -> Model:
-    """Words around the labelled findings come from ``SAMPLE_TEXTS`` texts, picked by a hash of the id."""
+def ordinary(word: str) -> bool:
+    """A credential of letters alone must not serve as an ordinary word."""
+    return word.isalpha() and not word.startswith(PREFIXES)
+
+
+class Drawn:
+    """Stands for a list of ``n`` words of which only some are fetched: first says which are asked for, then gives them."""
+
+    def __init__(self, n: int):
+        self.n, self.asked, self.fetched = n, set(), {}
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i: int) -> str:
+        self.asked.add(i)
+        return self.fetched.get(i, "")
+
+
+def corpus_words(texts: DataFrame) -> DataFrame:
+    """Stored ``word, bucket`` of each distinct ordinary word of the column ``text``."""
+    def run(batches):
+        for batch in batches:
+            found = {w for text in batch.column(0).to_pylist() for w in text.split()}
+            yield pa.RecordBatch.from_arrays([pa.array([w for w in found if ordinary(w)], pa.string())], ["word"])
+
+    words = texts.where(F.col("text").isNotNull()).select("text").mapInArrow(tidy(run), "word string").distinct()
+    return stage(words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(WORD_BUCKETS)).cast("int")))
+
+
+def _fetched(words: DataFrame, starts: dict[int, int], numbers: set[int]) -> dict[int, str]:
+    """The words of the given numbers: those of a bucket are numbered from its start on, in their order."""
+    buckets = np.array(sorted(starts, key=starts.get))
+    firsts = np.array([starts[b] for b in buckets])
+    wanted = np.array(sorted(numbers))
+    at = buckets[np.searchsorted(firsts, wanted, "right") - 1]
+    asked = words.sparkSession.createDataFrame(
+        [(int(b), int(n - starts[int(b)]) + 1, int(n)) for b, n in zip(at, wanted)], "bucket int, place int, number bigint")
+    placed = words.withColumn("place", F.row_number().over(Window.partitionBy("bucket").orderBy("word")))
+    return {r["number"]: r["word"] for r in placed.join(F.broadcast(asked), ["bucket", "place"]).select("number", "word").collect()}
+
+
+def fit(documents: DataFrame, vocabulary_path: str, whole: bool = False) -> Model:
+    """Words around the labelled findings are drawn from all texts (``whole``), or from ``SAMPLE_TEXTS`` picked by a hash of the id."""
     rows = documents.select("doc_id", "text").where(F.col("text").isNotNull())
-    texts = sample_rows(rows, SAMPLE_TEXTS, "doc_id").select("text").collect()
-    # a credential of letters alone must not serve as an ordinary word
-    words = sorted({w for r in texts for w in r[0].split() if w.isalpha() and not w.startswith(PREFIXES)})
     known = dictionary(vocabulary_path)
+    common = tuple(w.decode() for w in known)
+    if whole:
+        stored = corpus_words(rows)
+        sizes = sorted((r[0], r[1]) for r in stored.groupBy("bucket").count().collect())
+        starts = dict(zip((b for b, _ in sizes), np.cumsum([0, *[n for _, n in sizes]]).tolist()))
+        words = Drawn(sum(n for _, n in sizes))
+        labelled_findings(words, known=common)  # the draws do not depend on what the words are
+        if words.asked:
+            words.fetched = _fetched(stored, starts, words.asked)
+    else:
+        texts = sample_rows(rows, SAMPLE_TEXTS, "doc_id").select("text").collect()
+        words = sorted({w for r in texts for w in r[0].split() if ordinary(w)})
     reader = Reader(known)
-    return Model(known, train_forest(*training_table(reader, labelled_findings(words, known=tuple(w.decode() for w in known)))))
+    return Model(known, train_forest(*training_table(reader, labelled_findings(words, known=common))))
 
 
 def find(documents: DataFrame, model: Model, threshold: float = 0.5, id_column: str = "doc_id",
