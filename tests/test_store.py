@@ -215,3 +215,34 @@ def test_books_carried_over_closings_equal_the_batch(spark, tmp_path):
     books()
     want = window_snapshots(distinct_events(spark.createDataFrame(rows, SCHEMA)), "2m", 3, order=ORDER, scope="instrument")
     assert _compared(spark.read.parquet(f"{path}/books/rows").select(want.columns)) == _compared(want)
+
+
+def test_ingest_keeps_what_waits_beside_its_checkpoint(spark, tmp_path):
+    """No keyed state: a batch stores what the watermark has passed, and writes the few events that wait, once each."""
+    path, checkpoint = str(tmp_path), tmp_path / "c"
+    minute = 60_000
+
+    def event(time, seq, price=1.0):
+        return ("trade", "ex", "USDT", "A0", time, 1.0, price, "buy", seq)
+
+    def ingest(*rows):
+        if rows:
+            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("append").parquet(f"{path}/in")
+        jobs.ingest(spark.readStream.schema(SCHEMA).parquet(f"{path}/in"), f"{path}/events", str(checkpoint)).awaitTermination()
+        stored = sorted((r.time, r.seq) for r in store.read_store(spark, f"{path}/events", LONG).collect())
+        last = max(int(f.split("=")[1]) for f in os.listdir(checkpoint / "pending") if f.startswith("batch="))
+        return stored, sorted((r.time or 0, r.seq) for r in spark.read.parquet(f"{checkpoint}/pending/batch={last}").collect())
+
+    unknown = ("trade", "ex", "USDT", "A0", None, 1.0, 1.0, "buy", 8)
+    stored, waiting = ingest(event(minute, 9), event(minute, 3), event(9 * minute, 5), event(10 * minute, 4), event(10 * minute, 6), unknown, unknown)
+    assert stored == [(minute, 3)] and waiting == [(0, 8), (9 * minute, 5), (10 * minute, 4)]
+    assert not (checkpoint / "state").exists()
+    # An earlier copy of what waits, one of what was stored (late), and the watermark goes on.
+    again = ingest(event(10 * minute, 2), event(minute, 1), event(4 * minute, 7), event(15 * minute, 11))
+    assert again[0] == [(minute, 3), (9 * minute, 5), (10 * minute, 2)] and (15 * minute, 11) in again[1]
+    for name in ("1", ".1.crc"):  # the last commit is lost: the batch runs once more
+        os.remove(checkpoint / "commits" / name)
+    assert ingest() == again
+    for _ in range(3):
+        ingest(event(15 * minute, 12))
+    assert len([f for f in os.listdir(checkpoint / "pending") if f.startswith("batch=")]) == 2

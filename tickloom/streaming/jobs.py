@@ -1,7 +1,8 @@
 """Streaming ingest and streaming features.
 
 Ingest deduplicates and stores events, each micro-batch in its own ``ingest_batch`` directory, so a
-repeated batch replaces itself (`store`; messages are parsed by `intake` before). Trade features are an
+repeated batch replaces itself (`store`; messages are parsed by `intake` before); what waits for the watermark lies beside its
+checkpoint. Trade features are an
 ordinary windowed stream aggregation. Features that need the order of a whole window (the book) keep no
 events in stream state: a second stream gathers, per (instrument, window), which parts of the store hold its
 events, and when the watermark closes a window these parts are opened by name and go through the batch
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -27,7 +28,7 @@ from tickloom.operators.replay import EMPTY_QUANTITY
 from tickloom.operators.windows import assign_event_time, tumbling
 from tickloom.schemas import ARRIVAL, DEFAULT_LEVELS, EVENT_COLUMNS, EVENT_ORDER, INSTRUMENT, LEVEL_UPDATE, TRADE
 from tickloom.sources.readers import TOPICS, stream_messages
-from tickloom.session import exists, stage
+from tickloom.session import exists, file_system, freed_shuffles, hadoop_path, stage
 from tickloom.sources.writers import as_text, named_partitions, write_failures
 from tickloom.streaming import store as st
 from tickloom.streaming.store import stored_schema
@@ -53,22 +54,33 @@ def failure_stream(spark: SparkSession, source: str, fmt: str = "parquet", **opt
     return flatten(parse_depths(depths)[1], parse_trades(trades)[1])
 
 
-def distinct_stream(events: DataFrame, lateness: str = DEDUPE_WINDOW) -> DataFrame:
-    """Full-record deduplication with the earliest ``seq`` of all copies, as in the batch.
+PENDING = T.StructType([T.StructField(c, T.LongType()) for c in ("latest", "bound")])
 
-    Event time is in the key, so the watermark bounds the state; an event leaves, once, when the
-    watermark passes its time. Copies are combined before the shuffle.
+
+def _distinct_of(events: DataFrame, condition: Column, period: str) -> DataFrame:
+    """Each distinct event that meets ``condition`` on the time, with the earliest ``seq`` of its copies and its ``event_day``.
+
+    Copies have one time, so such a condition takes all of them or none. One shuffle, by day and piece, serves the aggregation and a
+    write that is partitioned by day: at most `DAY_PIECES` files a day. A hash comes first in the sort of the aggregation: it tells
+    nearly all events apart by one number.
     """
-    timed = assign_event_time(events).withWatermark("event_time", _interval(lateness))
-    return timed.groupBy(*EVENT_COLUMNS, "event_time").agg(F.min("seq").alias("seq"))
+    day = utc_text(F.timestamp_millis("time"), period)
+    placed = events.where(condition).withColumns({"event_day": day, "_key": F.xxhash64(*EVENT_COLUMNS)})
+    placed = placed.withColumn("_piece", F.pmod("_key", F.lit(DAY_PIECES)).cast("int")).repartition("event_day", "_piece")
+    once = placed.groupBy("_key", "event_day", "_piece", *EVENT_COLUMNS).agg(F.min("seq").alias("seq"))
+    return once.select(*EVENT_COLUMNS, "seq", "event_day")
 
 
 def ingest(
     events: DataFrame, directory: str, checkpoint: str, lateness: str = DEDUPE_WINDOW, trigger: dict | None = None,
     announce: Sequence[str] | None = None, period: str = "yyyy-MM-dd",
 ) -> StreamingQuery:
-    """Deduplicate and store events by ingest batch and day.
+    """Deduplicate and store events by ingest batch and day: full-record deduplication with the earliest ``seq``, as in the batch.
 
+    An event is stored, once, when the watermark (the latest event time less the lateness) passes its time; copies at or behind
+    the watermark that an earlier batch has reached are late, and dropped. What waits is written anew by each batch, as
+    ``pending`` in the checkpoint: it is bounded by the lateness, and a batch that brings years goes by it in one shuffle, without a
+    keyed state that takes every event by itself. A repeated batch starts from what the one before it left.
     A batch stores a day in at most `DAY_PIECES` files, not one for each task of the aggregation and day. A feed that
     brings years at once is better stored by a longer ``period``, say "yyyy-MM".
     ``trigger``: arguments of ``DataStreamWriter.trigger``. ``announce``: a folder for every job that follows the store
@@ -77,21 +89,42 @@ def ingest(
     """
     targets = [st.announced_dir(directory)] if announce is None else announce
 
+    waiting = f"{checkpoint}/pending"
+
     def store(batch: DataFrame, batch_id: int) -> None:
-        day = utc_text(F.col("event_time"), period)
-        rows = batch.where(F.col("event_type") != st.HEARTBEAT)
-        rows = named_partitions(rows).withColumn("event_day", day).drop("event_time")
-        # No rebalancing: streams with state run without adaptive execution, which would leave it out.
-        rows = rows.repartition("event_day", F.pmod(F.xxhash64(*rows.columns), F.lit(DAY_PIECES)))
+        spark = batch.sparkSession
+        batch = batch.select(*EVENT_COLUMNS, "seq")
+        schema = batch.schema
+        before = latest = None
+        if batch_id:
+            kept = f"{waiting}/clock={batch_id - 1}"
+            if not exists(spark, kept):
+                raise ValueError(f"{kept} is missing: the checkpoint is of another job or an earlier form of this one")
+            latest, before = spark.read.schema(PENDING).json(kept).first()
+        latest = max((t for t in (latest, batch.agg(F.max("time")).first()[0]) if t is not None), default=None)
+        bound = None if latest is None else latest - parse_millis(lateness)
+        rows = batch.where(~F.col("event_type").eqNullSafe(st.HEARTBEAT))
+        if before is not None:
+            rows = rows.where((F.col("time") > before) | F.col("time").isNull())
+        if batch_id:
+            rows = rows.unionByName(spark.read.schema(schema).parquet(f"{waiting}/batch={batch_id - 1}"))
+        passed = F.coalesce(F.col("time") <= F.lit(bound).cast("bigint"), F.lit(False))
         path = f"{directory}/ingest_batch={batch_id}"
-        rows.write.mode("overwrite").partitionBy("event_day").parquet(path)
-        # Without its event time the schema is that of the store, but for the batch, which names the folder.
-        stored = batch.sparkSession.read.schema(rows.schema).parquet(path)
-        st.announce(stored.withColumn("ingest_batch", F.lit(batch_id).cast("bigint")), targets)
+        with freed_shuffles(spark):
+            due = named_partitions(_distinct_of(rows, passed, period))
+            due.write.mode("overwrite").partitionBy("event_day").parquet(path)
+            left = _distinct_of(rows, ~passed, period).select(*schema.names)
+            left.write.mode("overwrite").parquet(f"{waiting}/batch={batch_id}")
+            # The schema is that of the store, but for the batch, which names the folder.
+            stored = spark.read.schema(due.schema).parquet(path)
+            st.announce(stored.withColumn("ingest_batch", F.lit(batch_id).cast("bigint")), targets)
+        spark.createDataFrame([(latest, bound)], PENDING).coalesce(1).write.mode("overwrite").json(f"{waiting}/clock={batch_id}")
+        for name in ("batch", "clock"):  # the one before is needed if this batch is repeated
+            file_system(spark, waiting).delete(hadoop_path(spark, f"{waiting}/{name}={batch_id - 2}"), True)
 
     return (
-        distinct_stream(events, lateness).writeStream.outputMode("append").foreachBatch(store)
-        .option("checkpointLocation", checkpoint).trigger(**trigger or AVAILABLE).start()
+        events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+        .trigger(**trigger or AVAILABLE).start()
     )
 
 
