@@ -153,3 +153,25 @@ def test_rebuilt_books_stay_where_their_runs_were_dealt(spark):
     assert str(books._jdf.queryExecution().executedPlan()).count("Exchange hashpartitioning") == 2
     assert sorted(map(tuple, books.collect()), key=repr) == [
         ("A", 1, "bid", 0, 3.0, 1.0), (None, 2, "ask", 0, 4.0, 1.0), (None, 2, "ask", 1, 5.0, 2.0)]
+
+
+def test_message_levels_are_those_of_the_books_and_rounded_once(spark, monkeypatch):
+    """The same rows from plain arrays, in pages too; what is shown is computed for an update and not for every level of every book."""
+    from pyspark.sql import functions as F
+
+    from tickloom.operators import book, ordered
+
+    rows = [r[:5] + (r[5] / 3, r[6] / 7) + r[7:] for r in random_updates(400, 8, span=400_000) if r[0] == "levelUpdate"]
+    updates = spark.createDataFrame(rows, SCHEMA).withColumn("message", (F.col("seq") / 3).cast("long"))
+    keys, message = ["base_asset"], ["time", "message"]
+    shown = lambda c: F.round(c, 2)
+    books = book.message_books(updates, keys, message, ["time", "seq"])
+    want = book.explode_levels(books, [*keys, "pos", "message"]).withColumns({c: shown(F.col(c)) for c in ("price", "quantity")})
+    for page in (None, 50):
+        if page:
+            monkeypatch.setattr(ordered, "PAGE_ROWS", page)
+        got = book.message_levels(updates, keys, message, ["message"], ["time", "seq"], shown)
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+        above, below = str(got._jdf.queryExecution().executedPlan()).split("MapInArrow", 1)
+        assert "round(" not in above and "round(" in below
