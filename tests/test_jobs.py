@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from market import SCHEMA
@@ -173,3 +174,26 @@ def test_records_are_not_combined_before_the_shuffle(spark, tmp_path):
     once = distinct_events(flatten(events, events))
     assert "SortAggregate" not in str(once._jdf.queryExecution().executedPlan()).split("Exchange", 1)[1]
     assert once.count() == 180
+
+
+def test_a_slice_leaves_no_staged_copies_and_shuffles_its_events_once(spark, tmp_path):
+    """What a job staged is deleted, its shuffle files go, and merged events are written as they lie: one piece, one file."""
+    from tickloom.session import shared_dir
+
+    def staged():
+        return {str(p) for p in Path(shared_dir(spark)).glob("stage-*")}
+
+    def shuffles():
+        tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+        return tracker.shuffleStatuses().size()
+
+    archive, events_dir, failures_dir = (str(tmp_path / d) for d in ("archive", "events", "failures"))
+    _archive(spark, archive)
+    before = staged(), shuffles()
+    append_archive(spark, archive, "all", events_dir, failures_dir, shards=1)
+    assert staged() == before[0] and shuffles() <= before[1]
+    folders = [[f.name for f in d.glob("*.parquet")] for d in Path(events_dir).rglob("event_type=*")]
+    assert len(folders) == 4 and all(len(files) == 1 for files in folders)
+    partition_archive(spark, archive, str(tmp_path / "whole"), failures_dir)
+    assert staged() == before[0] and shuffles() <= before[1]
+    assert _rows(_stored(spark, events_dir)) == _rows(_stored(spark, str(tmp_path / "whole")))
